@@ -102,4 +102,4 @@ def optional_number(value: str | Column) -> Column:
 def format_metric(value: str | Column, decimals: int = 1, fallback: str = "n/a") -> Column:
     """Fixed-point text for a metric; a missing value is text, never 0."""
     v = optional_number(value)
-    return F.coalesce(F.format_string(f"%.{decimals}f", v), F.lit(fallback))
+    return F.when(v.isNull(), F.lit(fallback)).otherwise(F.format_string(f"%.{decimals}f", v))

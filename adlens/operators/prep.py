@@ -1,6 +1,6 @@
-"""Data-preparation jobs: campaign status and labels, session expansion,
-in-flight candidates, budget-weighted allocation, budget calibration and the
-platform summaries that go with them.
+"""Data-preparation jobs: campaign status and labels, audience filter, session
+expansion into ad requests, in-flight candidates, budget-weighted allocation,
+budget calibration, clearing prices and the platform summaries.
 """
 
 from __future__ import annotations
@@ -12,7 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adlens import constants as C
-from adlens.functions.exprs import col, lookup, pick, round_ratio, micros
+from adlens.functions.exprs import col, date_key, lookup, micros, pick, round_ratio
+from adlens.sources.schemas import MONEY_SUM
+
+UNIT_BITS = 32          # allocation draws are 32-bit integers in [0, 2^32)
+BUCKET_BITS = 10        # 1024 equi-join buckets per day for interval lookup
 
 
 def campaign_status(flight_start: str | Column, flight_end: str | Column,
@@ -38,3 +42,167 @@ def campaign_label(objective: str | Column, prefix_idx: str | Column,
     fs = col(flight_start)
     return F.concat(prefix, F.lit(" - "), short, F.lit(" Q"), F.quarter(fs).cast("string"),
                     F.lit(" "), F.year(fs).cast("string"))
+
+
+def ad_supported_audience(subscribers: DataFrame) -> DataFrame:
+    """Subscribers who see ads: every tier except the no-ads one."""
+    return subscribers.filter(F.col("subscription_tier") != C.NO_ADS_TIER)
+
+
+def slot_table(spark: SparkSession) -> DataFrame:
+    """The six slots with their firing depth and time fraction (hundredths)."""
+    rows = [(name, i, int(Decimal(frac) * 100)) for i, (name, _, _, _, frac)
+            in enumerate(C.AD_SLOTS)]
+    return spark.createDataFrame(rows, "slot_position string, slot_depth int, frac_pct int")
+
+
+def expand_sessions(sessions: DataFrame, spark: SparkSession) -> DataFrame:
+    """Session -> the ad requests it passed through.
+
+    A session emits every slot up to its deepest one, in order; a request's
+    time is the session start plus the slot's fraction of the watch time.
+    The six-row slot table is broadcast, so this is a map-side expansion.
+    """
+    slots = F.broadcast(slot_table(spark))
+    depth = F.broadcast(slot_table(spark).select(
+        F.col("slot_position").alias("deepest_slot"), F.col("slot_depth").alias("max_depth")))
+    s = sessions.join(depth, "deepest_slot")
+    df = s.join(slots, F.col("slot_depth") <= F.col("max_depth"))
+    offset_us = F.col("watch_seconds").cast("long") * F.col("frac_pct") * F.lit(10_000)
+    return df.select(
+        F.concat_ws("-", "session_id", F.col("slot_depth").cast("string")).alias("request_id"),
+        "session_id", "subscriber_id", "content_id", "slot_position",
+        F.timestamp_add("MICROSECOND", offset_us, F.col("session_start")).alias("request_timestamp"),
+        "device",
+    )
+
+
+def flight_days_exploded(campaigns: DataFrame) -> DataFrame:
+    """One row per campaign per day of its flight (inclusive both ends)."""
+    return campaigns.select(
+        "campaign_id", "total_budget_usd",
+        F.explode(F.sequence("flight_start", "flight_end")).alias("day"))
+
+
+def in_flight_candidates(days: DataFrame, campaigns: DataFrame, strict: bool = True) -> DataFrame:
+    """Campaigns in flight on each given day.
+
+    Range containment flight_start <= day <= flight_end is turned into an
+    equi-join by exploding each flight into its days (campaigns x flight
+    length rows, bounded by the catalog). With ``strict`` a day without any
+    candidate raises an error when the result is computed.
+    """
+    d = days.select(F.col("day").cast("date").alias("day")).distinct()
+    if not strict:
+        return d.join(flight_days_exploded(campaigns), "day")
+    # left join: an uncovered day keeps one row with a null campaign, which fails the job
+    cand = d.join(flight_days_exploded(campaigns), "day", "left")
+    return cand.withColumn("campaign_id", F.when(
+        F.col("campaign_id").isNull(),
+        F.raise_error(F.concat(F.lit("no campaign in flight on "), F.col("day").cast("string"))),
+    ).otherwise(F.col("campaign_id")))
+
+
+def unit_draw(key: str | Column) -> Column:
+    """Deterministic draw in [0, 2^32): the first 32 bits of md5(key)."""
+    return F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10).cast("long")
+
+
+def weighted_allocation(requests: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Assign each request to one in-flight campaign, weighted by budget.
+
+    Within a day, campaigns (ordered by id) own consecutive half-open slices
+    of [0, 2^32) proportional to their budget; a request takes the slice that
+    holds its draw. The interval lookup is an equi-join on (day, bucket): each
+    slice is exploded into the 1024-ths of the range it overlaps, so a request
+    meets about one candidate rather than every campaign of its day.
+    """
+    unit = 1 << UNIT_BITS
+    shift = UNIT_BITS - BUCKET_BITS
+    cents = (F.col("total_budget_usd") * 100).cast("long")
+    w = Window.partitionBy("day").orderBy("campaign_id")
+    c = candidates.select("day", "campaign_id", cents.alias("cents"))
+    c = c.select("*",
+                 F.sum("cents").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("lo_c"),
+                 F.sum("cents").over(Window.partitionBy("day")).alias("day_total"))
+    lo_c = F.coalesce("lo_c", F.lit(0)).cast("decimal(38,0)")
+    total = F.col("day_total").cast("decimal(38,0)")
+    c = c.select("day", "campaign_id",
+                 F.call_function("div", lo_c * F.lit(unit), total).alias("lo"),
+                 F.call_function("div", (lo_c + F.col("cents")) * F.lit(unit), total).alias("hi"))
+    c = c.filter(F.col("hi") > F.col("lo"))
+    c = c.select("*", F.explode(F.sequence(F.shiftright("lo", shift),
+                                           F.shiftright(F.col("hi") - 1, shift))).alias("bucket"))
+    r = requests.select("request_id", F.to_date("request_timestamp").alias("day"),
+                        unit_draw("request_id").alias("u"))
+    r = r.withColumn("bucket", F.shiftright("u", shift))
+    j = r.join(c, ["day", "bucket"])
+    return j.filter((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))).select(
+        "request_id", "day", "campaign_id")
+
+
+def calibrate_budgets(campaigns: DataFrame, impressions: DataFrame,
+                      target_pct: str | Column) -> DataFrame:
+    """Restate budgets from delivery.
+
+    total = round(max(delivered / target, 0.10 * flight_days), 2) with target
+    a per-campaign percentage column; daily = round(total / flight_days, 2).
+    A campaign with no delivery gets the floor.
+    """
+    delivered = impressions.groupBy("campaign_id").agg(
+        F.sum("revenue_usd").cast(MONEY_SUM).alias("delivered"))
+    df = campaigns.join(delivered, "campaign_id", "left")
+    target = col(target_pct)
+    # delivered / (target / 100) in dollars = micros * 100 / (target * 10^6)
+    by_target = round_ratio(micros(F.coalesce("delivered", F.lit(0))) * 100,
+                            target * F.lit(1_000_000), 2, 12)
+    floor = (F.col("flight_days") * F.lit(Decimal("0.10"))).cast("decimal(12,2)")
+    total = F.greatest(by_target, floor)
+    df = df.withColumn("total_budget_usd", total)
+    daily = round_ratio((F.col("total_budget_usd") * 100).cast("decimal(38,0)"),
+                        F.col("flight_days") * 100, 2, 12)
+    return df.withColumn("daily_budget_usd", daily)
+
+
+def clearing_revenue(cents: str | Column, discount_pct: str | Column) -> tuple[Column, Column]:
+    """Per-impression price from a CPM bid in cents, and the cleared revenue
+    after a second-price discount (G8): price = CPM / 1000,
+    revenue = price * (100 - discount%) / 100, both to 6 dp."""
+    c = col(cents).cast("decimal(38,0)")
+    price = round_ratio(c, F.lit(100_000), 6)
+    revenue = round_ratio(c * (F.lit(100) - col(discount_pct)), F.lit(10_000_000), 6)
+    return price, revenue
+
+
+def platform_summary(impressions: DataFrame, requests: DataFrame) -> DataFrame:
+    """eCPM, completion, viewability, mean bid CPM, fill rate in one pass each."""
+    imp = impressions.agg(
+        F.count(F.lit(1)).alias("impressions"),
+        F.sum("revenue_usd").cast(MONEY_SUM).alias("revenue"),
+        F.sum("bid_price_usd").cast(MONEY_SUM).alias("bids"),
+        F.count_if("completed").alias("n_completed"),
+        F.count_if("is_viewable").alias("n_viewable"))
+    req = requests.agg(F.count(F.lit(1)).alias("requests"),
+                       F.count_if("was_filled").alias("filled"))
+    df = imp.crossJoin(req)
+    return df.select(
+        round_ratio(micros("revenue"), F.col("impressions") * 1000, 2).alias("ecpm_usd"),
+        round_ratio(F.col("n_completed") * 100, "impressions", 1).alias("completion_rate_pct"),
+        round_ratio(F.col("n_viewable") * 100, "impressions", 1).alias("viewability_rate_pct"),
+        round_ratio(micros("bids"), F.col("impressions") * 1000, 2).alias("avg_bid_cpm_usd"),
+        round_ratio(F.col("filled") * 100, "requests", 1).alias("fill_rate_pct"),
+    )
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """Rows per value of one column."""
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
+def viewing_summary(sessions: DataFrame) -> DataFrame:
+    """Total viewing hours (1 dp) and mean session minutes (2 dp)."""
+    agg = sessions.agg(F.sum("watch_seconds").alias("secs"), F.count(F.lit(1)).alias("n"))
+    return agg.select(
+        round_ratio("secs", F.lit(3600), 1).alias("viewing_hours"),
+        round_ratio("secs", F.col("n") * 60, 2).alias("mean_session_minutes"),
+        F.col("n").alias("sessions"))

@@ -130,7 +130,7 @@ def _ctes() -> list[tuple[str, str]]:
         SELECT p_brand || '|' || p_type AS campaign_id, p_brand AS advertiser_id,
                {_label('objective', 'k', pick(C.VERTICALS, 'n % 10'), fs)} AS campaign_name,
                objective,
-               {rr('total_cents', 'flight_days * 100', 2, 12)} AS daily_budget_usd,
+               {rr('total_cents', 'CAST(flight_days AS BIGINT) * 100', 2, 12)} AS daily_budget_usd,
                CAST(CAST(total_cents AS DECIMAL(18,0)) * 0.01 AS DECIMAL(12,2)) AS total_budget_usd,
                flight_start, flight_start + flight_days - 1 AS flight_end,
                CAST(flight_days AS SMALLINT) AS flight_days,
