@@ -52,21 +52,25 @@ def micros(amount: str | Column) -> Column:
 
 
 def round_ratio(num: str | Column, den: str | Column, scale: int,
-                precision: int = 18) -> Column:
+                precision: int = 18, signed: bool = False) -> Column:
     """round(num / den, scale), half away from zero, computed exactly.
 
     ``num`` and ``den`` must be integral (integers or scale-0 decimals). The
-    quotient is formed in integer arithmetic, (2|n|10^s + |d|) div (2|d|), so
-    there is no intermediate decimal rounding (a decimal division would be
-    cut to scale 6 and rounded twice). Null when ``den`` is 0 or null.
+    quotient is formed in integer arithmetic, (2n*10^s + d) div 2d, so there is
+    no intermediate decimal rounding (a decimal division would be cut to scale
+    6 and rounded twice). Null when ``den`` is 0 or null. With ``signed`` the
+    operands may be negative; the magnitude is rounded and the sign restored.
     """
     n = col(num).cast("decimal(38,0)")
     d = col(den).cast("decimal(38,0)")
-    two_n_scaled = (F.abs(n) * F.lit(2 * 10 ** scale)).cast("decimal(38,0)")
-    two_d = (F.abs(d) * F.lit(2)).cast("decimal(38,0)")
-    q = F.call_function("div", (two_n_scaled + F.abs(d)).cast("decimal(38,0)"), two_d)
-    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
-    out = signed.cast(f"decimal({precision},0)")
+    if signed:
+        an, ad = F.abs(n), F.abs(d)
+    else:
+        an, ad = n, d
+    q = F.call_function("div", an * F.lit(2 * 10 ** scale) + ad, ad * F.lit(2))
+    if signed:
+        q = q * F.when((n < 0) != (d < 0), F.lit(-1)).otherwise(F.lit(1))
+    out = q.cast(f"decimal({precision},0)")
     if scale > 0:
         out = out * F.lit(Decimal(1).scaleb(-scale))
     return F.when(d != 0, out.cast(f"decimal({precision},{scale})"))

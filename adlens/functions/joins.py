@@ -29,6 +29,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def literal_table(spark, rows, fields: list[tuple[str, str]]) -> DataFrame:
+    """A small constant table built JVM-side (inline of literal structs), so no
+    Python worker is involved; ``fields`` are (name, Spark SQL type)."""
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster when it has fewer splits than cores.
+
+    A large table stored as a few unsplittable files (one row group each)
+    would otherwise run every downstream map-side operator in a handful of
+    tasks. A scan of many files already has enough splits and is left as is,
+    so at scale this adds no shuffle.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def conform(df: DataFrame, schema) -> DataFrame:
     """Select and cast columns into the declared order and types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

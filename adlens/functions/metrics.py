@@ -45,24 +45,31 @@ def elapsed_days(full_date: str | Column, flight_start: str | Column) -> Column:
     return (F.datediff(col(full_date), col(flight_start)) + F.lit(1)).cast("int")
 
 
-def pacing_ratio(cumulative_spend: str | Column, budget: str | Column,
-                 elapsed: str | Column, flight_days: str | Column) -> Column:
-    """round(spend / (budget * least(elapsed / flight_days, 1.0)), 3).
-
-    Written as one exact division. With flight_days > 0 the ratio equals
-    spend * flight_days / (budget * least(elapsed, flight_days)); with a null or
-    zero flight length least(null, 1.0) is 1.0, so the ratio is spend / budget.
-    Null when the denominator is 0 (no budget, or elapsed = 0).
+def pacing_terms(cumulative_spend: str | Column, budget: str | Column,
+                 elapsed: str | Column, flight_days: str | Column) -> tuple[Column, Column]:
+    """Integral numerator and denominator of the pacing ratio.
+
+    spend / (budget * least(elapsed / flight_days, 1.0)) equals
+    spend * flight_days / (budget * least(elapsed, flight_days)) when
+    flight_days > 0; with a null or zero flight length least(null, 1.0) is
+    1.0, so it is spend / budget. Money is in micro-dollars and cents.
     """
     spend = micros(cumulative_spend)
     cents = (col(budget).cast("decimal(38,2)") * F.lit(100)).cast("decimal(38,0)")
-    fd = col(flight_days)
-    el = col(elapsed)
+    fd, el = col(flight_days), col(elapsed)
     has_flight = fd.isNotNull() & (fd != 0)
     num = F.when(has_flight, spend * fd.cast("decimal(38,0)")).otherwise(spend)
     den = F.when(has_flight, cents * F.least(el, fd).cast("decimal(38,0)")).otherwise(cents) \
         * F.lit(10_000)
-    return round_ratio(num, den, 3)
+    return num.cast("decimal(38,0)"), den.cast("decimal(38,0)")
+
+
+def pacing_ratio(cumulative_spend: str | Column, budget: str | Column,
+                 elapsed: str | Column, flight_days: str | Column) -> Column:
+    """round(spend / (budget * least(elapsed / flight_days, 1.0)), 3), exact;
+    null when the denominator is 0 (no budget, or elapsed = 0)."""
+    num, den = pacing_terms(cumulative_spend, budget, elapsed, flight_days)
+    return round_ratio(num, den, 3, signed=True)
 
 
 def pacing_status(ratio: str | Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlens import constants as C
 from adlens.functions.exprs import round_ratio
-from adlens.functions.joins import broadcast_if_small
+from adlens.functions.joins import broadcast_if_small, literal_table
 from adlens.operators.prep import slot_table
 
 
@@ -56,7 +56,7 @@ def audit_watch_monotone(sessions: DataFrame, spark: SparkSession) -> DataFrame:
 
 def audit_ad_tier_only(sessions: DataFrame, subscribers: DataFrame) -> DataFrame:
     """Only ad-supported subscribers have viewing sessions (V4)."""
-    tiers = broadcast_if_small(subscribers.select("subscriber_id", "subscription_tier"))
+    tiers = broadcast_if_small(subscribers).select("subscriber_id", "subscription_tier")
     s = sessions.select("subscriber_id").join(tiers, "subscriber_id", "left")
     return _summary(s, F.col("subscription_tier").isNull() |
                     (F.col("subscription_tier") == C.NO_ADS_TIER))
@@ -75,7 +75,7 @@ def audit_session_window(sessions: DataFrame, start, end) -> DataFrame:
 def audit_orphan_requests(requests: DataFrame, sessions: DataFrame) -> DataFrame:
     """Every request belongs to a known session (V7), by left-anti join."""
     orphans = requests.select("session_id").join(
-        broadcast_if_small(sessions.select("session_id")), "session_id", "left_anti")
+        broadcast_if_small(sessions).select("session_id"), "session_id", "left_anti")
     total = requests.agg(F.count(F.lit(1)).alias("checked"))
     n = orphans.agg(F.count(F.lit(1)).alias("violations"))
     return total.crossJoin(n).withColumn("passed", F.col("violations") == 0)
@@ -123,7 +123,7 @@ def ad_load_per_hour(requests: DataFrame, sessions: DataFrame,
 
 def _prefix_table(spark: SparkSession) -> DataFrame:
     rows = [(obj, p) for obj, names in C.CAMPAIGN_PREFIXES.items() for p in names]
-    return spark.createDataFrame(rows, "objective string, prefix string")
+    return literal_table(spark, rows, [("objective", "string"), ("prefix", "string")])
 
 
 def audit_campaign_name(campaigns: DataFrame, spark: SparkSession) -> DataFrame:
@@ -142,7 +142,7 @@ def audit_campaign_name(campaigns: DataFrame, spark: SparkSession) -> DataFrame:
 
 def audit_objectives(campaigns: DataFrame, spark: SparkSession) -> DataFrame:
     """Every objective is represented (V13): objectives with their counts."""
-    objs = spark.createDataFrame([(o,) for o in C.OBJECTIVES], "objective string")
+    objs = literal_table(spark, [(o,) for o in C.OBJECTIVES], [("objective", "string")])
     counts = campaigns.groupBy("objective").agg(F.count(F.lit(1)).alias("campaigns"))
     return F.broadcast(objs).join(counts, "objective", "left").select(
         "objective", F.coalesce("campaigns", F.lit(0)).alias("campaigns")).withColumn(
@@ -199,7 +199,7 @@ def audit_filled_vs_served(requests: DataFrame, impressions: DataFrame) -> DataF
 
 def audit_in_flight(impressions: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Impressions fall inside their campaign's flight."""
-    cmp = broadcast_if_small(campaigns.select("campaign_id", "flight_start", "flight_end"))
+    cmp = broadcast_if_small(campaigns).select("campaign_id", "flight_start", "flight_end")
     j = impressions.select("campaign_id", F.to_date("impression_timestamp").alias("d")).join(
         cmp, "campaign_id", "left")
     return _summary(j, F.col("flight_start").isNull() | (F.col("d") < F.col("flight_start")) |

@@ -38,7 +38,7 @@ def dim_advertisers(stg_advertisers: DataFrame) -> DataFrame:
 
 def dim_campaigns(stg_campaigns: DataFrame, dim_adv: DataFrame) -> DataFrame:
     """Campaigns carrying their advertiser's key; inner join drops orphans."""
-    adv = broadcast_if_small(dim_adv.select("advertiser_key", "advertiser_id"))
+    adv = broadcast_if_small(dim_adv).select("advertiser_key", "advertiser_id")
     df = (stg_campaigns.join(adv, "advertiser_id")
           .select(surrogate_key("campaign_id").alias("campaign_key"), "*"))
     return conform(df, CONTRACTS["dim_campaigns"])

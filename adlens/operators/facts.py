@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from adlens.functions.exprs import date_key
 from adlens.functions.joins import broadcast_if_small, conform
-from adlens.functions.metrics import elapsed_days, pacing_ratio, pacing_status
+from adlens.functions.exprs import round_ratio
+from adlens.functions.metrics import elapsed_days, pacing_status, pacing_terms
 from adlens.sources.schemas import CONTRACTS, MONEY_SUM
 
 
@@ -22,12 +23,12 @@ def fct_ad_impressions(stg_imp: DataFrame, dim_campaigns: DataFrame,
     dimension over the bound joins by shuffle instead.
     """
     imp = stg_imp.withColumn("date_key", date_key("impression_timestamp"))
-    cmp = broadcast_if_small(dim_campaigns.select("campaign_key", "campaign_id"))
-    adv = broadcast_if_small(dim_advertisers.select("advertiser_key", "advertiser_id"))
-    slt = broadcast_if_small(dim_ad_slots.select("slot_key", "slot_position"))
-    dt = broadcast_if_small(dim_date.select("date_key"))
-    sub = broadcast_if_small(dim_subscribers.select("subscriber_key", "subscriber_id"))
-    cnt = broadcast_if_small(dim_content.select("content_key", "content_id"))
+    cmp = broadcast_if_small(dim_campaigns).select("campaign_key", "campaign_id")
+    adv = broadcast_if_small(dim_advertisers).select("advertiser_key", "advertiser_id")
+    slt = broadcast_if_small(dim_ad_slots).select("slot_key", "slot_position")
+    dt = broadcast_if_small(dim_date).select("date_key")
+    sub = broadcast_if_small(dim_subscribers).select("subscriber_key", "subscriber_id")
+    cnt = broadcast_if_small(dim_content).select("content_key", "content_id")
     df = (imp.join(cmp, "campaign_id")
           .join(adv, "advertiser_id")
           .join(slt, "slot_position")
@@ -40,9 +41,9 @@ def fct_ad_impressions(stg_imp: DataFrame, dim_campaigns: DataFrame,
 def fct_viewing_sessions(stg_sessions: DataFrame, dim_subscribers: DataFrame,
                          dim_content: DataFrame, dim_date: DataFrame) -> DataFrame:
     ses = stg_sessions.withColumn("date_key", date_key("session_start"))
-    sub = broadcast_if_small(dim_subscribers.select("subscriber_key", "subscriber_id"))
-    cnt = broadcast_if_small(dim_content.select("content_key", "content_id"))
-    dt = broadcast_if_small(dim_date.select("date_key"))
+    sub = broadcast_if_small(dim_subscribers).select("subscriber_key", "subscriber_id")
+    cnt = broadcast_if_small(dim_content).select("content_key", "content_id")
+    dt = broadcast_if_small(dim_date).select("date_key")
     df = ses.join(sub, "subscriber_id").join(cnt, "content_id").join(dt, "date_key")
     return conform(df, CONTRACTS["fct_viewing_sessions"])
 
@@ -78,12 +79,15 @@ def fct_campaign_daily(fct_imp: DataFrame, dim_campaigns: DataFrame,
                        dim_date: DataFrame) -> DataFrame:
     """Campaign x day pacing: aggregate, running spend, elapsed days, ratio, status."""
     agg = campaign_daily_agg(fct_imp)
-    cmp = broadcast_if_small(dim_campaigns.select(
-        "campaign_key", "total_budget_usd", "flight_days", "flight_start"))
-    dt = broadcast_if_small(dim_date.select("date_key", "full_date"))
+    cmp = broadcast_if_small(dim_campaigns).select(
+        "campaign_key", "total_budget_usd", "flight_days", "flight_start")
+    dt = broadcast_if_small(dim_date).select("date_key", "full_date")
     cum = cumulative_spend(agg.join(cmp, "campaign_key").join(dt, "date_key"))
     cum = cum.withColumn("elapsed_days", elapsed_days("full_date", "flight_start"))
-    cum = cum.withColumn("budget_pacing_ratio", pacing_ratio(
-        "cumulative_spend", "total_budget_usd", "elapsed_days", "flight_days"))
+    # numerator and denominator as their own columns: each is computed once
+    # and the rounding expression stays small
+    num, den = pacing_terms("cumulative_spend", "total_budget_usd", "elapsed_days", "flight_days")
+    cum = cum.withColumns({"_num": num, "_den": den})
+    cum = cum.withColumn("budget_pacing_ratio", round_ratio("_num", "_den", 3, signed=True))
     cum = cum.withColumn("pacing_status", pacing_status("budget_pacing_ratio"))
     return conform(cum, CONTRACTS["fct_campaign_daily"])

@@ -24,7 +24,7 @@ def daily_requests(stg_requests: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Requests per calendar day (A3); days outside the calendar are dropped."""
     per_day = (stg_requests.groupBy(date_key("request_timestamp").alias("date_key"))
                .agg(F.count(F.lit(1)).alias("total_requests")))
-    return per_day.join(broadcast_if_small(dim_date.select("date_key")), "date_key")
+    return per_day.join(broadcast_if_small(dim_date).select("date_key"), "date_key")
 
 
 def daily_impressions(fct_imp: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def mart_platform_health(stg_requests: DataFrame, fct_imp: DataFrame,
           .agg(F.count(F.lit(1)).alias("total_requests")))
     di = daily_impressions(fct_imp)
     dv = daily_viewing(fct_sessions)
-    dd = broadcast_if_small(dim_date.select("date_key", "full_date"))
+    dd = broadcast_if_small(dim_date).select("date_key", "full_date")
     # a using-column full outer join yields coalesce(dr.date_key, di.date_key)
     days = dr.join(di, "date_key", "full_outer").join(dd, "date_key").join(dv, "date_key", "left")
     imps = F.coalesce("total_impressions", F.lit(0))
@@ -82,10 +82,10 @@ def mart_platform_health(stg_requests: DataFrame, fct_imp: DataFrame,
 def mart_campaign_performance(fct_daily: DataFrame, dim_campaigns: DataFrame,
                               dim_advertisers: DataFrame) -> DataFrame:
     """Campaign x day pacing with names, vertical and cap (M5)."""
-    dc = broadcast_if_small(dim_campaigns.select(
-        "campaign_key", "advertiser_key", "campaign_name", "frequency_cap"))
-    da = broadcast_if_small(dim_advertisers.select(
-        "advertiser_key", "company_name", "industry_vertical"))
+    dc = broadcast_if_small(dim_campaigns).select(
+        "campaign_key", "advertiser_key", "campaign_name", "frequency_cap")
+    da = broadcast_if_small(dim_advertisers).select(
+        "advertiser_key", "company_name", "industry_vertical")
     df = fct_daily.join(dc, "campaign_key").join(da, "advertiser_key")
     return df.select(
         "campaign_key", "campaign_name", "company_name", "industry_vertical", "date_key",
@@ -114,8 +114,8 @@ def mart_advertiser_summary(fct_imp: DataFrame, dim_advertisers: DataFrame) -> D
         F.count_if("is_viewable").alias("n_viewable"),
         F.count_distinct("campaign_key").alias("campaign_count"),
     )
-    da = broadcast_if_small(dim_advertisers.select(
-        "advertiser_key", "company_name", "industry_vertical", "spend_tier"))
+    da = broadcast_if_small(dim_advertisers).select(
+        "advertiser_key", "company_name", "industry_vertical", "spend_tier")
     total = F.broadcast(platform_total(fct_imp))  # exactly one row
     df = agg.join(da, "advertiser_key").crossJoin(total)
     return df.select(
@@ -154,7 +154,7 @@ def subscriber_campaign_counts(fct_imp: DataFrame) -> DataFrame:
 def mart_frequency_analysis(fct_imp: DataFrame, dim_campaigns: DataFrame) -> DataFrame:
     """Reach, subscribers strictly over the cap, excess impressions (M8)."""
     pairs = subscriber_campaign_counts(fct_imp)
-    caps = broadcast_if_small(dim_campaigns.select("campaign_key", "frequency_cap"))
+    caps = broadcast_if_small(dim_campaigns).select("campaign_key", "frequency_cap")
     n = F.col("total_impressions_to_subscriber")
     cap = F.col("frequency_cap")
     over = n > cap
@@ -164,7 +164,7 @@ def mart_frequency_analysis(fct_imp: DataFrame, dim_campaigns: DataFrame) -> Dat
         F.sum(F.when(over, n - cap).otherwise(F.lit(0))).cast("long").alias("total_violations"),
         F.sum(n).alias("impressions"),
     )
-    names = broadcast_if_small(dim_campaigns.select("campaign_key", "campaign_name"))
+    names = broadcast_if_small(dim_campaigns).select("campaign_key", "campaign_name")
     return per_campaign.join(names, "campaign_key").select(
         "campaign_key", "campaign_name", "frequency_cap", "total_subscribers",
         "subscribers_exceeding_cap", "total_violations",
@@ -184,7 +184,7 @@ def mart_content_monetization(fct_imp: DataFrame, dim_content: DataFrame) -> Dat
         F.sum("revenue_usd").alias("rev"),
         F.sum("view_duration_sec").alias("view"),
     )
-    dc = broadcast_if_small(dim_content.select("content_key", "genre"))
+    dc = broadcast_if_small(dim_content).select("content_key", "genre")
     per_genre = per_title.join(dc, "content_key").groupBy("genre", "date_key").agg(
         F.sum("n").alias("impressions"),
         F.sum("rev").cast(MONEY_SUM).alias("revenue_usd"),

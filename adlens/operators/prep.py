@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from adlens import constants as C
 from adlens.functions.exprs import col, date_key, lookup, micros, pick, round_ratio
+from adlens.functions.joins import literal_table
 from adlens.sources.schemas import MONEY_SUM
 
 UNIT_BITS = 32          # allocation draws are 32-bit integers in [0, 2^32)
@@ -53,7 +54,8 @@ def slot_table(spark: SparkSession) -> DataFrame:
     """The six slots with their firing depth and time fraction (hundredths)."""
     rows = [(name, i, int(Decimal(frac) * 100)) for i, (name, _, _, _, frac)
             in enumerate(C.AD_SLOTS)]
-    return spark.createDataFrame(rows, "slot_position string, slot_depth int, frac_pct int")
+    return literal_table(spark, rows, [("slot_position", "string"), ("slot_depth", "int"),
+                                       ("frac_pct", "int")])
 
 
 def expand_sessions(sessions: DataFrame, spark: SparkSession) -> DataFrame:

@@ -245,6 +245,7 @@ def duplicate_keys(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def uniqueness_checks(model: str, df: DataFrame, spec: dict, types=(U, UC)) -> list[DataFrame]:
+    """One grouped count per unique key of one model (see ``batched_uniqueness``)."""
     out = []
     if U in types:
         for c in spec.get(U, []):
@@ -257,9 +258,63 @@ def uniqueness_checks(model: str, df: DataFrame, spec: dict, types=(U, UC)) -> l
     return out
 
 
+def _key_text(cols: list[str]) -> F.Column:
+    """An injective text form of a key: the value itself for one column, the
+    JSON of the struct for several (null fields are left out, so a null and a
+    value never collide)."""
+    if len(cols) == 1:
+        return F.col(cols[0]).cast("string")
+    return F.to_json(F.struct(*[F.col(c) for c in cols]))
+
+
+def batched_uniqueness(models: list[str], resolve, types=(U, UC)) -> DataFrame | None:
+    """All unique and unique-combination checks in ONE shuffle.
+
+    Each model contributes (check id, key text) rows for every key it must
+    keep unique; a single groupBy(check, key) counts occurrences, and a second,
+    tiny aggregation counts the duplicated keys per check. Partial aggregation
+    before the shuffle collapses repeated keys, so a hot key costs one row per
+    task. Checks without duplicates still report 0 (outer join to the list).
+    """
+    checks, parts = [], []
+    for model in models:
+        spec = CHECKS[model]
+        keys = []
+        if U in types:
+            keys += [(U, [c]) for c in spec.get(U, [])]
+        if UC in types:
+            keys += [(UC, cols) for cols in spec.get(UC, [])]
+        if not keys:
+            continue
+        df = resolve(model)
+        tagged = []
+        for kind, cols in keys:
+            cid = len(checks)
+            checks.append((cid, model, kind, ",".join(cols)))
+            text = _key_text(cols)
+            # unique ignores null keys; unique_combination does not
+            keep = F.col(cols[0]).isNotNull() if kind == U else F.lit(True)
+            tagged.append(F.when(keep, F.struct(F.lit(cid).alias("cid"), text.alias("k"))))
+        rows = df.select(F.explode(F.array(*tagged)).alias("t")).filter(F.col("t").isNotNull())
+        parts.append(rows.select("t.cid", "t.k"))
+    if not parts:
+        return None
+    spark = parts[0].sparkSession
+    allkeys = reduce(DataFrame.unionByName, parts)
+    dup = (allkeys.groupBy("cid", "k").count().filter(F.col("count") > 1)
+           .groupBy("cid").agg(F.count(F.lit(1)).alias("n")))
+    from adlens.functions.joins import literal_table
+    listing = literal_table(spark, checks, [("cid", "int"), ("model", "string"),
+                                            ("check_name", "string"), ("column_name", "string")])
+    return F.broadcast(listing).join(dup, "cid", "left").select(
+        "model", "check_name", "column_name",
+        F.coalesce("n", F.lit(0)).cast("long").alias("failures"))
+
+
 def orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child rows with a non-null key missing from the parent (left anti join)."""
-    keys = broadcast_if_small(parent.select(F.col(parent_col).alias("__pk")).distinct())
+    # the parent key is unique by its own test; anti join needs no distinct
+    keys = broadcast_if_small(parent).select(F.col(parent_col).alias("__pk"))
     return (child.filter(F.col(col).isNotNull())
             .join(keys, F.col(col) == F.col("__pk"), "left_anti"))
 
@@ -280,15 +335,18 @@ def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
     models (see ``Warehouse.materialize``) so each model is computed once.
     """
     parts: list[DataFrame] = []
-    for model in models or list(CHECKS):
+    models = models or list(CHECKS)
+    for model in models:
         spec = CHECKS[model]
         df = resolve(model)
         row_level = row_level_checks(model, df, spec, [t for t in types if t in (NN, AV, AR)])
         if row_level is not None:
             parts.append(row_level)
-        parts += uniqueness_checks(model, df, spec, [t for t in types if t in (U, UC)])
         if FK in types:
             parts += relationship_checks(model, df, spec, resolve)
+    uniq = batched_uniqueness(models, resolve, [t for t in types if t in (U, UC)])
+    if uniq is not None:
+        parts.append(uniq)
     return reduce(DataFrame.unionByName, parts)
 
 

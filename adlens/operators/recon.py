@@ -32,8 +32,8 @@ def recon_revenue_share(summary: DataFrame) -> DataFrame:
 def recon_elapsed_days(fct_daily: DataFrame, dim_date: DataFrame,
                        dim_campaigns: DataFrame) -> DataFrame:
     """elapsed_days equals calendar days since flight start (R2)."""
-    dd = broadcast_if_small(dim_date.select("date_key", "full_date"))
-    dc = broadcast_if_small(dim_campaigns.select("campaign_key", "flight_start"))
+    dd = broadcast_if_small(dim_date).select("date_key", "full_date")
+    dc = broadcast_if_small(dim_campaigns).select("campaign_key", "flight_start")
     df = fct_daily.select("campaign_key", "date_key", "elapsed_days").join(dd, "date_key") \
         .join(dc, "campaign_key")
     return df.select(
@@ -74,8 +74,8 @@ def recon_pacing_ratio(fct_daily: DataFrame) -> DataFrame:
     spend = micros("cumulative_spend")
     cents = (F.col("total_budget_usd") * F.lit(100)).cast("decimal(38,0)")
     fd, el = F.col("flight_days"), F.col("elapsed_days")
-    whole_budget = round_ratio(spend, cents * F.lit(10_000), 3)
-    partial = round_ratio(spend * fd, cents * el * F.lit(10_000), 3)
+    whole_budget = round_ratio(spend, cents * F.lit(10_000), 3, signed=True)
+    partial = round_ratio(spend * fd, cents * el * F.lit(10_000), 3, signed=True)
     expected = (F.when(fd.isNull() | (fd == 0) | (el >= fd), whole_budget)
                 .otherwise(partial))
     df = fct_daily.select("campaign_key", "date_key", "budget_pacing_ratio",

@@ -29,8 +29,18 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
+_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+
+
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse.from_testdata(spark, sf_dir)
+    """The session's warehouse over ``sf_dir``: dimensions cached, facts
+    written once and shared by every query of the session."""
+    key = (id(spark), sf_dir)
+    w = _WAREHOUSES.get(key)
+    if w is None or w.spark is not spark:
+        w = Warehouse.from_testdata(spark, sf_dir, persist=True)
+        _WAREHOUSES[key] = w
+    return w
 
 
 def _model_query(name: str) -> Query:

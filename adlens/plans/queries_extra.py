@@ -206,8 +206,7 @@ def _check_sql(types) -> str:
 
 def _dq(types):
     def run(spark, sf_dir):
-        w = wh(spark, sf_dir)
-        w.materialize()   # facts written once; every check reads the written copy
+        w = wh(spark, sf_dir)   # facts already written once; checks read the written copy
         return quality.run_checks(w.model, types=types)
     return run
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from adlens import constants as C
 from adlens.functions.exprs import date_key, pick, round_ratio
-from adlens.functions.joins import conform
+from adlens.functions.joins import conform, literal_table, spread
 from adlens.sources.schemas import RAW_SCHEMAS
 
 # FIXED VALUES of the binding.
@@ -39,6 +39,11 @@ COUNTRIES = ["US", "CA", "GB"]
 TPCH_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
+# Tables that grow with the data; their scans are spread over the cluster when
+# stored in too few splits (see ``spread``).
+LARGE_TABLES = {"lineitem", "orders"}
+
+
 def read_tpch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -71,8 +76,9 @@ class TestdataBinding:
 
     # -- small reference tables ------------------------------------------
     def ad_slots(self) -> DataFrame:
-        rows = [(s, d, Decimal(c), Decimal(v)) for s, d, c, v, _ in C.AD_SLOTS]
-        return self.spark.createDataFrame(rows, RAW_SCHEMAS["ad_slots"])
+        rows = [(s, d, c, v) for s, d, c, v, _ in C.AD_SLOTS]
+        return literal_table(self.spark, rows, [
+            (f.name, f.dataType.simpleString()) for f in RAW_SCHEMAS["ad_slots"].fields])
 
     def dates_ads(self) -> DataFrame:
         from adlens.operators.dims import calendar
@@ -162,8 +168,8 @@ class TestdataBinding:
 
     # -- activity ----------------------------------------------------------
     def viewing_sessions(self) -> DataFrame:
-        orders = self._t("orders").select("o_orderkey", "o_custkey", "o_totalprice",
-                                          "o_orderdate", "o_orderpriority")
+        orders = spread(self._t("orders").select("o_orderkey", "o_custkey", "o_totalprice",
+                                                 "o_orderdate", "o_orderpriority"))
         # one-row scalar: structurally bounded, safe to broadcast
         n_content = F.broadcast(self._t("supplier").agg(F.count(F.lit(1)).alias("n_content")))
         ok = F.col("o_orderkey")
@@ -181,9 +187,9 @@ class TestdataBinding:
         return conform(df, RAW_SCHEMAS["viewing_sessions"])
 
     def _request_base(self) -> DataFrame:
-        li = self._t("lineitem").select(
+        li = spread(self._t("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+            "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"))
         orders = self._t("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         base = li.join(orders, li.l_orderkey == orders.o_orderkey)
         return base.select(
