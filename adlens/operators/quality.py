@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens import constants as C
-from adlens.functions.joins import broadcast_if_small
+from adlens.functions.joins import broadcast_if_small, is_small
 
 NN, U, AV, FK, AR, UC = ("not_null", "unique", "accepted_values", "relationships",
                          "accepted_range", "unique_combination_of_columns")
@@ -210,8 +210,15 @@ def out_of_range(c: F.Column, lo, hi) -> F.Column:
 
 
 def row_level_checks(model: str, df: DataFrame, spec: dict,
-                     types=(NN, AV, AR)) -> DataFrame | None:
-    """not_null, accepted_values and accepted_range of one model in one pass."""
+                     types=(NN, AV, AR), resolve=None) -> DataFrame | None:
+    """not_null, accepted_values and accepted_range of one model in ONE
+    aggregation pass.
+
+    With FK in ``types`` (and a ``resolve``) relationships join the same pass:
+    each left-joins the parent's distinct keys and counts unmatched non-null
+    child keys. ``run_checks`` uses the anti-join form instead, which needs no
+    distinct over the parent.
+    """
     aggs, labels = [], []
     if NN in types:
         for c in spec.get(NN, []):
@@ -226,6 +233,14 @@ def row_level_checks(model: str, df: DataFrame, spec: dict,
         for c, (lo, hi) in spec.get(AR, {}).items():
             aggs.append(F.count_if(out_of_range(F.col(c), lo, hi)))
             labels.append((AR, c))
+    if FK in types and resolve is not None:
+        for i, (c, (parent, pcol)) in enumerate(spec.get(FK, {}).items()):
+            pdf = resolve(parent)
+            keys = pdf.select(F.col(pcol).alias(f"__fk{i}")).distinct()
+            keys = F.broadcast(keys) if is_small(pdf) else keys
+            df = df.join(keys, F.col(c) == F.col(f"__fk{i}"), "left")
+            aggs.append(F.count_if(F.col(c).isNotNull() & F.col(f"__fk{i}").isNull()))
+            labels.append((FK, c))
     if not aggs:
         return None
     counts = df.agg(*[a.alias(f"c{i}") for i, a in enumerate(aggs)])

@@ -67,6 +67,8 @@ def _tier_from_segment(seg: F.Column) -> F.Column:
 class TestdataBinding:
     """Lazily derived raw tables over one scale-factor directory."""
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
