@@ -44,3 +44,28 @@ def test_reconciliations_pass_on_test_tables(spark, sf_small):
     for key in ["recon_revenue_share", "recon_elapsed_days", "recon_hhi", "recon_filled",
                 "recon_pacing_ratio", "recon_pacing_status", "recon_platform_health", "recon_rpsh"]:
         assert q[key](spark, sf_small).filter("NOT passed").count() == 0, key
+
+
+def test_full_build_reports_the_known_data_breaches(spark, sf_small):
+    """The test tables contain impressions before their flight (negative
+    elapsed days and ratios) and request-only days (null completion); the
+    build must surface exactly those and fail."""
+    import tempfile
+    from adlens.plans.build import build
+    from adlens.sources.testdata import bind_testdata
+    raw = bind_testdata(spark, sf_small)
+    out = tempfile.mkdtemp(prefix="adlens-build-", dir="/tmp")
+    result = build(spark, raw, out_dir=out, fail_on_error=False)
+    failing = {(r.model, r.check_name, r.column_name)
+               for r in result.checks.filter("failures > 0").collect()}
+    assert failing == {
+        ("mart_platform_health", "not_null", "completion_rate_pct"),
+        ("mart_platform_health", "not_null", "viewability_rate_pct"),
+        ("mart_campaign_performance", "accepted_range", "elapsed_days"),
+        ("mart_campaign_performance", "accepted_range", "budget_pacing_ratio"),
+    }
+    assert result.reconciliations.filter("failing_rows > 0").count() == 0
+    assert spark.read.parquet(f"{out}/fct_campaign_daily").count() > 0
+    from adlens.operators.quality import assert_clean
+    with pytest.raises(AssertionError, match="elapsed_days"):
+        assert_clean(result.checks)
