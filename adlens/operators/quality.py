@@ -343,26 +343,111 @@ def relationship_checks(model: str, df: DataFrame, spec: dict, resolve) -> list[
     return out
 
 
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "\\'") + "'"
+
+
+def _row_level_sql(model: str, view: str, spec: dict, types) -> str | None:
+    aggs, labels = [], []
+    if NN in types:
+        for c in spec.get(NN, []):
+            aggs.append(f"count_if({_q(c)} IS NULL)")
+            labels.append((NN, c))
+    if AV in types:
+        for c, values in spec.get(AV, {}).items():
+            lst = ", ".join(_lit(v) for v in values)
+            aggs.append(f"count(DISTINCT CASE WHEN {_q(c)} IS NOT NULL AND {_q(c)} NOT IN ({lst}) "
+                        f"THEN {_q(c)} END)")
+            labels.append((AV, c))
+    if AR in types:
+        for c, (lo, hi) in spec.get(AR, {}).items():
+            conds = ([f"{_q(c)} < {lo}"] if lo is not None else []) + \
+                    ([f"{_q(c)} > {hi}"] if hi is not None else [])
+            aggs.append(f"count_if({' OR '.join(conds)})")
+            labels.append((AR, c))
+    if not aggs:
+        return None
+    cols = ", ".join(f"CAST({a} AS BIGINT) AS c{i}" for i, a in enumerate(aggs))
+    stacked = ", ".join(f"{_lit(t)}, {_lit(c)}, c{i}" for i, (t, c) in enumerate(labels))
+    return (f"SELECT {_lit(model)} AS model, check_name, column_name, failures FROM "
+            f"(SELECT stack({len(labels)}, {stacked}) AS (check_name, column_name, failures) "
+            f"FROM (SELECT {cols} FROM {view}))")
+
+
 def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
     """All checks of ``types`` over ``models``; ``resolve(name)`` gives a model.
 
-    Returns one row per check. Callers at scale should hand in materialised
-    models (see ``Warehouse.materialize``) so each model is computed once.
+    The whole report is ONE Spark SQL statement over a temp view per model
+    (planned in the JVM, so building it costs a handful of driver calls
+    whatever the number of checks):
+
+    * per model, one aggregation pass for not_null / accepted_values /
+      accepted_range, unpivoted with ``stack``;
+    * per relationship, a LEFT ANTI join against the parent key, with a
+      BROADCAST hint only when the parent passed the row-bound check;
+    * all unique / unique-combination checks in one grouped shuffle over
+      (check id, key text), then a tiny count of duplicated keys per check.
+
+    Callers at scale should hand in materialised models (``Warehouse`` with
+    ``persist``) so each model is computed once.
     """
-    parts: list[DataFrame] = []
     models = models or list(CHECKS)
+    views: dict[str, str] = {}
+    spark = None
+
+    def view(name: str) -> str:
+        nonlocal spark
+        if name not in views:
+            df = resolve(name)
+            spark = df.sparkSession
+            views[name] = f"adlens_dq_{name}_{abs(df.semanticHash())}"
+            df.createOrReplaceTempView(views[name])
+        return views[name]
+
+    parts: list[str] = []
+    for model in models:
+        sql = _row_level_sql(model, view(model), CHECKS[model], types)
+        if sql:
+            parts.append(sql)
+    if FK in types:
+        for model in models:
+            for c, (parent, pcol) in CHECKS[model].get(FK, {}).items():
+                hint = "/*+ BROADCAST(p) */ " if is_small(resolve(parent)) else ""
+                parts.append(
+                    f"SELECT {hint}{_lit(model)} AS model, {_lit(FK)} AS check_name, "
+                    f"{_lit(c)} AS column_name, count(*) AS failures "
+                    f"FROM {view(model)} AS ch LEFT ANTI JOIN "
+                    f"(SELECT {_q(pcol)} AS pk FROM {view(parent)}) AS p "
+                    f"ON ch.{_q(c)} = p.pk WHERE ch.{_q(c)} IS NOT NULL")
+    keys, listing = [], []
     for model in models:
         spec = CHECKS[model]
-        df = resolve(model)
-        row_level = row_level_checks(model, df, spec, [t for t in types if t in (NN, AV, AR)])
-        if row_level is not None:
-            parts.append(row_level)
-        if FK in types:
-            parts += relationship_checks(model, df, spec, resolve)
-    uniq = batched_uniqueness(models, resolve, [t for t in types if t in (U, UC)])
-    if uniq is not None:
-        parts.append(uniq)
-    return reduce(DataFrame.unionByName, parts)
+        checks = ([(U, [c]) for c in spec.get(U, [])] if U in types else []) + \
+                 ([(UC, cols) for cols in spec.get(UC, [])] if UC in types else [])
+        for kind, cols in checks:
+            cid = len(listing)
+            listing.append(f"({cid}, {_lit(model)}, {_lit(kind)}, {_lit(','.join(cols))})")
+            if len(cols) == 1:
+                text = f"CAST({_q(cols[0])} AS STRING)"
+            else:   # JSON of the struct: injective, nulls left out
+                text = "to_json(named_struct(" + ", ".join(
+                    f"{_lit(c)}, {_q(c)}" for c in cols) + "))"
+            where = f" WHERE {_q(cols[0])} IS NOT NULL" if kind == U else ""
+            keys.append(f"SELECT {cid} AS cid, {text} AS k FROM {view(model)}{where}")
+    if keys:
+        parts.append(
+            "SELECT l.model, l.check_name, l.column_name, CAST(coalesce(d.n, 0) AS BIGINT) AS failures "
+            f"FROM (SELECT * FROM VALUES {', '.join(listing)} AS t(cid, model, check_name, column_name)) AS l "
+            "LEFT JOIN (SELECT cid, count(*) AS n FROM (SELECT cid, k FROM ("
+            + " UNION ALL ".join(keys) +
+            ") GROUP BY cid, k HAVING count(*) > 1) GROUP BY cid) AS d ON l.cid = d.cid")
+    if spark is None:
+        raise ValueError("no checks selected")
+    return spark.sql("\nUNION ALL\n".join(f"({p})" for p in parts))
 
 
 def failing(report: DataFrame) -> DataFrame:
