@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
+    """A fresh path for an intermediate table under the shared checkpoint folder.
+
+    Unique per call, so two warehouses in one session (e.g. over two data
+    folders) never write to the same place.
+    """
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "adlens-tables", f"{name}-{os.getpid()}-{id(spark)}")
+    return os.path.join(base, "adlens-tables", f"{name}-{uuid.uuid4().hex}")

@@ -69,3 +69,15 @@ def test_full_build_reports_the_known_data_breaches(spark, sf_small):
     from adlens.operators.quality import assert_clean
     with pytest.raises(AssertionError, match="elapsed_days"):
         assert_clean(result.checks)
+
+
+def test_two_data_folders_in_one_session_do_not_collide(spark, sf_small):
+    """Warehouses over different folders keep separate written tables."""
+    q = entry_mod.queries()
+    small = q["stg_ad_impressions"](spark, sf_small).count()
+    other = "/root/testdata/sf0.01"
+    import os
+    if not os.path.exists(f"{other}/lineitem.parquet"):
+        pytest.skip("second folder not present")
+    bigger = q["stg_ad_impressions"](spark, other).count()
+    assert q["stg_ad_impressions"](spark, sf_small).count() == small < bigger
