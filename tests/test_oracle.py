@@ -81,3 +81,17 @@ def test_two_data_folders_in_one_session_do_not_collide(spark, sf_small):
         pytest.skip("second folder not present")
     bigger = q["stg_ad_impressions"](spark, other).count()
     assert q["stg_ad_impressions"](spark, sf_small).count() == small < bigger
+
+
+def test_report_reads_are_named_and_ordered(spark, sf_small):
+    from adlens.operators.report import REPORTS, fetch
+    from adlens.plans.catalog import wh
+    w = wh(spark, sf_small)
+    with pytest.raises(KeyError):
+        fetch(w, "no_such_report")
+    days = [r.full_date for r in fetch(w, "platform_health").select("full_date").collect()]
+    assert days == sorted(days) and len(days) > 0
+    spend = [r.total_spend for r in fetch(w, "advertiser_summary").select("total_spend").collect()]
+    assert spend == sorted(spend, reverse=True)
+    assert set(REPORTS) == {"platform_health", "campaign_performance", "frequency_analysis",
+                            "advertiser_summary", "advertiser_concentration"}
