@@ -4,29 +4,68 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest dimension (rows) shipped to every task as a broadcast. Beyond it the
-# join stays a shuffle join and AQE re-plans it from runtime sizes.
+# Largest dimension shipped to every task as a broadcast: at most this many
+# rows and this many bytes of column data. Beyond either bound the join stays
+# a shuffle join and AQE re-plans it from runtime sizes.
 DEFAULT_BROADCAST_ROWS = 200_000
-
-_checked: dict[tuple[int, int], bool] = {}
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows (the limit stops the scan early), and
-    remembers the answer per logical plan so a dimension is checked once.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+_checked: dict[tuple[int, int, int], bool] = {}
+
+
+def _row_bytes(df: DataFrame) -> F.Column:
+    """Bytes of one row: actual length of strings and binaries, the type's
+    width for everything else."""
+    parts = []
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("long"))
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0)).cast("long"))
+        else:
+            parts.append(F.lit(int(getattr(t, "defaultSize", lambda: 8)())).cast("long"))
+    out = F.lit(0).cast("long")
+    for p in parts:
+        out = out + p
+    return out
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    Reads at most ``max_rows + 1`` rows (the limit stops the scan early) in one
+    aggregate, and remembers the answer per logical plan so a dimension is
+    checked once per session.
     """
-    key = (df.semanticHash(), max_rows)
+    key = (df.semanticHash(), max_rows, max_bytes)
     if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+        probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                           F.sum(_row_bytes(df)).alias("b")).first()
+        _checked[key] = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
     return _checked[key]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise a shuffle join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a checked row and byte bound; otherwise a
+    shuffle join."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+
+
+def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
+    """Attach the columns of the one-row aggregate ``totals`` to every row of ``df``.
+
+    ``totals`` runs once as a scalar subquery and its values are inlined into
+    the projection, so there is no join (and no nested-loop plan) at all. The
+    columns of ``totals`` travel as one struct referenced once, so the
+    subquery runs once.
+    """
+    packed = totals.select(F.struct(*totals.columns).alias("t")).scalar()
+    return df.select("*", packed.alias("_totals")).select(*df.columns, "_totals.*")
 
 
 def literal_table(spark, rows, fields: list[tuple[str, str]]) -> DataFrame:

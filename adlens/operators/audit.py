@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlens import constants as C
 from adlens.functions.exprs import round_ratio
-from adlens.functions.joins import broadcast_if_small, literal_table
+from adlens.functions.joins import broadcast_if_small, literal_table, with_totals
 from adlens.operators.prep import slot_table
 
 
@@ -78,7 +78,7 @@ def audit_orphan_requests(requests: DataFrame, sessions: DataFrame) -> DataFrame
         broadcast_if_small(sessions).select("session_id"), "session_id", "left_anti")
     total = requests.agg(F.count(F.lit(1)).alias("checked"))
     n = orphans.agg(F.count(F.lit(1)).alias("violations"))
-    return total.crossJoin(n).withColumn("passed", F.col("violations") == 0)
+    return with_totals(total, n).withColumn("passed", F.col("violations") == 0)
 
 
 def audit_request_counts(requests: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def ad_load_per_hour(requests: DataFrame, sessions: DataFrame,
     """Ad requests per viewing hour, and whether it lies in [lo, hi]."""
     n = requests.agg(F.count(F.lit(1)).alias("requests"))
     secs = sessions.agg(F.sum("watch_seconds").alias("watch_seconds"))
-    df = n.crossJoin(secs)
+    df = with_totals(n, secs)
     load = round_ratio(F.col("requests") * 3600, "watch_seconds", 2)
     return df.select("requests", "watch_seconds", load.alias("ads_per_hour")).withColumn(
         "passed", (F.col("ads_per_hour") >= lo) & (F.col("ads_per_hour") <= hi))
@@ -193,7 +193,7 @@ def audit_filled_vs_served(requests: DataFrame, impressions: DataFrame) -> DataF
         F.count(F.lit(1)).alias("filled_not_served"))
     unfilled = served.join(filled, "request_id", "left_anti").agg(
         F.count(F.lit(1)).alias("served_not_filled"))
-    return unserved.crossJoin(unfilled).withColumn(
+    return with_totals(unserved, unfilled).withColumn(
         "passed", (F.col("filled_not_served") == 0) & (F.col("served_not_filled") == 0))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.exprs import date_key, round_decimal
-from adlens.functions.joins import broadcast_if_small
+from adlens.functions.joins import broadcast_if_small, with_totals
 from adlens.functions.metrics import (
     concentration_band, ecpm, hours, mean, pct, per_hour, share_pct,
 )
@@ -116,8 +116,7 @@ def mart_advertiser_summary(fct_imp: DataFrame, dim_advertisers: DataFrame) -> D
     )
     da = broadcast_if_small(dim_advertisers).select(
         "advertiser_key", "company_name", "industry_vertical", "spend_tier")
-    total = F.broadcast(platform_total(fct_imp))  # exactly one row
-    df = agg.join(da, "advertiser_key").crossJoin(total)
+    df = with_totals(agg.join(da, "advertiser_key"), platform_total(fct_imp))
     return df.select(
         "advertiser_key", "company_name", "industry_vertical", "spend_tier",
         "total_spend", "total_impressions",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlens import constants as C
 from adlens.functions.exprs import col, date_key, lookup, micros, pick, round_ratio
-from adlens.functions.joins import literal_table
+from adlens.functions.joins import literal_table, with_totals
 from adlens.sources.schemas import MONEY_SUM
 
 UNIT_BITS = 32          # allocation draws are 32-bit integers in [0, 2^32)
@@ -186,7 +186,7 @@ def platform_summary(impressions: DataFrame, requests: DataFrame) -> DataFrame:
         F.count_if("is_viewable").alias("n_viewable"))
     req = requests.agg(F.count(F.lit(1)).alias("requests"),
                        F.count_if("was_filled").alias("filled"))
-    df = imp.crossJoin(req)
+    df = with_totals(imp, req)
     return df.select(
         round_ratio(micros("revenue"), F.col("impressions") * 1000, 2).alias("ecpm_usd"),
         round_ratio(F.col("n_completed") * 100, "impressions", 1).alias("completion_rate_pct"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.exprs import micros, round_decimal, round_ratio
-from adlens.functions.joins import broadcast_if_small
+from adlens.functions.joins import broadcast_if_small, with_totals
 from adlens.functions.metrics import elapsed_days, per_hour
 from adlens.sources.schemas import MONEY_SUM
 
@@ -53,7 +53,7 @@ def recon_hhi(concentration: DataFrame, summary: DataFrame) -> DataFrame:
         .cast("decimal(10,4)")
     squares = F.sum((frac * frac).cast("decimal(21,8)")).cast("decimal(31,8)")
     expected = summary.agg((squares * F.lit(10000)).cast("decimal(18,4)").alias("expected_hhi"))
-    df = concentration.select("hhi").crossJoin(F.broadcast(expected))
+    df = with_totals(concentration.select("hhi"), expected)
     return df.withColumn("passed", F.abs(F.col("hhi") - F.col("expected_hhi")) <= F.lit(0.1))
 
 
@@ -61,7 +61,7 @@ def recon_filled(stg_requests: DataFrame, fct_imp: DataFrame) -> DataFrame:
     """Filled requests equal impressions in the fact."""
     filled = stg_requests.agg(F.count_if("was_filled").alias("request_count"))
     served = fct_imp.agg(F.count(F.lit(1)).alias("impression_count"))
-    return filled.crossJoin(served).withColumn(
+    return with_totals(filled, served).withColumn(
         "passed", F.col("request_count") == F.col("impression_count"))
 
 
@@ -99,7 +99,7 @@ def recon_platform_health(health: DataFrame, fct_imp: DataFrame) -> DataFrame:
                         round_decimal(F.sum("total_revenue_usd"), 2, 38).alias("rollup_revenue"))
     fact = fct_imp.agg(F.count(F.lit(1)).alias("fact_impressions"),
                        round_decimal(F.sum("revenue_usd"), 2, 38).alias("fact_revenue"))
-    df = rollup.crossJoin(fact)
+    df = with_totals(rollup, fact)
     return df.withColumn("passed", (F.col("rollup_impressions") == F.col("fact_impressions")) &
                          (F.abs(F.col("rollup_revenue") - F.col("fact_revenue")) <= F.lit(1)))
 

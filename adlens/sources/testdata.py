@@ -172,14 +172,14 @@ class TestdataBinding:
     def viewing_sessions(self) -> DataFrame:
         orders = spread(self._t("orders").select("o_orderkey", "o_custkey", "o_totalprice",
                                                  "o_orderdate", "o_orderpriority"))
-        # one-row scalar: structurally bounded, safe to broadcast
-        n_content = F.broadcast(self._t("supplier").agg(F.count(F.lit(1)).alias("n_content")))
+        # catalog size as a scalar subquery: computed once, inlined as a value
+        n_content = self._t("supplier").agg(F.count(F.lit(1))).scalar()
         ok = F.col("o_orderkey")
         depth = ok % 6
-        df = orders.crossJoin(n_content).select(
+        df = orders.select(
             ok.cast("string").alias("session_id"),
             F.col("o_custkey").cast("string").alias("subscriber_id"),
-            (ok % F.col("n_content")).cast("string").alias("content_id"),
+            (ok % n_content).cast("string").alias("content_id"),
             F.col("o_orderdate").cast("timestamp_ntz").alias("session_start"),
             _device_from_priority(F.col("o_orderpriority")).alias("device"),
             (F.lit(30) + F.floor("o_totalprice").cast("long") % 7171).alias("watch_seconds"),
