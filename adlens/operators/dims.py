@@ -14,8 +14,15 @@ from adlens.sources.schemas import CONTRACTS, RAW_SCHEMAS
 
 def calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
     """Every day in [start, end] with its calendar attributes (dates_ads)."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day")))
+    return calendar_between(spark.range(1).select(F.lit(start).alias("start_date"),
+                                                  F.lit(end).alias("end_date")))
+
+
+def calendar_between(bounds: DataFrame) -> DataFrame:
+    """Calendar rows for every day in [start_date, end_date] of each row of
+    ``bounds`` (typically one row of bounds computed from the data)."""
+    days = bounds.select(
+        F.explode(F.sequence(F.col("start_date"), F.col("end_date"), F.expr("interval 1 day")))
         .alias("full_date"))
     d = F.col("full_date")
     df = days.select(

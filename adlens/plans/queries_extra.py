@@ -94,9 +94,24 @@ def _surrogate_key(spark, sf_dir):
                     surrogate_key("campaign_id", F.lit(None).cast("string")).alias("null_key"))
 
 
-@register("calendar", P("SELECT * FROM dates_ads"))
+@register("calendar", f"""
+    SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
+           strftime(d, '%A') AS day_of_week, isodow(d) >= 6 AS is_weekend,
+           CAST(weekofyear(d) AS SMALLINT) AS week_of_year, strftime(d, '%B') AS month_name,
+           'Q' || CAST(quarter(d) AS VARCHAR) AS quarter, CAST(year(d) AS SMALLINT) AS year
+    FROM (SELECT CAST(unnest(range((SELECT CAST(min(o_orderdate) AS DATE) FROM orders),
+                                   (SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem) + 1,
+                                   INTERVAL 1 DAY)) AS DATE) AS d)""")
 def _calendar(spark, sf_dir):
-    return wh(spark, sf_dir).raw["dates_ads"]
+    """The calendar builder (D8) over the activity span of the given tables:
+    first order date to last ship date."""
+    from adlens.functions.joins import with_totals
+    from adlens.operators.dims import calendar_between
+    start = B.read_tpch(spark, sf_dir, "orders").agg(
+        F.to_date(F.min("o_orderdate")).alias("start_date"))
+    end = B.read_tpch(spark, sf_dir, "lineitem").agg(
+        F.to_date(F.max("l_shipdate")).alias("end_date"))
+    return calendar_between(with_totals(start, end))
 
 
 @register("served_flag", P("""
