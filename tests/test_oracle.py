@@ -4,7 +4,7 @@ and the driver entry points."""
 import pytest
 
 import __spark_entry__ as entry_mod
-from adlens.plans.compare import compare, duck
+from oracle_compare import compare, duck
 
 KEYS = [
     "fct_campaign_daily", "mart_platform_health", "mart_campaign_performance",
