@@ -211,24 +211,30 @@ def out_of_range(c: F.Column, lo, hi) -> F.Column:
 
 def row_level_checks(model: str, df: DataFrame, spec: dict,
                      types=(NN, AV, AR), resolve=None) -> DataFrame | None:
-    """not_null, accepted_values and accepted_range of one model in ONE
-    aggregation pass.
-
-    With FK in ``types`` (and a ``resolve``) relationships join the same pass:
-    each left-joins the parent's distinct keys and counts unmatched non-null
-    child keys. ``run_checks`` uses the anti-join form instead, which needs no
-    distinct over the parent.
+    """not_null and accepted_range of one model in ONE aggregation pass, and
+    accepted_values in a second pass over only the rows that break one of
+    them (its distinct counts would otherwise copy every row once per count).
+
+    With FK in ``types`` (and a ``resolve``) relationships join the first
+    pass: each left-joins the parent's distinct keys and counts unmatched
+    non-null child keys. ``run_checks`` uses the anti-join form instead, which
+    needs no distinct over the parent.
     """
+    parts = []
+    if AV in types and spec.get(AV):
+        av_aggs, av_labels, bad_any = [], [], []
+        for c, values in spec[AV].items():
+            bad = F.col(c).isNotNull() & ~F.col(c).isin(list(values))
+            av_aggs.append(F.count_distinct(F.when(bad, F.col(c))))
+            av_labels.append((AV, c))
+            bad_any.append(bad)
+        parts.append(_unpivot(model, df.filter(reduce(lambda a, b: a | b, bad_any)),
+                              av_aggs, av_labels))
     aggs, labels = [], []
     if NN in types:
         for c in spec.get(NN, []):
             aggs.append(F.count_if(F.col(c).isNull()))
             labels.append((NN, c))
-    if AV in types:
-        for c, values in spec.get(AV, {}).items():
-            bad = F.col(c).isNotNull() & ~F.col(c).isin(list(values))
-            aggs.append(F.count_distinct(F.when(bad, F.col(c))))
-            labels.append((AV, c))
     if AR in types:
         for c, (lo, hi) in spec.get(AR, {}).items():
             aggs.append(F.count_if(out_of_range(F.col(c), lo, hi)))
@@ -241,10 +247,16 @@ def row_level_checks(model: str, df: DataFrame, spec: dict,
             df = df.join(keys, F.col(c) == F.col(f"__fk{i}"), "left")
             aggs.append(F.count_if(F.col(c).isNotNull() & F.col(f"__fk{i}").isNull()))
             labels.append((FK, c))
-    if not aggs:
+    if aggs:
+        parts.insert(0, _unpivot(model, df, aggs, labels))
+    if not parts:
         return None
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _unpivot(model: str, df: DataFrame, aggs, labels) -> DataFrame:
+    """One aggregation pass over ``df``, unpivoted into one row per check."""
     counts = df.agg(*[a.alias(f"c{i}") for i, a in enumerate(aggs)])
-    # unpivot the one-row result into one row per check
     rows = F.explode(F.array(*[
         F.struct(F.lit(t).alias("check_name"), F.lit(c).alias("column_name"),
                  F.col(f"c{i}").cast("long").alias("failures"))
@@ -351,31 +363,47 @@ def _lit(v) -> str:
     return "'" + str(v).replace("'", "\\'") + "'"
 
 
-def _row_level_sql(model: str, view: str, spec: dict, types) -> str | None:
+def _stacked_sql(model: str, source: str, aggs: list[str], labels: list[tuple[str, str]]) -> str:
+    cols = ", ".join(f"CAST({a} AS BIGINT) AS c{i}" for i, a in enumerate(aggs))
+    stacked = ", ".join(f"{_lit(t)}, {_lit(c)}, c{i}" for i, (t, c) in enumerate(labels))
+    return (f"SELECT {_lit(model)} AS model, check_name, column_name, failures FROM "
+            f"(SELECT stack({len(labels)}, {stacked}) AS (check_name, column_name, failures) "
+            f"FROM (SELECT {cols} FROM {source}))")
+
+
+def _row_level_sql(model: str, view: str, spec: dict, types) -> list[str]:
+    """Per model: one counting pass for not_null and accepted_range, and one
+    pass for accepted_values.
+
+    accepted_values fails once per distinct bad value, i.e. a distinct count.
+    Several distinct counts in one aggregate make Spark copy every row once
+    per count (Expand), so they run in their own pass over only the rows that
+    break some accepted_values check; on clean data that pass sees no rows.
+    """
+    out = []
     aggs, labels = [], []
     if NN in types:
         for c in spec.get(NN, []):
             aggs.append(f"count_if({_q(c)} IS NULL)")
             labels.append((NN, c))
-    if AV in types:
-        for c, values in spec.get(AV, {}).items():
-            lst = ", ".join(_lit(v) for v in values)
-            aggs.append(f"count(DISTINCT CASE WHEN {_q(c)} IS NOT NULL AND {_q(c)} NOT IN ({lst}) "
-                        f"THEN {_q(c)} END)")
-            labels.append((AV, c))
     if AR in types:
         for c, (lo, hi) in spec.get(AR, {}).items():
             conds = ([f"{_q(c)} < {lo}"] if lo is not None else []) + \
                     ([f"{_q(c)} > {hi}"] if hi is not None else [])
             aggs.append(f"count_if({' OR '.join(conds)})")
             labels.append((AR, c))
-    if not aggs:
-        return None
-    cols = ", ".join(f"CAST({a} AS BIGINT) AS c{i}" for i, a in enumerate(aggs))
-    stacked = ", ".join(f"{_lit(t)}, {_lit(c)}, c{i}" for i, (t, c) in enumerate(labels))
-    return (f"SELECT {_lit(model)} AS model, check_name, column_name, failures FROM "
-            f"(SELECT stack({len(labels)}, {stacked}) AS (check_name, column_name, failures) "
-            f"FROM (SELECT {cols} FROM {view}))")
+    if aggs:
+        out.append(_stacked_sql(model, view, aggs, labels))
+    if AV in types and spec.get(AV):
+        aggs, labels, bad_any = [], [], []
+        for c, values in spec[AV].items():
+            lst = ", ".join(_lit(v) for v in values)
+            bad = f"({_q(c)} IS NOT NULL AND {_q(c)} NOT IN ({lst}))"
+            aggs.append(f"count(DISTINCT CASE WHEN {bad} THEN {_q(c)} END)")
+            labels.append((AV, c))
+            bad_any.append(bad)
+        out.append(_stacked_sql(model, f"{view} WHERE {' OR '.join(bad_any)}", aggs, labels))
+    return out
 
 
 def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
@@ -385,8 +413,9 @@ def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
     (planned in the JVM, so building it costs a handful of driver calls
     whatever the number of checks):
 
-    * per model, one aggregation pass for not_null / accepted_values /
-      accepted_range, unpivoted with ``stack``;
+    * per model, one aggregation pass for not_null / accepted_range, and one
+      for accepted_values over only the rows that break it, unpivoted with
+      ``stack``;
     * per relationship, a LEFT ANTI join against the parent key, with a
       BROADCAST hint only when the parent passed the row-bound check;
     * all unique / unique-combination checks in one grouped shuffle over
@@ -410,9 +439,7 @@ def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
 
     parts: list[str] = []
     for model in models:
-        sql = _row_level_sql(model, view(model), CHECKS[model], types)
-        if sql:
-            parts.append(sql)
+        parts.extend(_row_level_sql(model, view(model), CHECKS[model], types))
     if FK in types:
         for model in models:
             for c, (parent, pcol) in CHECKS[model].get(FK, {}).items():
