@@ -37,9 +37,33 @@ def get_session(app: str = "adlens", master: str | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    size_shuffles(spark)
     return spark
 
 
+# Shuffle partitions per core on a cluster when the launcher sets none: a
+# fact-sized shuffle then has many moderate partitions that spill gracefully,
+# and AQE merges the small ones up to the advisory size after each map stage.
+PARTITIONS_PER_CORE = 8
+ADVISORY_PARTITION_BYTES = "256m"
+
+
+def size_shuffles(spark: SparkSession) -> None:
+    """Size shuffles for the cluster unless the launcher already did.
+
+    Local sessions (tests, bench) keep what they were given.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local") or sc.getConf().contains("spark.sql.shuffle.partitions"):
+        return
+    spark.conf.set("spark.sql.shuffle.partitions",
+                   str(max(200, PARTITIONS_PER_CORE * sc.defaultParallelism)))
+    if not sc.getConf().contains("spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", ADVISORY_PARTITION_BYTES)
+        # coalesce towards the advisory size, not towards one partition per core
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

@@ -66,3 +66,37 @@ def test_calendar_between_matches_fixed_calendar(spark):
     assert derived.exceptAll(fixed).count() == 0 and fixed.count() == 5
     days = [r.date_key for r in derived.orderBy("date_key").collect()]
     assert days == [20240227, 20240228, 20240229, 20240301, 20240302]
+
+
+def test_cluster_sessions_get_shuffles_sized_by_cores():
+    from adlens import session as S
+
+    class Conf(dict):
+        def contains(self, k):
+            return k in self
+
+        def set(self, k, v):
+            self[k] = v
+
+    class Ctx:
+        def __init__(self, master, conf):
+            self.master, self._conf, self.defaultParallelism = master, conf, 8000
+
+        def getConf(self):
+            return self._conf
+
+    class Session:
+        def __init__(self, master, launch=None):
+            self.sparkContext = Ctx(master, Conf(launch or {}))
+            self.conf = Conf()
+
+    cluster = Session("yarn")
+    S.size_shuffles(cluster)
+    assert cluster.conf["spark.sql.shuffle.partitions"] == str(8 * 8000)
+    assert cluster.conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    preset = Session("yarn", {"spark.sql.shuffle.partitions": "5000"})
+    S.size_shuffles(preset)
+    assert preset.conf == {}
+    local = Session("local[8]")
+    S.size_shuffles(local)
+    assert local.conf == {}
