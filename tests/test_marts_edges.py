@@ -108,3 +108,25 @@ def test_cumulative_spend_and_calendar_elapsed_days(spark):
     assert [r.cumulative_spend for r in rows] == [D("1.000000"), D("3.000000")]
     assert [r.elapsed_days for r in rows] == [1, 3]          # calendar, not delivery days
     assert [r.budget_pacing_ratio for r in rows] == [D("0.100"), D("0.100")]
+
+
+def test_advertiser_summary_active_only_and_hhi_of_rounded_shares(spark):
+    """E5: an advertiser without impressions is absent (inner join), so the
+    count is of active advertisers. E4: HHI squares the 2-dp shares."""
+    imp = spark.createDataFrame([
+        (f"i{k}", f"c{k}", adv, "s", "t", 20260101, D("1.000000"), True, k % 2 == 0, 5)
+        for k, adv in enumerate(["a1", "a2", "a3"])], IMP_SCHEMA)
+    adv = spark.createDataFrame(
+        [(a, a, a, "Retail", "mid", "US") for a in ["a1", "a2", "a3", "a_idle"]],
+        "advertiser_key string, advertiser_id string, company_name string, "
+        "industry_vertical string, spend_tier string, country string")
+    summary = marts.mart_advertiser_summary(imp, adv)
+    rows = {r.advertiser_key: r for r in summary.collect()}
+    assert set(rows) == {"a1", "a2", "a3"}
+    assert {r.revenue_share_pct for r in rows.values()} == {D("33.33")}
+    assert {r.campaign_count for r in rows.values()} == {1}
+    conc = marts.mart_advertiser_concentration(summary).first()
+    # 3 * 33.33^2 = 3332.6667, not 3 * (100/3)^2 = 3333.3
+    assert conc.hhi == D("3332.7") and conc.advertiser_count == 3
+    assert conc.concentration_band == "CONCENTRATED"
+    assert conc.top_advertiser_share_pct == D("33.33")
