@@ -58,18 +58,23 @@ def slot_table(spark: SparkSession) -> DataFrame:
                                        ("frac_pct", "int")])
 
 
-def expand_sessions(sessions: DataFrame, spark: SparkSession) -> DataFrame:
+def expand_sessions(sessions: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Session -> the ad requests it passed through.
 
     A session emits every slot up to its deepest one, in order; a request's
     time is the session start plus the slot's fraction of the watch time.
-    The six-row slot table is broadcast, so this is a map-side expansion.
+    A per-row explode of the slot-order prefix: no join and no shuffle. A
+    session whose deepest slot is not a known slot emits nothing.
     """
-    slots = F.broadcast(slot_table(spark))
-    depth = F.broadcast(slot_table(spark).select(
-        F.col("slot_position").alias("deepest_slot"), F.col("slot_depth").alias("max_depth")))
-    s = sessions.join(depth, "deepest_slot")
-    df = s.join(slots, F.col("slot_depth") <= F.col("max_depth"))
+    names = F.array(*[F.lit(name) for name in C.SLOT_ORDER])
+    fracs = F.array(*[F.lit(int(Decimal(frac) * 100)) for *_, frac in C.AD_SLOTS])
+    n_slots = F.array_position(names, F.col("deepest_slot")).cast("int")   # 0 when unknown
+    s = sessions.filter(n_slots > 0)
+    df = s.select("*", F.explode(F.sequence(F.lit(0), n_slots - 1)).alias("slot_depth"))
+    df = df.withColumns({
+        "slot_position": F.element_at(names, F.col("slot_depth") + 1),
+        "frac_pct": F.element_at(fracs, F.col("slot_depth") + 1),
+    })
     offset_us = F.col("watch_seconds").cast("long") * F.col("frac_pct") * F.lit(10_000)
     return df.select(
         F.concat_ws("-", "session_id", F.col("slot_depth").cast("string")).alias("request_id"),
