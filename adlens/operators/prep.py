@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlens import constants as C
 from adlens.functions.exprs import col, date_key, lookup, micros, pick, round_ratio
-from adlens.functions.joins import literal_table, with_totals
+from adlens.functions.joins import broadcast_if_small, literal_table, with_totals
 from adlens.sources.schemas import MONEY_SUM
 
 UNIT_BITS = 32          # allocation draws are 32-bit integers in [0, 2^32)
@@ -95,19 +95,25 @@ def in_flight_candidates(days: DataFrame, campaigns: DataFrame, strict: bool = T
     """Campaigns in flight on each given day.
 
     Range containment flight_start <= day <= flight_end is turned into an
-    equi-join by exploding each flight into its days (campaigns x flight
-    length rows, bounded by the catalog). With ``strict`` a day without any
-    candidate raises an error when the result is computed.
+    equi-join by exploding each flight into its days. The distinct days are
+    bounded by the calendar, so they are the broadcast side (size-checked)
+    and the exploded flights are never shuffled for this join. With
+    ``strict`` a day without any candidate raises an error when the result is
+    computed.
     """
-    d = days.select(F.col("day").cast("date").alias("day")).distinct()
+    d = broadcast_if_small(days.select(F.col("day").cast("date").alias("day")).distinct())
+    cand = flight_days_exploded(campaigns).join(d, "day").select(
+        "day", "campaign_id", "total_budget_usd")
     if not strict:
-        return d.join(flight_days_exploded(campaigns), "day")
-    # left join: an uncovered day keeps one row with a null campaign, which fails the job
-    cand = d.join(flight_days_exploded(campaigns), "day", "left")
-    return cand.withColumn("campaign_id", F.when(
-        F.col("campaign_id").isNull(),
-        F.raise_error(F.concat(F.lit("no campaign in flight on "), F.col("day").cast("string"))),
-    ).otherwise(F.col("campaign_id")))
+        return cand
+    # an uncovered day adds one row whose campaign fails the job when computed
+    covered = cand.select("day").distinct()
+    uncovered = d.join(covered, "day", "left_anti").select(
+        "day",
+        F.raise_error(F.concat(F.lit("no campaign in flight on "), F.col("day").cast("string")))
+        .cast("string").alias("campaign_id"),
+        F.lit(None).cast("decimal(12,2)").alias("total_budget_usd"))
+    return cand.unionByName(uncovered)
 
 
 def unit_draw(key: str | Column) -> Column:
