@@ -306,8 +306,8 @@ def _ctes() -> list[tuple[str, str]]:
                {rr('100 * aa.n_completed', 'aa.total_impressions', 1)} AS completion_rate_pct,
                {rr('100 * aa.n_viewable', 'aa.total_impressions', 1)} AS viewability_rate_pct,
                aa.campaign_count,
-               {rr('100 * ' + micros('aa.total_spend'), micros('pt.total_platform_spend'), 2)} AS revenue_share_pct
-        FROM advertiser_agg AS aa CROSS JOIN platform_total AS pt""")
+               {rr('100 * ' + micros('aa.total_spend'), micros('(SELECT total_platform_spend FROM platform_total)'), 2)} AS revenue_share_pct
+        FROM advertiser_agg AS aa""")
     add("mart_advertiser_concentration", """
         SELECT CAST(round(hhi, 1) AS DECIMAL(18,1)) AS hhi,
                CASE WHEN hhi < 1500 THEN 'DIVERSIFIED' WHEN hhi < 2500 THEN 'MODERATE'

@@ -269,17 +269,19 @@ register("recon_elapsed_days", P("""
         w.fct_campaign_daily, w.dim_date_ads, w.dim_campaigns))(wh(spark, sf)))
 
 register("recon_hhi", P("""
-    SELECT c.hhi, r.expected_hhi, abs(c.hhi - r.expected_hhi) <= 0.1 AS passed
-    FROM mart_advertiser_concentration AS c CROSS JOIN (
-        SELECT CAST(sum((revenue_share_pct * 0.01) * (revenue_share_pct * 0.01)) * 10000
-                    AS DECIMAL(18,4)) AS expected_hhi FROM mart_advertiser_summary) AS r"""))(
+    SELECT hhi, expected_hhi, abs(hhi - expected_hhi) <= 0.1 AS passed
+    FROM (SELECT c.hhi,
+                 (SELECT CAST(sum((revenue_share_pct * 0.01) * (revenue_share_pct * 0.01)) * 10000
+                         AS DECIMAL(18,4)) FROM mart_advertiser_summary) AS expected_hhi
+          FROM mart_advertiser_concentration AS c)"""))(
     lambda spark, sf: (lambda w: recon.recon_hhi(
         w.mart_advertiser_concentration, w.mart_advertiser_summary))(wh(spark, sf)))
 
 register("recon_filled", P("""
-    SELECT r.request_count, i.impression_count, r.request_count = i.impression_count AS passed
-    FROM (SELECT count(*) FILTER (WHERE was_filled) AS request_count FROM stg_ad_requests) AS r
-    CROSS JOIN (SELECT count(*) AS impression_count FROM fct_ad_impressions) AS i"""))(
+    SELECT request_count, impression_count, request_count = impression_count AS passed
+    FROM (SELECT r.request_count, (SELECT count(*) FROM fct_ad_impressions) AS impression_count
+          FROM (SELECT count(*) FILTER (WHERE was_filled) AS request_count
+                FROM stg_ad_requests) AS r)"""))(
     lambda spark, sf: (lambda w: recon.recon_filled(
         w.stg["stg_ad_requests"], w.fct_ad_impressions))(wh(spark, sf)))
 
@@ -303,15 +305,16 @@ register("recon_pacing_status", P(f"""
     lambda spark, sf: recon.recon_pacing_status(wh(spark, sf).fct_campaign_daily))
 
 register("recon_platform_health", P("""
-    SELECT r.rollup_impressions, r.rollup_revenue, f.fact_impressions, f.fact_revenue,
-           r.rollup_impressions = f.fact_impressions AND abs(r.rollup_revenue - f.fact_revenue) <= 1
+    SELECT rollup_impressions, rollup_revenue, fact_impressions, fact_revenue,
+           rollup_impressions = fact_impressions AND abs(rollup_revenue - fact_revenue) <= 1
                AS passed
-    FROM (SELECT CAST(sum(total_impressions) AS BIGINT) AS rollup_impressions,
-                 CAST(round(sum(total_revenue_usd), 2) AS DECIMAL(38,2)) AS rollup_revenue
-          FROM mart_platform_health) AS r
-    CROSS JOIN (SELECT count(*) AS fact_impressions,
-                       CAST(round(sum(revenue_usd), 2) AS DECIMAL(38,2)) AS fact_revenue
-                FROM fct_ad_impressions) AS f"""))(
+    FROM (SELECT r.rollup_impressions, r.rollup_revenue,
+                 (SELECT count(*) FROM fct_ad_impressions) AS fact_impressions,
+                 (SELECT CAST(round(sum(revenue_usd), 2) AS DECIMAL(38,2))
+                  FROM fct_ad_impressions) AS fact_revenue
+          FROM (SELECT CAST(sum(total_impressions) AS BIGINT) AS rollup_impressions,
+                       CAST(round(sum(total_revenue_usd), 2) AS DECIMAL(38,2)) AS rollup_revenue
+                FROM mart_platform_health) AS r)"""))(
     lambda spark, sf: (lambda w: recon.recon_platform_health(
         w.mart_platform_health, w.fct_ad_impressions))(wh(spark, sf)))
 
@@ -412,8 +415,9 @@ register("audit_request_in_session", P(summary_sql(
 register("ad_load_per_hour", P(f"""
     SELECT requests, watch_seconds, ads_per_hour, ads_per_hour >= 6 AND ads_per_hour <= 25 AS passed
     FROM (SELECT requests, watch_seconds, {rr('requests * 3600', 'watch_seconds', 2)} AS ads_per_hour
-          FROM (SELECT count(*) AS requests FROM ad_requests)
-          CROSS JOIN (SELECT sum(watch_seconds) AS watch_seconds FROM viewing_sessions))"""))(
+          FROM (SELECT r.requests,
+                       (SELECT sum(watch_seconds) FROM viewing_sessions) AS watch_seconds
+                FROM (SELECT count(*) AS requests FROM ad_requests) AS r))"""))(
     lambda spark, sf: (lambda w: V.ad_load_per_hour(
         w.raw["ad_requests"], w.raw["viewing_sessions"]))(wh(spark, sf)))
 
@@ -464,12 +468,15 @@ register("audit_fill_target", P(f"""
     lambda spark, sf: V.audit_fill_target(_raw(spark, sf, "ad_requests"), FILL_TARGET_PCT))
 
 register("audit_filled_vs_served", P("""
-    SELECT a.filled_not_served, b.served_not_filled,
-           a.filled_not_served = 0 AND b.served_not_filled = 0 AS passed
-    FROM (SELECT count(*) AS filled_not_served FROM ad_requests AS r WHERE r.was_filled AND NOT EXISTS
-          (SELECT 1 FROM ad_impressions AS i WHERE i.request_id = r.request_id)) AS a
-    CROSS JOIN (SELECT count(*) AS served_not_filled FROM ad_impressions AS i WHERE NOT EXISTS
-          (SELECT 1 FROM ad_requests AS r WHERE r.was_filled AND r.request_id = i.request_id)) AS b"""))(
+    SELECT filled_not_served, served_not_filled,
+           filled_not_served = 0 AND served_not_filled = 0 AS passed
+    FROM (SELECT a.filled_not_served,
+                 (SELECT count(*) FROM ad_impressions AS i WHERE NOT EXISTS
+                  (SELECT 1 FROM ad_requests AS r WHERE r.was_filled AND r.request_id = i.request_id))
+                     AS served_not_filled
+          FROM (SELECT count(*) AS filled_not_served FROM ad_requests AS r
+                WHERE r.was_filled AND NOT EXISTS
+                (SELECT 1 FROM ad_impressions AS i WHERE i.request_id = r.request_id)) AS a)"""))(
     lambda spark, sf: (lambda w: V.audit_filled_vs_served(
         w.raw["ad_requests"], w.raw["ad_impressions"]))(wh(spark, sf)))
 
@@ -668,12 +675,11 @@ register("platform_summary", P(f"""
            {rr('i.n_completed * 100', 'i.impressions', 1)} AS completion_rate_pct,
            {rr('i.n_viewable * 100', 'i.impressions', 1)} AS viewability_rate_pct,
            {rr(micros('i.bids'), 'i.impressions * 1000', 2)} AS avg_bid_cpm_usd,
-           {rr('r.filled * 100', 'r.requests', 1)} AS fill_rate_pct
+           {rr('(SELECT count(*) FILTER (WHERE was_filled) FROM ad_requests) * 100',
+               '(SELECT count(*) FROM ad_requests)', 1)} AS fill_rate_pct
     FROM (SELECT count(*) AS impressions, sum(revenue_usd) AS revenue, sum(bid_price_usd) AS bids,
                  count(*) FILTER (WHERE completed) AS n_completed,
-                 count(*) FILTER (WHERE is_viewable) AS n_viewable FROM ad_impressions) AS i
-    CROSS JOIN (SELECT count(*) AS requests, count(*) FILTER (WHERE was_filled) AS filled
-                FROM ad_requests) AS r"""))(
+                 count(*) FILTER (WHERE is_viewable) AS n_viewable FROM ad_impressions) AS i"""))(
     lambda spark, sf: (lambda w: prep.platform_summary(
         w.raw["ad_impressions"], w.raw["ad_requests"]))(wh(spark, sf)))
 
