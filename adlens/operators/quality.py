@@ -417,7 +417,7 @@ def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
       for accepted_values over only the rows that break it, unpivoted with
       ``stack``;
     * per relationship, a LEFT ANTI join against the parent key, with a
-      BROADCAST hint only when the parent passed the row-bound check;
+      BROADCAST hint only when the parent passed the row and byte bound check;
     * all unique / unique-combination checks in one grouped shuffle over
       (check id, key text), then a tiny count of duplicated keys per check.
 
