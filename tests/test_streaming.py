@@ -1,5 +1,6 @@
 """The incremental delivery stream agrees with the batch aggregate."""
 
+import datetime
 import os
 import tempfile
 
@@ -29,3 +30,34 @@ def test_stream_matches_batch_counts(spark, sf_small):
                                    F.col("revenue_usd").cast("decimal(38,6)"))))
     assert got.count() == want.count() > 0
     assert diff.count() == 0
+
+
+def test_append_stream_emits_each_closed_day_once(spark, sf_small):
+    """start_delivery in append mode: every day older than the watermark is
+    written once with the batch counts; days still open are not written."""
+    from adlens.streaming.delivery import start_delivery
+    base = tempfile.mkdtemp(prefix="adlens-stream-append-", dir="/tmp")
+    src, sink = os.path.join(base, "impressions"), os.path.join(base, "out")
+    imp = TestdataBinding(spark, sf_small).ad_impressions()
+    imp.write.parquet(src)
+    q = start_delivery(spark, src, sink, os.path.join(base, "ckpt"), once=True)
+    q.awaitTermination(600)
+    got = spark.read.parquet(sink)
+    day = F.to_date("impression_timestamp")
+    last = imp.agg(F.max(day)).first()[0]
+    want = (imp.withColumn("d", day)
+            .groupBy((F.year("d") * 10000 + F.month("d") * 100 + F.dayofmonth("d")).alias("date_key"),
+                     "campaign_id")
+            .agg(F.count(F.lit(1)).alias("impressions_served"),
+                 F.sum("revenue_usd").cast("decimal(38,6)").alias("revenue_usd")))
+    cols = ["date_key", "campaign_id", "impressions_served", "revenue_usd"]
+    # the watermark trails the latest event by two days: days ending by then are closed
+    closed_before = int((last - datetime.timedelta(days=2)).strftime("%Y%m%d"))
+    assert got.count() > 0
+    assert got.groupBy("date_key", "campaign_id").count().filter("count > 1").count() == 0
+    assert got.filter(F.col("date_key") >= int(last.strftime("%Y%m%d"))).count() == 0
+    closed = want.filter(F.col("date_key") < closed_before)
+    assert got.filter(F.col("date_key") < closed_before).select(cols).exceptAll(
+        closed.select(cols)).count() == 0
+    assert closed.select(cols).exceptAll(
+        got.filter(F.col("date_key") < closed_before).select(cols)).count() == 0
