@@ -59,3 +59,19 @@ def test_no_cartesian_or_nested_loop_join(spark, sf_small, capsys, key):
     plan = formatted(entry_mod.queries()[key](spark, sf_small), capsys)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_in_flight_candidates_broadcast_days_not_flights(spark, sf_small, capsys):
+    """The exploded flights stream through the join; only the distinct days
+    (bounded by the calendar) are shuffled/broadcast."""
+    capsys.readouterr()
+    entry_mod.queries()["in_flight_candidates"](spark, sf_small).explain()
+    plan = capsys.readouterr().out
+    lines = plan.splitlines()
+    join = next(i for i, ln in enumerate(lines) if "BroadcastHashJoin" in ln and "day" in ln)
+    build = next(i for i, ln in enumerate(lines) if "BroadcastExchange" in ln and i > join)
+    gen = next(i for i, ln in enumerate(lines) if "Generate explode(sequence" in ln)
+    # the explode sits on the streamed side (before the broadcast build side)
+    assert join < gen < build
+    # nothing between the join and the explode repartitions the flights
+    assert not any("Exchange" in ln for ln in lines[join + 1:gen])
