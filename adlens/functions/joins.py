@@ -85,6 +85,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     so at scale this adds no shuffle.
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    # split count of the planned scan (metadata only: nothing is computed here)
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
