@@ -35,6 +35,21 @@ HEADLINE = [
 ]
 
 
+def default_driver_memory() -> str:
+    """About 60 % of the machine's memory (the container limit when there is
+    one), between 2 and 8 GiB: local mode runs every task in this one JVM."""
+    total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    try:
+        with open("/sys/fs/cgroup/memory.max") as f:
+            limit = f.read().strip()
+        if limit.isdigit():
+            total = min(total, int(limit))
+    except OSError:
+        pass
+    gib = max(2, min(8, int(total * 0.6) >> 30))
+    return f"{gib}g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -46,7 +61,8 @@ def main() -> None:
     spark = get_session(
         app="adlens-bench", master=f"local[{cpus}]",
         conf={"spark.sql.shuffle.partitions": str(max(cpus * 2, 8)),
-              "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+              "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY",
+                                                    default_driver_memory())})
     spark.sparkContext.setLogLevel("ERROR")
     q = queries()
 
