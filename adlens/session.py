@@ -71,14 +71,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     honoured. Only a local-mode session without one (tests) gets a fresh
     scratch folder of its own.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    # spark.checkpoint.dir is a launch-time setting (it cannot be changed at
+    # run time); a folder chosen later lives on the context instead
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="adlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -3,6 +3,8 @@ calendar over data-derived bounds."""
 
 from datetime import date
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from adlens.functions import joins as J
@@ -100,3 +102,38 @@ def test_cluster_sessions_get_shuffles_sized_by_cores():
     local = Session("local[8]")
     S.size_shuffles(local)
     assert local.conf == {}
+
+
+def test_checkpoint_folder_when_the_session_names_none():
+    """A local session without spark.checkpoint.dir gets a folder of its own on
+    the context (the setting itself cannot change at run time); a cluster
+    session without one is refused."""
+    from adlens import session as S
+
+    class Ctx:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d + "/ctx"
+
+    class Conf:
+        def get(self, k, default=None):
+            return default
+
+        def set(self, k, v):
+            raise AssertionError("runtime change of a launch-time setting")
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext, self.conf = Ctx(master), Conf()
+
+    local = Session("local[2]")
+    first = S.ensure_checkpoint_dir(local)
+    assert local.sparkContext.dir == first + "/ctx"
+    assert S.ensure_checkpoint_dir(local) == first + "/ctx"     # stable afterwards
+    with pytest.raises(RuntimeError):
+        S.ensure_checkpoint_dir(Session("yarn"))
