@@ -12,11 +12,14 @@ Partitions may be empty in both sets. Spare partitions make up for them: a set
 with no more of them than spare ones shares a signature of some shingles; only
 sets with more (very few) also emit their empty subsets.
 
-Links are verified on whole sets. Since a document's class is what is asked,
-documents of one signature are compared with its smallest first, one comparison
-a document; classes formed so far are not compared again, and all pairs that
-remain (one signature, different classes) are, after an exact bound: the
-difference of two sets' bucket counts never exceeds their difference.
+Links are verified on whole sets. Since a document's class is what is asked, not
+every pair of copies is compared: first each document with the one set it
+shares most signatures with; then, in each signature that still holds several
+classes, the pairs of a spanning forest, nearest first; last, all pairs of one
+signature and different classes that remain. Before a pair is verified an exact
+bound is applied: two sets differ by at least the difference of their counts in
+hash buckets. Only pairs that cannot be links, or that connect what is
+connected already, are never verified.
 """
 
 from __future__ import annotations
@@ -35,7 +38,8 @@ from adlens.llm.components import components
 WORDS = 4
 SIMILARITY = 85          # percent
 SECOND_LEVEL = 2
-BUCKETS = 32             # of the counts that bound a pair's difference
+BUCKETS = 256            # of the counts that bound a pair's difference
+COUNT_MAX = 255          # counts are cut off here, which keeps the bound valid
 GROUP_BLOCK = 4_096      # members of one signature compared in one task
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -228,8 +232,18 @@ def signatures(sets: np.ndarray, offsets: np.ndarray, percent: int = SIMILARITY)
 def bucket_counts(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many shingles of each set fall in each of the ``BUCKETS``."""
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    cell = doc * BUCKETS + (sets >> np.uint64(58)).astype(np.int64) % BUCKETS
-    return np.bincount(cell, minlength=(len(offsets) - 1) * BUCKETS).reshape(-1, BUCKETS)
+    cell = doc * BUCKETS + (sets >> np.uint64(33)).astype(np.int64) % BUCKETS
+    counts = np.bincount(cell, minlength=(len(offsets) - 1) * BUCKETS)
+    return np.minimum(counts, COUNT_MAX).astype(np.uint8).reshape(-1, BUCKETS)
+
+
+def differences(counts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A lower bound of how many shingles the sets of each pair differ in."""
+    out = np.zeros(len(left), np.int64)
+    for at in range(0, len(left), 16_384):
+        p, q = counts[left[at:at + 16_384]], counts[right[at:at + 16_384]]
+        out[at:at + 16_384] = (np.maximum(p, q) - np.minimum(p, q)).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -244,10 +258,9 @@ def _sized(docs: DataFrame, keep: list[str], text_col: str, words: int) -> DataF
         buckets = bucket_counts(sets, offsets)
         return {"n_shingles": pa.array(size, pa.int64()),
                 "node": pa.array(set_keys(sets, offsets), pa.int64(), mask=size == 0),
-                "buckets": _lists(buckets.ravel(), np.arange(len(size) + 1) * BUCKETS,
-                                  pa.int32())}
+                "buckets": pa.array([b.tobytes() for b in buckets], pa.binary())}
 
-    return map_texts(docs, text_col, keep, "n_shingles long, node long, buckets array<int>", run)
+    return map_texts(docs, text_col, keep, "n_shingles long, node long, buckets binary", run)
 
 
 def _per_set(docs: DataFrame, text_col: str, words: int, schema: str, fn) -> DataFrame:
@@ -293,12 +306,21 @@ def _may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sizes and bucket counts allow a link."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
                                   F.col("buckets").alias(f"of_{x}"))
-    apart = F.aggregate(F.zip_with("of_a", "of_b", lambda p, q: F.abs(p - q)),
-                        F.lit(0), lambda s, x: s + x)
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
-    return joined.where(apart <= F.expr(
-        f"({100 - percent} * (n_a + n_b)) div {100 + percent}")).drop(
-        "n_a", "n_b", "of_a", "of_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n_a, n_b = (batch.column(c).to_numpy() for c in ("a", "b", "n_a", "n_b"))
+            counts = np.concatenate([_count_rows(batch.column(c)) for c in ("of_a", "of_b")])
+            at = np.arange(len(a))
+            good = differences(counts, at, at + len(a)) <= most_differences(n_a + n_b, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
+
+    return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").mapInArrow(
+        run, "a long, b long")
+
+
+def _count_rows(column: pa.Array) -> np.ndarray:
+    return text_buffer(column)[0].reshape(-1, BUCKETS)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -310,10 +332,61 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * union).select("a", "b")
 
 
-def _open_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
+def near_pairs(key, root, n, counts, percent: int) -> tuple[np.ndarray, ...]:
+    """Rows (left, right) of one key, next to one another, with different roots
+    that may link, and the lower bound of their difference."""
+    left, right, apart = [], [], []
+    live = np.arange(len(key))
+    step = 1
+    while len(live):
+        live = live[live + step < len(key)]
+        live = live[key[live] == key[live + step]]
+        a = live[root[live] != root[live + step]]
+        least = differences(counts, a, a + step)
+        good = least <= most_differences(n[a] + n[a + step], percent)
+        left.append(a[good])
+        right.append(a[good] + step)
+        apart.append(least[good])
+        step += 1
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate([*x, none]) for x in (left, right, apart))
+
+
+def spanning_pairs(key, root, left, right, apart) -> np.ndarray:
+    """Which of the pairs make a spanning forest of the roots of each key, nearest
+    pairs first: each class takes its nearest pair to another, until none is left."""
+    label = np.unique(np.stack([key, root]), axis=1, return_inverse=True)[1].ravel()
+    parent = np.arange(int(label.max(initial=-1)) + 1)
+    chosen = []
+    order = np.lexsort((right, left, apart))
+    left, right = left[order], right[order]
+    while True:
+        a, b = parent[label[left]], parent[label[right]]
+        live = np.flatnonzero(a != b)
+        if not len(live):
+            return order[np.unique(np.concatenate([*chosen, np.zeros(0, np.int64)]))]
+        first = np.full(len(parent), len(order))
+        np.minimum.at(first, a[live], live)
+        np.minimum.at(first, b[live], live)
+        pick = np.unique(first[first < len(order)])
+        chosen.append(pick)
+        for x, y in zip(a[pick].tolist(), b[pick].tolist()):
+            while parent[x] != x:
+                x = parent[x]
+            while parent[y] != y:
+                y = parent[y]
+            parent[max(x, y)] = min(x, y)
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+
+
+def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) -> DataFrame:
     """Pairs of members (sig, node, root, n, buckets) with one signature and
-    different roots that may link. Large signatures are cut into blocks, and
-    each pair of blocks is compared on its own."""
+    different roots that may link; all, or a spanning forest of each signature.
+
+    Large signatures are cut into blocks, and each pair of blocks is compared
+    on its own.
+    """
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("g"))
     cut = members.join(sizes, "sig").withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
@@ -324,24 +397,13 @@ def _open_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
     sorted_rows = keyed.repartition("key").sortWithinPartitions("key", "node")
 
     def compare(batch: pa.Table) -> pa.RecordBatch:
-        key = batch["key"].to_numpy()
-        node, root, n = (batch[c].to_numpy() for c in ("node", "root", "n"))
-        counts = batch["buckets"].combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS)
-        left, right = [], []
-        live = np.arange(len(key))
-        step = 1
-        while len(live):
-            live = live[live + step < len(key)]
-            live = live[key[live] == key[live + step]]
-            near = live[root[live] != root[live + step]]
-            other = near + step
-            apart = np.abs(counts[near] - counts[other]).sum(axis=1)
-            good = apart <= most_differences(n[near] + n[other], percent)
-            left.append(node[near[good]])
-            right.append(node[other[good]])
-            step += 1
-        a = np.concatenate([*left, np.zeros(0, np.int64)])
-        b = np.concatenate([*right, np.zeros(0, np.int64)])
+        key, node, root, n = (batch[c].to_numpy() for c in ("key", "node", "root", "n"))
+        counts = _count_rows(batch["buckets"].combine_chunks())
+        left, right, apart = near_pairs(key, root, n, counts, percent)
+        if spanning:
+            use = spanning_pairs(key, root, left, right, apart)
+            left, right = left[use], right[use]
+        a, b = node[left], node[right]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()),
                                            pa.array(pairs[1], pa.int64())], ["a", "b"])
@@ -363,6 +425,47 @@ def _open_pairs(members: DataFrame, percent: int, block: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
+class _Classes:
+    """The verified links so far, and what they connect."""
+
+    def __init__(self, docs: DataFrame, text_col: str, words: int, percent: int):
+        self.docs, self.text_col, self.words, self.percent = docs, text_col, words, percent
+        self.sets = self.links = self.roots = self.tried = None
+
+    def verify(self, pairs: DataFrame) -> None:
+        """Add the links among new pairs (a, b) and connect them."""
+        if self.roots is not None and pairs.isEmpty():
+            return
+        named = pairs.select(F.col("a").alias("node")).unionAll(
+            pairs.select(F.col("b").alias("node"))).distinct()
+        if self.sets is not None:
+            named = save(named.join(self.sets, "node", "left_anti"), "named")
+        if self.sets is None or not named.isEmpty():
+            more = save(_set_rows(self.docs, self.text_col, self.words).join(named, "node")
+                        .dropDuplicates(["node"]), "shingle_sets")
+            self.sets = more if self.sets is None else self.sets.unionAll(more)
+        new = save(_linked(pairs, self.sets, self.percent), "links")
+        self.links = new if self.links is None else self.links.unionAll(new)
+        self.tried = pairs if self.tried is None else self.tried.unionAll(pairs)
+        if self.roots is None:
+            self.roots = save(components(new), "roots")
+        else:  # connect what was connected before
+            ends = self.rooted(self.rooted(new, "a", "x"), "b", "y")
+            above = components(ends.select("x", "y"), "x", "y").select(
+                F.col("node").alias("root"), F.col("root").alias("top"))
+            known = self.roots.unionAll(
+                new.select(F.col("a").alias("node"), F.col("a").alias("root"))).unionAll(
+                new.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy(
+                "node").agg(F.min("root").alias("root"))
+            self.roots = save(known.join(above, "root", "left").select(
+                "node", F.coalesce("top", "root").alias("root")), "roots")
+
+    def rooted(self, df: DataFrame, node: str, out: str) -> DataFrame:
+        """``df`` with the root of its column ``node``."""
+        of = self.roots.select(F.col("node").alias(node), F.col("root").alias("found"))
+        return df.join(of, node, "left").withColumn(out, F.coalesce("found", node)).drop("found")
+
+
 def link_documents(docs: DataFrame, percent: int = SIMILARITY, words: int = WORDS,
                    text_col: str = "text", id_col: str = "doc_id",
                    block: int = GROUP_BLOCK) -> DataFrame:
@@ -386,48 +489,42 @@ def link_documents(docs: DataFrame, percent: int = SIMILARITY, words: int = WORD
         Window.unboundedPreceding, Window.currentRow))
     stars = save(_signature_rows(docs, text_col, words, percent).withColumn("a", least).where(
         F.col("a") != F.col("node")).select("sig", "a", F.col("node").alias("b")), "stars")
-    pairs = save(_may_link(stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")),
-                           nodes, percent), "star_pairs")
+    classes = _Classes(docs, text_col, words, percent)
     # one comparison a document: with the one it shares most signatures with
-    tried = save(pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")),
-                 "tried_pairs")
-    named = pairs.select(F.col("a").alias("node")).unionAll(
-        pairs.select(F.col("b").alias("node"))).distinct()
-    sets = save(_set_rows(docs, text_col, words).join(named, "node").dropDuplicates(["node"]),
-                "shingle_sets")
-    links = save(_linked(tried, sets, percent), "links")
-    roots = save(components(links), "roots")
-
-    rooted = lambda df, x, out: df.join(
-        roots.select(F.col("node").alias(x), F.col("root").alias("found")), x, "left").withColumn(
-        out, F.coalesce("found", x)).drop("found")
-    rest = rooted(rooted(pairs.join(tried, ["a", "b"], "left_anti"), "a", "root_a"), "b",
-                  "root_b").where("root_a <> root_b").select("a", "b")
-    members = rooted(stars.select("sig", F.col("b").alias("node")).distinct(), "node", "root")
-    unsettled = members.groupBy("sig").agg(F.min("root").alias("p"), F.max("root").alias("q")
-                                           ).where("p <> q").select("sig")
-    open_members = save(members.join(unsettled, "sig").join(
-        nodes.select("node", "n", "buckets"), "node"), "open_members")
-    open_pairs = save(rest.unionAll(_open_pairs(open_members, percent, block)).distinct().join(
-        tried, ["a", "b"], "left_anti"), "open_pairs")
-    # sets that no star pair named
-    lacking = open_pairs.select(F.col("a").alias("node")).unionAll(
-        open_pairs.select(F.col("b").alias("node"))).distinct().join(sets, "node", "left_anti")
-    if not lacking.isEmpty():
-        more = save(_set_rows(docs, text_col, words).join(lacking, "node").dropDuplicates(
-            ["node"]), "shingle_sets")
-        sets = sets.unionAll(more)
-    links = links.unionAll(_linked(open_pairs, sets, percent))
-    roots = save(components(links), "roots")
-
-    rooted_nodes = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
+    nearest = stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")).groupBy("b").agg(
+        F.max_by("a", F.struct("shared", "a")).alias("a"))
+    classes.verify(save(_may_link(nearest, nodes, percent), "pairs"))
+
+    members = stars.select("sig", F.col("b").alias("node")).unionAll(
+        stars.select("sig", F.col("a").alias("node"))).distinct()
+
+    def unsettled() -> DataFrame:
+        """Members of the signatures that hold several classes."""
+        with_root = classes.rooted(members, "node", "root")
+        several = with_root.groupBy("sig").agg(
+            F.min("root").alias("p"), F.max("root").alias("q"),
+            F.count(F.lit(1)).alias("g")).where("p <> q").select("sig", "g")
+        return with_root.join(several, "sig")
+
+    of_node = nodes.select("node", "n", "buckets")
+    # each document in the largest such signature it has
+    largest = save(unsettled().groupBy("node", "root").agg(
+        F.max_by("sig", F.struct("g", "sig")).alias("sig")).join(of_node, "node"), "open_members")
+    classes.verify(save(_open_pairs(largest, percent, block, True).join(
+        classes.tried, ["a", "b"], "left_anti"), "pairs"))
+    drop(largest)
+    everywhere = save(unsettled().select("sig", "node", "root").join(of_node, "node"),
+                      "open_members")
+    classes.verify(save(_open_pairs(everywhere, percent, block, False).join(
+        classes.tried, ["a", "b"], "left_anti"), "pairs"))
+    rooted_nodes = nodes.select("node", "doc_id").join(
+        classes.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted_nodes.groupBy("root").agg(F.min("doc_id").alias("name"))
-    of_node = save(rooted_nodes.select("node", "root").join(names, "root").select(
+    named = save(rooted_nodes.select("node", "root").join(names, "root").select(
         "node", "name"), "component_of")
-    for t in (stars, pairs, tried, sets, links, open_members, open_pairs, nodes):
+    for t in (stars, nodes, everywhere, classes.sets, classes.tried):
         drop(t)
-    return rows.join(of_node, "node", "left").select(
+    return rows.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
         F.col("doc_id").alias(id_col), "n_shingles",
         F.coalesce("name", "doc_id").alias("component_id"))
 
