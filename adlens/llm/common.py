@@ -12,9 +12,15 @@ from pyspark.sql import functions as F
 
 from adlens.session import ensure_checkpoint_dir, scratch_path
 
-# Text bytes handled at once inside a task: bounds the working arrays (a few
-# hundred MB at most) whatever the Arrow batch size. One longer text is one slice.
-SLICE_BYTES = 2 << 20
+# Text bytes handled at once inside a task: bounds the working arrays whatever
+# the Arrow batch size, and keeps them in the cache. One longer text is one slice.
+SLICE_BYTES = 1 << 19
+# Settings while an intermediate table is written: its shuffle files are deleted
+# as soon as it stands, and Python workers get few rows at a time.
+WRITE_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,29 +30,29 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared checkpoint folder and reread it.
 
-    Cuts the lineage: a lost executor costs a reread, not a recomputation. The
-    write's own shuffle files go as soon as it ends.
+    Cuts the lineage: a lost executor costs a reread, not a recomputation.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with tidy_shuffles(spark):
+    with settings(spark, WRITE_CONF):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def tidy_shuffles(spark: SparkSession):
-    """Within, a finished query's shuffle files are deleted at its end."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """Session settings that hold within the block only."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def drop(df: DataFrame) -> None:
