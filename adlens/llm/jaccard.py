@@ -385,15 +385,17 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
     different roots that may link; all, or a spanning forest of each signature.
 
     Large signatures are cut into blocks, and each pair of blocks is compared
-    on its own.
+    on its own. Of the signatures that a pair shares only the smallest gives
+    it: a member carries the list of its own (a set has a bounded number).
     """
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("g"))
-    cut = members.join(sizes, "sig").withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
+    lists = members.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
+    cut = members.join(lists, "node").join(sizes, "sig").withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     keyed = cut.select(F.xxhash64("sig", F.least("own", "other"),
                                   F.greatest("own", "other")).alias("key"),
-                       "node", "root", "n", "buckets")
+                       "sig", "sigs", "node", "root", "n", "buckets")
     sorted_rows = keyed.repartition("key").sortWithinPartitions("key", "node")
 
     def compare(batch: pa.Table) -> pa.RecordBatch:
@@ -403,6 +405,12 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
         if spanning:
             use = spanning_pairs(key, root, left, right, apart)
             left, right = left[use], right[use]
+        elif len(left):
+            sig, sigs = batch["sig"].to_pylist(), {
+                i: set(batch["sigs"][i].as_py()) for i in np.union1d(left, right).tolist()}
+            use = [min(sigs[x] & sigs[y]) == sig[x] for x, y in zip(left.tolist(),
+                                                                    right.tolist())]
+            left, right = left[use], right[use]
         a, b = node[left], node[right]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()),
