@@ -124,6 +124,13 @@ def map_texts(df: DataFrame, text_col: str, keep: list[str], out: str,
                       *[F.col(f.name) for f in extra])
 
 
+def packed(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(row, body): all columns as one struct, so that no name of theirs can
+    clash with one of an operator, and the text. ``select("row.*")`` undoes it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(text_col).cast("string").alias("body"))
+
+
 SPAN = "array<struct<kind:string,start:int,end:int,value:string,score:double>>"
 SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
                                  ("end", pa.int32()), ("value", pa.string()),

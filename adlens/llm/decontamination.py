@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import map_texts, read
+from adlens.llm.common import map_texts, packed, read
 
 Q = 12
 EDIT_RATE = 0.06         # edits allowed, as a share of the item's characters
@@ -268,7 +268,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents, all columns, that hold no benchmark item."""
-    return find_leaks(docs, benchmark, keep=tuple(docs.columns)).where(
-        F.size("matches") == 0).select(*docs.columns)
+    return find_leaks(packed(docs, text_col), benchmark, "body", ("row",)).where(
+        F.size("matches") == 0).select("row.*")

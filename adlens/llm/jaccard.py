@@ -549,11 +549,10 @@ def one_of_each(docs: DataFrame, percent: int = SIMILARITY, words: int = WORDS,
     words stay; so do rows without an id, which no group can name.
     """
     linked = link_documents(docs, percent, words, text_col, id_col)
-    known = linked.select(F.col(id_col).alias("own_id"), "component_id", "n_shingles")
-    first = known.where(F.col("own_id") == F.col("component_id")).groupBy("own_id").agg(
-        F.max("n_shingles").alias("own_shingles"))
-    kept = docs.join(first, docs[id_col] == first["own_id"])
-    nth = F.row_number().over(Window.partitionBy("own_id").orderBy("own_id"))
-    kept = kept.withColumn("own_nth", nth).where(
-        (F.col("own_nth") == 1) | (F.col("own_shingles") == 0))
-    return kept.select(*docs.columns).unionAll(docs.where(F.col(id_col).isNull()))
+    first = linked.where(F.col(id_col) == F.col("component_id")).groupBy(
+        F.col(id_col).alias("id")).agg(F.max("n_shingles").alias("shingles"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(id_col).alias("id"))
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+    kept = rows.join(first, "id").withColumn("nth", nth).where("nth = 1 or shingles = 0")
+    return kept.select("row.*").unionAll(docs.where(F.col(id_col).isNull()))

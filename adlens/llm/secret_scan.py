@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import (SPAN, SPAN_ARROW, map_texts, read, span_count, span_string,
-                               text_buffer)
+from adlens.llm.common import (SPAN, SPAN_ARROW, map_texts, packed, read, span_count,
+                               span_string, text_buffer)
 
 
 @dataclass(frozen=True)
@@ -274,10 +274,8 @@ def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col:
                     mark: str = "<SECRET>") -> DataFrame:
     """The documents with every found span replaced by ``mark``; all columns and
     rows stay (null texts too). Overlapping spans become one mark."""
-    names = docs.columns
-    found = find_secrets(docs, rules, text_col, tuple(names))
-
-    text, spans = F.col(text_col), F.col("spans")
+    found = find_secrets(packed(docs, text_col), rules, "body", ("row", "body"))
+    text, spans = F.col("body"), F.col("spans")
     # merge overlapping spans, then stitch the pieces between them
     merged = F.aggregate(
         spans, F.array().cast("array<struct<start:int,end:int>>"),
@@ -294,5 +292,5 @@ def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col:
             F.concat(acc["done"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
                      F.lit(mark)).alias("done"), s["end"].alias("at")),
         lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn(
-        text_col, F.when(F.size(spans) > 0, stitched).otherwise(text)).select(*names)
+    return found.select(F.col("row").withField(
+        text_col, F.when(F.size(spans) > 0, stitched).otherwise(text)).alias("row")).select("row.*")
