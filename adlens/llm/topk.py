@@ -154,14 +154,13 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = """
 WITH v AS (
   SELECT DISTINCT CAST(vec_id AS BIGINT) AS id,
-         list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.id AS query_id, c.id AS vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT)
-           AS score
+         CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
   FROM v q JOIN v c ON q.id % 50 = 0 AND c.id <> q.id),
 r AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
