@@ -385,38 +385,34 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
     different roots that may link; all, or a spanning forest of each signature.
 
     Large signatures are cut into blocks, and each pair of blocks is compared
-    on its own. Of the signatures that a pair shares only the smallest gives
-    it: a member carries the list of its own (a set has a bounded number).
+    on its own. A task gives a pair once, however many signatures it shares.
     """
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("g"))
-    lists = members.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
-    cut = members.join(lists, "node").join(sizes, "sig").withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
+    cut = members.join(sizes, "sig").withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     keyed = cut.select(F.xxhash64("sig", F.least("own", "other"),
                                   F.greatest("own", "other")).alias("key"),
-                       "sig", "sigs", "node", "root", "n", "buckets")
+                       "node", "root", "n", "buckets")
     sorted_rows = keyed.repartition("key").sortWithinPartitions("key", "node")
 
-    def compare(batch: pa.Table) -> pa.RecordBatch:
+    def compare(batch: pa.Table, given: set) -> pa.RecordBatch:
         key, node, root, n = (batch[c].to_numpy() for c in ("key", "node", "root", "n"))
         counts = _count_rows(batch["buckets"].combine_chunks())
         left, right, apart = near_pairs(key, root, n, counts, percent)
         if spanning:
             use = spanning_pairs(key, root, left, right, apart)
             left, right = left[use], right[use]
-        elif len(left):
-            sig, sigs = batch["sig"].to_pylist(), {
-                i: set(batch["sigs"][i].as_py()) for i in np.union1d(left, right).tolist()}
-            use = [min(sigs[x] & sigs[y]) == sig[x] for x, y in zip(left.tolist(),
-                                                                    right.tolist())]
-            left, right = left[use], right[use]
         a, b = node[left], node[right]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        fresh = [p not in given for p in zip(*pairs.tolist())]
+        pairs = pairs[:, np.array(fresh, bool)]
+        given.update(zip(*pairs.tolist()))
         return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()),
                                            pa.array(pairs[1], pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[tuple[int, int]] = set()
         held: list[pa.RecordBatch] = []  # the last, unfinished key
         for batch in batches:
             if not batch.num_rows:
@@ -425,10 +421,10 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
             key = table["key"].to_numpy()
             cut = int(np.searchsorted(key, key[-1]))
             if cut:
-                yield compare(table.slice(0, cut))
+                yield compare(table.slice(0, cut), given)
             held = table.slice(cut).combine_chunks().to_batches()
         if held:
-            yield compare(pa.Table.from_batches(held))
+            yield compare(pa.Table.from_batches(held), given)
 
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
