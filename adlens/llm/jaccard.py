@@ -237,6 +237,31 @@ def bucket_counts(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.minimum(counts, COUNT_MAX).astype(np.uint8).reshape(-1, BUCKETS)
 
 
+def wide_counts(sets: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Counts of each set in as many buckets as it has shingles, up to the next
+    power of two: a sharper bound, kept for pairs that pass the first."""
+    out = []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        width = 1 << max(6, (b - a - 1).bit_length())
+        counts = np.bincount((sets[a:b] >> np.uint64(20)).astype(np.int64) & (width - 1),
+                             minlength=width)
+        out.append(counts.astype(np.uint16).tobytes() if counts.max(initial=0) > COUNT_MAX
+                   else counts.astype(np.uint8).tobytes())
+    return out
+
+
+def wide_difference(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
+    """The same lower bound from two wide counts; the wider one is folded."""
+    rows = []
+    for raw, n in ((a, n_a), (b, n_b)):
+        width = 1 << max(6, (n - 1).bit_length())
+        rows.append(np.frombuffer(raw, np.uint8 if len(raw) == width else np.uint16)
+                    .astype(np.int64))
+    width = min(map(len, rows))
+    p, q = (r.reshape(-1, width).sum(axis=0) for r in rows)
+    return int(np.abs(p - q).sum())
+
+
 def differences(counts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A lower bound of how many shingles the sets of each pair differ in."""
     out = np.zeros(len(left), np.int64)
@@ -258,9 +283,11 @@ def _sized(docs: DataFrame, keep: list[str], text_col: str, words: int) -> DataF
         buckets = bucket_counts(sets, offsets)
         return {"n_shingles": pa.array(size, pa.int64()),
                 "node": pa.array(set_keys(sets, offsets), pa.int64(), mask=size == 0),
-                "buckets": pa.array([b.tobytes() for b in buckets], pa.binary())}
+                "buckets": pa.array([b.tobytes() for b in buckets], pa.binary()),
+                "wide": pa.array(wide_counts(sets, offsets), pa.binary())}
 
-    return map_texts(docs, text_col, keep, "n_shingles long, node long, buckets binary", run)
+    return map_texts(docs, text_col, keep,
+                     "n_shingles long, node long, buckets binary, wide binary", run)
 
 
 def _per_set(docs: DataFrame, text_col: str, words: int, schema: str, fn) -> DataFrame:
@@ -303,20 +330,19 @@ def _set_rows(docs: DataFrame, text_col: str, words: int) -> DataFrame:
 
 
 def _may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and bucket counts allow a link."""
+    """The pairs (a, b) whose sizes and wide bucket counts allow a link."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
-                                  F.col("buckets").alias(f"of_{x}"))
+                                  F.col("wide").alias(f"of_{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, n_a, n_b = (batch.column(c).to_numpy() for c in ("a", "b", "n_a", "n_b"))
-            counts = np.concatenate([_count_rows(batch.column(c)) for c in ("of_a", "of_b")])
-            at = np.arange(len(a))
-            good = differences(counts, at, at + len(a)) <= most_differences(n_a + n_b, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
+            columns = [batch.column(c).to_pylist() for c in ("of_a", "of_b", "n_a", "n_b")]
+            good = pa.array([wide_difference(p, q, m, n) <= most_differences(m + n, percent)
+                             for p, q, m, n in zip(*columns)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
 
-    return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").mapInArrow(
-        run, "a long, b long")
+    return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select(
+        "a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
 def _count_rows(column: pa.Array) -> np.ndarray:
@@ -381,14 +407,13 @@ def spanning_pairs(key, root, left, right, apart) -> np.ndarray:
 
 
 def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) -> DataFrame:
-    """Pairs of members (sig, node, root, n, buckets) with one signature and
-    different roots that may link; all, or a spanning forest of each signature.
+    """Pairs of members (sig, g, node, root, n, buckets), g of them with one
+    signature, that have different roots and may link; all, or a spanning forest of each signature.
 
     Large signatures are cut into blocks, and each pair of blocks is compared
     on its own. A task gives a pair once, however many signatures it shares.
     """
-    sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("g"))
-    cut = members.join(sizes, "sig").withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
+    cut = members.withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     keyed = cut.select(F.xxhash64("sig", F.least("own", "other"),
@@ -487,6 +512,7 @@ def link_documents(docs: DataFrame, percent: int = SIMILARITY, words: int = WORD
                        ["doc_id"], "text", words), "shingle_rows")
     nodes = save(rows.where("node is not null").groupBy("node").agg(
         F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets"),
+        F.first("wide").alias("wide"),
         F.min("doc_id").alias("doc_id")), "shingle_nodes")
     # every signature's smallest set, beside the others
     least = F.min("node").over(Window.partitionBy("sig").orderBy("node").rowsBetween(
@@ -511,22 +537,25 @@ def link_documents(docs: DataFrame, percent: int = SIMILARITY, words: int = WORD
         return with_root.join(several, "sig")
 
     of_node = nodes.select("node", "n", "buckets")
-    # each document in the largest such signature it has
-    largest = save(unsettled().groupBy("node", "root").agg(
-        F.max_by("sig", F.struct("g", "sig")).alias("sig")).join(of_node, "node"), "open_members")
-    classes.verify(save(_open_pairs(largest, percent, block, True).join(
-        classes.tried, ["a", "b"], "left_anti"), "pairs"))
-    drop(largest)
-    everywhere = save(unsettled().select("sig", "node", "root").join(of_node, "node"),
-                      "open_members")
-    classes.verify(save(_open_pairs(everywhere, percent, block, False).join(
-        classes.tried, ["a", "b"], "left_anti"), "pairs"))
+    # each document in one such signature: the largest it has, then the one of
+    # least hash, which copies mostly have in common
+    for order in (F.struct("g", "sig"), F.struct(F.xxhash64("sig"), "sig")):
+        picked = unsettled().groupBy("node", "root").agg(
+            F.max_by(F.struct("sig", "g"), order).alias("s")).select(
+            "s.sig", "s.g", "node", "root").join(of_node, "node")
+        found = save(_open_pairs(picked, percent, block, True).join(
+            classes.tried, ["a", "b"], "left_anti"), "pairs")
+        classes.verify(save(_may_link(found, nodes, percent), "pairs"))
+    found = save(_open_pairs(unsettled().join(of_node, "node"), percent, block, False),
+                 "open_pairs")
+    rest = found.join(classes.tried, ["a", "b"], "left_anti")
+    classes.verify(save(_may_link(rest, nodes, percent), "pairs"))
     rooted_nodes = nodes.select("node", "doc_id").join(
         classes.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted_nodes.groupBy("root").agg(F.min("doc_id").alias("name"))
     named = save(rooted_nodes.select("node", "root").join(names, "root").select(
         "node", "name"), "component_of")
-    for t in (stars, nodes, everywhere, classes.sets, classes.tried):
+    for t in (stars, nodes, found, classes.sets, classes.tried):
         drop(t)
     return rows.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
         F.col("doc_id").alias(id_col), "n_shingles",
