@@ -38,7 +38,7 @@ from adlens.llm.components import components
 WORDS = 4
 SIMILARITY = 85          # percent
 SECOND_LEVEL = 2
-BUCKETS = 256            # of the counts that bound a pair's difference
+BUCKETS = 512            # of the counts that bound a pair's difference
 COUNT_MAX = 255          # counts are cut off here, which keeps the bound valid
 GROUP_BLOCK = 4_096      # members of one signature compared in one task
 
