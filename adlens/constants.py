@@ -75,3 +75,6 @@ CONCENTRATION_VERDICT = {"DIVERSIFIED": GOOD, "MODERATE": WARN, "CONCENTRATED":
 # --- FIXED VALUES: surrogate keys (public dbt_utils definition) --------------
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 SURROGATE_SEP = "-"
+
+# Why a filled request has no campaign.
+NO_CAMPAIGN_IN_FLIGHT = "no campaign in flight"

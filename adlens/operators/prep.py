@@ -34,9 +34,10 @@ def campaign_label(objective: str | Column, prefix_idx: str | Column,
                    vertical: str | Column, flight_start: str | Column) -> Column:
     """'<prefix> - <vertical short> Q<n> <year>' (G3).
 
-    The prefix is the ``prefix_idx``-th name of the objective's list.
+    The prefix is the ``prefix_idx``-th name of the objective's list, or
+    "Campaign" for an objective without a list.
     """
-    prefix = F.lit(None).cast("string")
+    prefix = F.lit("Campaign")
     for obj, names in C.CAMPAIGN_PREFIXES.items():
         prefix = F.when(col(objective) == obj, pick(names, col(prefix_idx))).otherwise(prefix)
     short = F.coalesce(lookup(C.VERTICAL_SHORT, col(vertical)), F.substring(col(vertical), 1, 5))
@@ -129,6 +130,9 @@ def weighted_allocation(requests: DataFrame, candidates: DataFrame) -> DataFrame
     holds its draw. The interval lookup is an equi-join on (day, bucket): each
     slice is exploded into the 1024-ths of the range it overlaps, so a request
     meets about one candidate rather than every campaign of its day.
+
+    Every request has one row: one on a day without a campaign in flight keeps
+    a null campaign, with the reason beside it.
     """
     unit = 1 << UNIT_BITS
     shift = UNIT_BITS - BUCKET_BITS
@@ -149,9 +153,13 @@ def weighted_allocation(requests: DataFrame, candidates: DataFrame) -> DataFrame
     r = requests.select("request_id", F.to_date("request_timestamp").alias("day"),
                         unit_draw("request_id").alias("u"))
     r = r.withColumn("bucket", F.shiftright("u", shift))
-    j = r.join(c, ["day", "bucket"])
-    return j.filter((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))).select(
-        "request_id", "day", "campaign_id")
+    slices = c.select(F.col("day").alias("c_day"), F.col("bucket").alias("c_bucket"),
+                      "campaign_id", "lo", "hi")
+    inside = (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))
+    j = r.join(slices, (F.col("day") == F.col("c_day"))
+               & (F.col("bucket") == F.col("c_bucket")) & inside, "left")
+    return j.select("request_id", "day", "campaign_id", F.when(
+        F.col("campaign_id").isNull(), F.lit(C.NO_CAMPAIGN_IN_FLIGHT)).alias("unallocated_reason"))
 
 
 def calibrate_budgets(campaigns: DataFrame, impressions: DataFrame,

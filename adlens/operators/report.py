@@ -110,10 +110,13 @@ def planned_spend_curve(campaigns: DataFrame) -> DataFrame:
 
 
 def planned_vs_actual(curve: DataFrame, performance: DataFrame) -> DataFrame:
-    """Planned spend by flight day against actual cumulative spend."""
+    """Planned spend by flight day against actual cumulative spend.
+
+    Spend before or after the flight keeps its rows, without a plan.
+    """
     actual = performance.select("campaign_key", F.col("elapsed_days").alias("flight_day"),
                                 F.col("cumulative_spend").alias("actual_spend_usd"))
-    return curve.join(actual, ["campaign_key", "flight_day"], "left")
+    return curve.join(actual, ["campaign_key", "flight_day"], "full")
 
 
 def kpi_bands(health: DataFrame) -> DataFrame:

@@ -532,9 +532,12 @@ register("planned_spend_curve", P("SELECT * FROM planned_curve", [_CURVE]))(
     lambda spark, sf: report.planned_spend_curve(wh(spark, sf).dim_campaigns))
 
 register("planned_vs_actual", P("""
-    SELECT c.campaign_key, c.flight_day, c.planned_spend_usd, p.cumulative_spend AS actual_spend_usd
-    FROM planned_curve AS c LEFT JOIN mart_campaign_performance AS p
-    ON c.campaign_key = p.campaign_key AND c.flight_day = p.elapsed_days""", [_CURVE]))(
+    SELECT campaign_key, flight_day, max(planned) AS planned_spend_usd, max(actual) AS actual_spend_usd
+    FROM (SELECT campaign_key, flight_day, planned_spend_usd AS planned, NULL AS actual
+          FROM planned_curve
+          UNION ALL
+          SELECT campaign_key, elapsed_days, NULL, cumulative_spend FROM mart_campaign_performance)
+    GROUP BY campaign_key, flight_day""", [_CURVE]))(
     lambda spark, sf: (lambda w: report.planned_vs_actual(
         report.planned_spend_curve(w.dim_campaigns), w.mart_campaign_performance))(wh(spark, sf)))
 
@@ -627,8 +630,10 @@ _ALLOC = ("allocation", f"""
         FROM (SELECT day, campaign_id, CAST(total_budget_usd * 100 AS BIGINT) AS cents FROM in_flight)),
     req AS (SELECT request_id, CAST(request_timestamp AS DATE) AS day, {draw_sql('request_id')} AS u
             FROM ad_requests WHERE was_filled)
-    SELECT r.request_id, r.day, iv.campaign_id
-    FROM req AS r JOIN iv ON r.day = iv.day AND r.u >= iv.lo AND r.u < iv.hi""")
+    SELECT r.request_id, r.day, iv.campaign_id,
+           CASE WHEN r.day NOT IN (SELECT day FROM in_flight)
+                THEN '{C.NO_CAMPAIGN_IN_FLIGHT}' END AS unallocated_reason
+    FROM req AS r LEFT JOIN iv ON r.day = iv.day AND r.u >= iv.lo AND r.u < iv.hi""")
 register("weighted_allocation", P("SELECT * FROM allocation", [FLIGHT_DAYS, _ALLOC]))(
     lambda spark, sf: (lambda w: prep.weighted_allocation(
         w.raw["ad_requests"].filter("was_filled"),

@@ -52,6 +52,31 @@ def test_weighted_allocation_assigns_each_request_once_by_budget(spark):
     assert 0.70 < counts["big"] / 4000 < 0.80
 
 
+def test_weighted_allocation_keeps_requests_of_uncovered_days(spark):
+    cmp = spark.createDataFrame([
+        ("a", Decimal("10"), date(2026, 1, 1), date(2026, 1, 2), 2)], CAMPAIGNS)
+    req = spark.createDataFrame(
+        [(f"r{n}", datetime(2026, 1, 1 + n % 4)) for n in range(40)] + [("late", None)],
+        "request_id string, request_timestamp timestamp_ntz")
+    days = req.select(F.to_date("request_timestamp").alias("day")).dropna()
+    rows = prep.weighted_allocation(req, prep.in_flight_candidates(days, cmp, strict=False)).collect()
+    lost = [r for r in rows if r.campaign_id is None]
+    assert len(rows) == 41 and len(lost) == 21
+    assert {r.unallocated_reason for r in lost} == {"no campaign in flight"}
+    assert not any(r.unallocated_reason for r in rows if r.campaign_id)
+
+
+def test_planned_vs_actual_keeps_spend_outside_the_flight(spark):
+    curve = spark.createDataFrame([("k", 1, Decimal("5.00")), ("k", 2, Decimal("9.00"))],
+                                  "campaign_key string, flight_day int, planned_spend_usd decimal(12,2)")
+    spent = spark.createDataFrame([("k", d, Decimal("1.00")) for d in (-3, 2, 9)] + [
+        ("other", 1, Decimal("1.00"))],
+        "campaign_key string, elapsed_days int, cumulative_spend decimal(12,2)")
+    rows = report.planned_vs_actual(curve, spent).collect()
+    assert sum(r.actual_spend_usd is not None for r in rows) == 4 and len(rows) == 5
+    assert {r.flight_day for r in rows if r.planned_spend_usd is None} == {-3, 9, 1}
+
+
 def test_calibrate_budgets_floor_and_daily(spark):
     cmp = spark.createDataFrame([("c1", 10), ("c2", 20)], "campaign_id string, flight_days smallint")
     imp = spark.createDataFrame([("c1", Decimal("9.000000"))], "campaign_id string, revenue_usd decimal(12,6)")
