@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 DEFAULT_BROADCAST_ROWS = 200_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
-_checked: dict[tuple[int, int, int], bool] = {}
+_checked: dict[tuple, bool] = {}
 
 
 def _row_bytes(df: DataFrame) -> F.Column:
@@ -38,10 +38,11 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
     Reads at most ``max_rows + 1`` rows (the limit stops the scan early) in one
-    aggregate, and remembers the answer per logical plan so a dimension is
-    checked once per session.
+    aggregate, and remembers the answer per logical plan and list of input
+    files, so a dimension is checked once per session and a path that grew is
+    checked again.
     """
-    key = (df.semanticHash(), max_rows, max_bytes)
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows, max_bytes)
     if key not in _checked:
         probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
                                            F.sum(_row_bytes(df)).alias("b")).first()

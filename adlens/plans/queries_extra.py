@@ -412,6 +412,29 @@ register("audit_request_in_session", P(summary_sql(
     lambda spark, sf: V.audit_request_in_session(_expanded(spark, sf),
                                                  _raw(spark, sf, "viewing_sessions")))
 
+# the same audits over the given requests, which do not follow the sessions
+register("audit_request_counts_given", P(summary_sql(
+    "(SELECT v.ad_requests, coalesce(r.n, 0) AS n FROM viewing_sessions AS v LEFT JOIN "
+    "(SELECT session_id, count(*) AS n FROM ad_requests GROUP BY session_id) AS r "
+    "ON v.session_id = r.session_id)", "n <> ad_requests")))(
+    lambda spark, sf: V.audit_request_counts(_raw(spark, sf, "ad_requests"),
+                                             _raw(spark, sf, "viewing_sessions")))
+
+register("audit_slot_prefix_given", P(summary_sql(
+    "(SELECT r.session_id, min(d.slot_depth) AS lo, max(d.slot_depth) AS hi, count(*) AS n, "
+    "count(DISTINCT d.slot_depth) AS k FROM ad_requests AS r LEFT JOIN slot_depths AS d "
+    "ON r.slot_position = d.slot_position GROUP BY r.session_id)",
+    "k <> n OR coalesce(lo <> 0 OR hi <> n - 1, true)"), [SLOT_DEPTHS]))(
+    lambda spark, sf: V.audit_slot_prefix(_raw(spark, sf, "ad_requests"), spark))
+
+register("audit_request_in_session_given", P(summary_sql(
+    "(SELECT r.request_timestamp, v.session_start, v.watch_seconds FROM ad_requests AS r "
+    "JOIN viewing_sessions AS v ON r.session_id = v.session_id)",
+    "request_timestamp < session_start OR request_timestamp > "
+    "session_start + to_seconds(CAST(watch_seconds AS BIGINT))")))(
+    lambda spark, sf: V.audit_request_in_session(_raw(spark, sf, "ad_requests"),
+                                                 _raw(spark, sf, "viewing_sessions")))
+
 register("ad_load_per_hour", P(f"""
     SELECT requests, watch_seconds, ads_per_hour, ads_per_hour >= 6 AND ads_per_hour <= 25 AS passed
     FROM (SELECT requests, watch_seconds, {rr('requests * 3600', 'watch_seconds', 2)} AS ads_per_hour
@@ -434,11 +457,11 @@ register("audit_campaign_name", P("""
     GROUP BY prefix""", [_PREFIXES]))(
     lambda spark, sf: V.audit_campaign_name(_raw(spark, sf, "campaigns"), spark))
 
-register("audit_objectives", P("SELECT o.objective, coalesce(c.campaigns, 0) AS campaigns, "
-                               "coalesce(c.campaigns, 0) > 0 AS passed FROM (VALUES " +
+register("audit_objectives", P("SELECT objective, CAST(sum(n) AS BIGINT) AS campaigns, sum(n) > 0 AND bool_or(known) "
+                               "AS passed FROM (SELECT objective, 0 AS n, true AS known FROM (VALUES " +
                                ", ".join(f"('{o}')" for o in C.OBJECTIVES) +
-                               ") AS o(objective) LEFT JOIN (SELECT objective, count(*) AS campaigns "
-                               "FROM campaigns GROUP BY objective) AS c ON o.objective = c.objective"))(
+                               ") AS o(objective) UNION ALL SELECT objective, 1, false FROM campaigns) "
+                               "GROUP BY objective"))(
     lambda spark, sf: V.audit_objectives(_raw(spark, sf, "campaigns"), spark))
 
 register("audit_daily_budget", P(summary_sql(

@@ -22,8 +22,17 @@ def read_csv_typed(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def missing_inputs(paths: dict[str, str]) -> list[str]:
-    """Tables whose input path does not exist (S3)."""
-    return [t for t, p in paths.items() if not os.path.exists(p)]
+    """Tables whose input path does not exist (S3), by the path's own file system."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return [t for t, p in paths.items() if not os.path.exists(p)]
+    conf = spark._jsc.hadoopConfiguration()
+
+    def exists(p: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        return path.getFileSystem(conf).exists(path)
+
+    return [t for t, p in paths.items() if not exists(p)]
 
 
 def read_raw_csv(spark: SparkSession, directory: str, tables=RAW_TABLES) -> dict[str, DataFrame]:

@@ -88,3 +88,13 @@ def test_in_flight_and_daily_budget(spark):
     assert violations(V.audit_in_flight(imp, cmp)) == 2
     # 100.00 / 3 = 33.33, not 33.34
     assert violations(V.audit_daily_budget(cmp)) == 1
+
+
+def test_unknown_slots_and_objectives_are_violations(spark):
+    reqs = spark.createDataFrame([("s1", "banner"), ("s2", "pre_roll"), ("s2", "banner")],
+                                 "session_id string, slot_position string")
+    r = V.audit_slot_prefix(reqs, spark).first()
+    assert (r.checked, r.violations, r.passed) == (2, 2, False)
+    camps = spark.createDataFrame([("charity",)], "objective string")
+    rows = {r.objective: r for r in V.audit_objectives(camps, spark).collect()}
+    assert rows["charity"].campaigns == 1 and not any(r.passed for r in rows.values())
