@@ -103,7 +103,14 @@ def optional_number(value: str | Column) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def format_metric(value: str | Column, decimals: int = 1, fallback: str = "n/a") -> Column:
-    """Fixed-point text for a metric; a missing value is text, never 0."""
+def format_metric(value: str | Column, decimals: int = 1, fallback: str = "n/a",
+                  prefix: str = "", suffix: str = "", grouped: bool = False) -> Column:
+    """Fixed-point text for a metric; a missing value is text, never 0.
+
+    The one rounding rule is half away from zero on the decimal digits, as
+    everywhere else in the library. ``grouped`` separates thousands by commas.
+    """
     v = optional_number(value)
-    return F.when(v.isNull(), F.lit(fallback)).otherwise(F.format_string(f"%.{decimals}f", v))
+    text = F.format_string(f"%{',' if grouped else ''}.{decimals}f", v)
+    return F.when(v.isNull(), F.lit(fallback)).otherwise(
+        F.concat(F.lit(prefix), text, F.lit(suffix)))

@@ -163,19 +163,23 @@ def audit_daily_budget(campaigns: DataFrame) -> DataFrame:
 
 def delivery_ratio_spread(campaigns: DataFrame, impressions: DataFrame) -> DataFrame:
     """Whole-flight delivery ratio (revenue / budget) per campaign: mean and
-    how many are under (< 0.9), on, and over (> 1.1) (V15)."""
+    how many are under (< 0.9), on, and over (> 1.1) (V15). It passes when the
+    mean is within 0.1 of 1 and all three outcomes occur."""
     delivered = impressions.groupBy("campaign_id").agg(F.sum("revenue_usd").alias("delivered"))
     df = campaigns.select("campaign_id", "total_budget_usd").join(delivered, "campaign_id", "left")
     micro = (F.coalesce("delivered", F.lit(0)) * 1_000_000).cast("decimal(38,0)")
     cents = (F.col("total_budget_usd") * 100).cast("decimal(38,0)")
     ratio = round_ratio(micro, cents * 10_000, 3)
     df = df.select(ratio.alias("r"))
-    return df.agg(
+    spread = df.agg(
         F.count(F.lit(1)).alias("campaigns"),
         round_ratio(F.sum(F.col("r") * 1000), F.count("r") * 1000, 3).alias("mean_ratio"),
         F.count_if(F.col("r") < Decimal("0.9")).alias("under"),
         F.count_if((F.col("r") >= Decimal("0.9")) & (F.col("r") <= Decimal("1.1"))).alias("on_pace"),
         F.count_if(F.col("r") > Decimal("1.1")).alias("over"))
+    near = F.abs(F.col("mean_ratio") - 1) <= Decimal("0.1")
+    return spread.select("*", F.coalesce(
+        near & (F.least("under", "on_pace", "over") > 0), F.lit(False)).alias("passed"))
 
 
 def audit_fill_target(requests: DataFrame, target_pct: int, tolerance_pct: int = 2) -> DataFrame:

@@ -147,14 +147,14 @@ def mart_advertiser_concentration(summary: DataFrame) -> DataFrame:
 def subscriber_campaign_counts(fct_imp: DataFrame) -> DataFrame:
     """Impressions per (subscriber, campaign) over the whole window (A8 first level)."""
     return fct_imp.groupBy("subscriber_key", "campaign_key").agg(
-        F.count(F.lit(1)).alias("total_impressions_to_subscriber"))
+        F.count(F.lit(1)).alias("times_seen"))
 
 
 def mart_frequency_analysis(fct_imp: DataFrame, dim_campaigns: DataFrame) -> DataFrame:
     """Reach, subscribers strictly over the cap, excess impressions (M8)."""
     pairs = subscriber_campaign_counts(fct_imp)
     caps = broadcast_if_small(dim_campaigns).select("campaign_key", "frequency_cap")
-    n = F.col("total_impressions_to_subscriber")
+    n = F.col("times_seen")
     cap = F.col("frequency_cap")
     over = n > cap
     per_campaign = pairs.join(caps, "campaign_key").groupBy("campaign_key", "frequency_cap").agg(

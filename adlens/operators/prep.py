@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from adlens import constants as C
 from adlens.functions.exprs import col, date_key, lookup, micros, pick, round_ratio
-from adlens.functions.joins import broadcast_if_small, literal_table, with_totals
+from adlens.functions.joins import literal_table, with_totals
 from adlens.sources.schemas import MONEY_SUM
 
-UNIT_BITS = 32          # allocation draws are 32-bit integers in [0, 2^32)
+UNIT_BITS = 60          # allocation draws are 60-bit integers in [0, 2^60)
 BUCKET_BITS = 10        # 1024 equi-join buckets per day for interval lookup
 
 
@@ -96,58 +96,71 @@ def in_flight_candidates(days: DataFrame, campaigns: DataFrame, strict: bool = T
     """Campaigns in flight on each given day.
 
     Range containment flight_start <= day <= flight_end is turned into an
-    equi-join by exploding each flight into its days. The distinct days are
-    bounded by the calendar, so they are the broadcast side (size-checked)
-    and the exploded flights are never shuffled for this join. With
-    ``strict`` a day without any candidate raises an error when the result is
-    computed.
+    equi-join by exploding each flight into its days. The join is keyed by the
+    day, as the budget windows of ``weighted_allocation`` are, so they reuse
+    its shuffle. A day without any campaign in flight keeps one row with a null
+    campaign; with ``strict`` it fails the call (``require_covered``).
     """
-    d = broadcast_if_small(days.select(F.col("day").cast("date").alias("day")).distinct())
-    cand = flight_days_exploded(campaigns).join(d, "day").select(
+    d = days.select(F.col("day").cast("date").alias("day")).distinct()
+    out = d.join(flight_days_exploded(campaigns), "day", "left").select(
         "day", "campaign_id", "total_budget_usd")
-    if not strict:
-        return cand
-    # an uncovered day adds one row whose campaign fails the job when computed
-    covered = cand.select("day").distinct()
-    uncovered = d.join(covered, "day", "left_anti").select(
-        "day",
-        F.raise_error(F.concat(F.lit("no campaign in flight on "), F.col("day").cast("string")))
-        .cast("string").alias("campaign_id"),
-        F.lit(None).cast("decimal(12,2)").alias("total_budget_usd"))
-    return cand.unionByName(uncovered)
+    if strict:
+        require_covered(out)
+    return out
 
 
-def unit_draw(key: str | Column) -> Column:
-    """Deterministic draw in [0, 2^32): the first 32 bits of md5(key)."""
-    return F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10).cast("long")
+def require_covered(candidates: DataFrame) -> None:
+    """Fail unless every day of ``candidates`` has a campaign in flight.
 
+    A job of its own (at most ten days reach the driver), so a caller that
+    reads only some columns of the candidates cannot skip it.
+    """
+    lost = (candidates.filter("campaign_id IS NULL").select("day")
+            .orderBy("day").limit(10).collect())
+    if lost:
+        raise ValueError("no campaign in flight on " + ", ".join(str(r.day) for r in lost))
 
-def weighted_allocation(requests: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Assign each request to one in-flight campaign, weighted by budget.
 
-    Within a day, campaigns (ordered by id) own consecutive half-open slices
-    of [0, 2^32) proportional to their budget; a request takes the slice that
-    holds its draw. The interval lookup is an equi-join on (day, bucket): each
-    slice is exploded into the 1024-ths of the range it overlaps, so a request
-    meets about one candidate rather than every campaign of its day.
+def unit_draw(key: str | Column) -> Column:
+    """Deterministic draw in [0, 2^60): the first 60 bits of md5(key)."""
+    return F.conv(F.substring(F.md5(col(key).cast("string")), 1, UNIT_BITS // 4), 16, 10).cast("long")
+
 
-    Every request has one row: one on a day without a campaign in flight keeps
-    a null campaign, with the reason beside it.
+def allocation_slices(candidates: DataFrame) -> DataFrame:
+    """Each day's campaigns, ordered by id, as consecutive half-open slices
+    [lo, hi) of [0, 2^60) proportional to their budgets.
+
+    No positive budget gets an empty slice while a day's budgets sum to at most
+    2^60 cents; a budget of nothing gets none.
     """
     unit = 1 << UNIT_BITS
-    shift = UNIT_BITS - BUCKET_BITS
     cents = (F.col("total_budget_usd") * 100).cast("long")
     w = Window.partitionBy("day").orderBy("campaign_id")
-    c = candidates.select("day", "campaign_id", cents.alias("cents"))
+    c = candidates.filter("campaign_id IS NOT NULL").select(
+        "day", "campaign_id", cents.alias("cents")).filter("cents > 0")
     c = c.select("*",
                  F.sum("cents").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("lo_c"),
                  F.sum("cents").over(Window.partitionBy("day")).alias("day_total"))
     lo_c = F.coalesce("lo_c", F.lit(0)).cast("decimal(38,0)")
     total = F.col("day_total").cast("decimal(38,0)")
-    c = c.select("day", "campaign_id",
-                 F.call_function("div", lo_c * F.lit(unit), total).alias("lo"),
-                 F.call_function("div", (lo_c + F.col("cents")) * F.lit(unit), total).alias("hi"))
-    c = c.filter(F.col("hi") > F.col("lo"))
+    return c.select("day", "campaign_id",
+                    F.call_function("div", lo_c * F.lit(unit), total).alias("lo"),
+                    F.call_function("div", (lo_c + F.col("cents")) * F.lit(unit), total).alias("hi"))
+
+
+def weighted_allocation(requests: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Assign each request to one in-flight campaign, weighted by budget.
+
+    A request takes the slice of its day (``allocation_slices``) that holds its
+    draw. The interval lookup is an equi-join on (day, bucket): each slice is
+    exploded into the 1024-ths of the range it overlaps, so a request meets
+    about one candidate rather than every campaign of its day.
+
+    Every request has one row: one on a day without a campaign in flight keeps
+    a null campaign, with the reason beside it.
+    """
+    shift = UNIT_BITS - BUCKET_BITS
+    c = allocation_slices(candidates)
     c = c.select("*", F.explode(F.sequence(F.shiftright("lo", shift),
                                            F.shiftright(F.col("hi") - 1, shift))).alias("bucket"))
     r = requests.select("request_id", F.to_date("request_timestamp").alias("day"),

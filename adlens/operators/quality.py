@@ -10,20 +10,17 @@ return (zero = pass):
 * unique / unique_combination: key values occurring more than once;
 * relationships: non-null child rows whose key is absent from the parent.
 
-All row-level checks of a model run in ONE aggregation pass; uniqueness is a
-grouped count per key (partial aggregation absorbs hot keys); relationships
-are left-anti joins against the parent key (broadcast when checked small).
+``run_checks`` scans each model at most twice: one pass counts the row-level
+checks and the relationships to small parents, one feeds the grouped counts.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens import constants as C
-from adlens.functions.joins import broadcast_if_small, is_small
+from adlens.functions.joins import is_small
 
 NN, U, AV, FK, AR, UC = ("not_null", "unique", "accepted_values", "relationships",
                          "accepted_range", "unique_combination_of_columns")
@@ -194,215 +191,63 @@ def count_checks() -> dict[str, int]:
     return out
 
 
-def _result(model: str, check: str, column: str, failures) -> list:
-    return [F.lit(model).alias("model"), F.lit(check).alias("check_name"),
-            F.lit(column).alias("column_name"), failures.cast("long").alias("failures")]
-
+def _q(name: str) -> str:
+    return f"`{name}`"
 
-def out_of_range(c: F.Column, lo, hi) -> F.Column:
-    """dbt_utils accepted_range, inclusive; a null passes."""
-    conds = []
-    if lo is not None:
-        conds.append(c < F.lit(lo))
-    if hi is not None:
-        conds.append(c > F.lit(hi))
-    return reduce(lambda a, b: a | b, conds)
 
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "\\'") + "'"
 
-def row_level_checks(model: str, df: DataFrame, spec: dict,
-                     types=(NN, AV, AR), resolve=None) -> DataFrame | None:
-    """not_null and accepted_range of one model in ONE aggregation pass, and
-    accepted_values in a second pass over only the rows that break one of
-    them (its distinct counts would otherwise copy every row once per count).
 
-    With FK in ``types`` (and a ``resolve``) relationships join the first
-    pass: each left-joins the parent's distinct keys and counts unmatched
-    non-null child keys. ``run_checks`` uses the anti-join form instead, which
-    needs no distinct over the parent.
-    """
-    parts = []
-    if AV in types and spec.get(AV):
-        av_aggs, av_labels, bad_any = [], [], []
-        for c, values in spec[AV].items():
-            bad = F.col(c).isNotNull() & ~F.col(c).isin(list(values))
-            av_aggs.append(F.count_distinct(F.when(bad, F.col(c))))
-            av_labels.append((AV, c))
-            bad_any.append(bad)
-        parts.append(_unpivot(model, df.filter(reduce(lambda a, b: a | b, bad_any)),
-                              av_aggs, av_labels))
-    aggs, labels = [], []
+def _counting_pass(model: str, spec: dict, types, view, small) -> list[str]:
+    """One scan of a model: not_null, accepted_range, and each relationship
+    whose parent is small, left-joined on the parent's distinct keys so that no
+    row of the model repeats."""
+    source, parents, aggs, labels = f"{view(model)} AS ch", [], [], []
     if NN in types:
         for c in spec.get(NN, []):
-            aggs.append(F.count_if(F.col(c).isNull()))
+            aggs.append(f"count_if(ch.{_q(c)} IS NULL)")
             labels.append((NN, c))
     if AR in types:
         for c, (lo, hi) in spec.get(AR, {}).items():
-            aggs.append(F.count_if(out_of_range(F.col(c), lo, hi)))
+            conds = ([f"ch.{_q(c)} < {lo}"] if lo is not None else []) + \
+                    ([f"ch.{_q(c)} > {hi}"] if hi is not None else [])
+            aggs.append(f"count_if({' OR '.join(conds)})")
             labels.append((AR, c))
-    if FK in types and resolve is not None:
-        for i, (c, (parent, pcol)) in enumerate(spec.get(FK, {}).items()):
-            pdf = resolve(parent)
-            keys = pdf.select(F.col(pcol).alias(f"__fk{i}")).distinct()
-            keys = F.broadcast(keys) if is_small(pdf) else keys
-            df = df.join(keys, F.col(c) == F.col(f"__fk{i}"), "left")
-            aggs.append(F.count_if(F.col(c).isNotNull() & F.col(f"__fk{i}").isNull()))
-            labels.append((FK, c))
-    if aggs:
-        parts.insert(0, _unpivot(model, df, aggs, labels))
-    if not parts:
-        return None
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _unpivot(model: str, df: DataFrame, aggs, labels) -> DataFrame:
-    """One aggregation pass over ``df``, unpivoted into one row per check."""
-    counts = df.agg(*[a.alias(f"c{i}") for i, a in enumerate(aggs)])
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(t).alias("check_name"), F.lit(c).alias("column_name"),
-                 F.col(f"c{i}").cast("long").alias("failures"))
-        for i, (t, c) in enumerate(labels)]))
-    return counts.select(rows.alias("r")).select(
-        F.lit(model).alias("model"), "r.check_name", "r.column_name", "r.failures")
-
-
-def duplicate_keys(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Key values that occur more than once (nulls excluded for one column)."""
-    keyed = df.filter(F.col(cols[0]).isNotNull()) if len(cols) == 1 else df
-    return keyed.groupBy(*cols).count().filter(F.col("count") > 1)
-
-
-def uniqueness_checks(model: str, df: DataFrame, spec: dict, types=(U, UC)) -> list[DataFrame]:
-    """One grouped count per unique key of one model (see ``batched_uniqueness``)."""
-    out = []
-    if U in types:
-        for c in spec.get(U, []):
-            out.append(duplicate_keys(df, [c]).agg(F.count(F.lit(1)).alias("n"))
-                       .select(*_result(model, U, c, F.col("n"))))
-    if UC in types:
-        for cols in spec.get(UC, []):
-            out.append(duplicate_keys(df, cols).agg(F.count(F.lit(1)).alias("n"))
-                       .select(*_result(model, UC, ",".join(cols), F.col("n"))))
-    return out
-
-
-def _key_text(cols: list[str]) -> F.Column:
-    """An injective text form of a key: the value itself for one column, the
-    JSON of the struct for several (null fields are left out, so a null and a
-    value never collide)."""
-    if len(cols) == 1:
-        return F.col(cols[0]).cast("string")
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))
-
-
-def batched_uniqueness(models: list[str], resolve, types=(U, UC)) -> DataFrame | None:
-    """All unique and unique-combination checks in ONE shuffle.
-
-    Each model contributes (check id, key text) rows for every key it must
-    keep unique; a single groupBy(check, key) counts occurrences, and a second,
-    tiny aggregation counts the duplicated keys per check. Partial aggregation
-    before the shuffle collapses repeated keys, so a hot key costs one row per
-    task. Checks without duplicates still report 0 (outer join to the list).
-    """
-    checks, parts = [], []
-    for model in models:
-        spec = CHECKS[model]
-        keys = []
-        if U in types:
-            keys += [(U, [c]) for c in spec.get(U, [])]
-        if UC in types:
-            keys += [(UC, cols) for cols in spec.get(UC, [])]
-        if not keys:
-            continue
-        df = resolve(model)
-        tagged = []
-        for kind, cols in keys:
-            cid = len(checks)
-            checks.append((cid, model, kind, ",".join(cols)))
-            text = _key_text(cols)
-            # unique ignores null keys; unique_combination does not
-            keep = F.col(cols[0]).isNotNull() if kind == U else F.lit(True)
-            tagged.append(F.when(keep, F.struct(F.lit(cid).alias("cid"), text.alias("k"))))
-        rows = df.select(F.explode(F.array(*tagged)).alias("t")).filter(F.col("t").isNotNull())
-        parts.append(rows.select("t.cid", "t.k"))
-    if not parts:
-        return None
-    spark = parts[0].sparkSession
-    allkeys = reduce(DataFrame.unionByName, parts)
-    dup = (allkeys.groupBy("cid", "k").count().filter(F.col("count") > 1)
-           .groupBy("cid").agg(F.count(F.lit(1)).alias("n")))
-    from adlens.functions.joins import literal_table
-    listing = literal_table(spark, checks, [("cid", "int"), ("model", "string"),
-                                            ("check_name", "string"), ("column_name", "string")])
-    return F.broadcast(listing).join(dup, "cid", "left").select(
-        "model", "check_name", "column_name",
-        F.coalesce("n", F.lit(0)).cast("long").alias("failures"))
-
-
-def orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows with a non-null key missing from the parent (left anti join)."""
-    # the parent key is unique by its own test; anti join needs no distinct
-    keys = broadcast_if_small(parent).select(F.col(parent_col).alias("__pk"))
-    return (child.filter(F.col(col).isNotNull())
-            .join(keys, F.col(col) == F.col("__pk"), "left_anti"))
-
-
-def relationship_checks(model: str, df: DataFrame, spec: dict, resolve) -> list[DataFrame]:
-    out = []
-    for c, (parent, pcol) in spec.get(FK, {}).items():
-        out.append(orphans(df.select(c), c, resolve(parent), pcol)
-                   .agg(F.count(F.lit(1)).alias("n"))
-                   .select(*_result(model, FK, c, F.col("n"))))
-    return out
-
-
-def _q(name: str) -> str:
-    return f"`{name}`"
-
-
-def _lit(v) -> str:
-    return "'" + str(v).replace("'", "\\'") + "'"
-
-
-def _stacked_sql(model: str, source: str, aggs: list[str], labels: list[tuple[str, str]]) -> str:
+    if FK in types:
+        for c, (parent, pcol) in spec.get(FK, {}).items():
+            if small(parent):
+                p = f"p{len(parents)}"
+                parents.append(p)
+                source += (f" LEFT JOIN (SELECT DISTINCT {_q(pcol)} AS pk FROM {view(parent)}) AS {p} "
+                           f"ON ch.{_q(c)} = {p}.pk")
+                aggs.append(f"count_if(ch.{_q(c)} IS NOT NULL AND {p}.pk IS NULL)")
+                labels.append((FK, c))
+    if not aggs:
+        return []
+    hint = f"/*+ BROADCAST({', '.join(parents)}) */ " if parents else ""
     cols = ", ".join(f"CAST({a} AS BIGINT) AS c{i}" for i, a in enumerate(aggs))
     stacked = ", ".join(f"{_lit(t)}, {_lit(c)}, c{i}" for i, (t, c) in enumerate(labels))
-    return (f"SELECT {_lit(model)} AS model, check_name, column_name, failures FROM "
+    return [f"SELECT {_lit(model)} AS model, check_name, column_name, failures FROM "
             f"(SELECT stack({len(labels)}, {stacked}) AS (check_name, column_name, failures) "
-            f"FROM (SELECT {cols} FROM {source}))")
+            f"FROM (SELECT {hint}{cols} FROM {source}))"]
 
 
-def _row_level_sql(model: str, view: str, spec: dict, types) -> list[str]:
-    """Per model: one counting pass for not_null and accepted_range, and one
-    pass for accepted_values.
-
-    accepted_values fails once per distinct bad value, i.e. a distinct count.
-    Several distinct counts in one aggregate make Spark copy every row once
-    per count (Expand), so they run in their own pass over only the rows that
-    break some accepted_values check; on clean data that pass sees no rows.
-    """
+def _grouped_keys(spec: dict, types) -> list[tuple[str, str, str]]:
+    """(check, column, key) of the checks that count distinct keys: the text of
+    a unique key (null: no key), the JSON of a combination (injective, nulls
+    left out), and a value outside its accepted list (null: none)."""
     out = []
-    aggs, labels = [], []
-    if NN in types:
-        for c in spec.get(NN, []):
-            aggs.append(f"count_if({_q(c)} IS NULL)")
-            labels.append((NN, c))
-    if AR in types:
-        for c, (lo, hi) in spec.get(AR, {}).items():
-            conds = ([f"{_q(c)} < {lo}"] if lo is not None else []) + \
-                    ([f"{_q(c)} > {hi}"] if hi is not None else [])
-            aggs.append(f"count_if({' OR '.join(conds)})")
-            labels.append((AR, c))
-    if aggs:
-        out.append(_stacked_sql(model, view, aggs, labels))
-    if AV in types and spec.get(AV):
-        aggs, labels, bad_any = [], [], []
-        for c, values in spec[AV].items():
+    if U in types:
+        out += [(U, c, f"CAST({_q(c)} AS STRING)") for c in spec.get(U, [])]
+    if UC in types:
+        for cols in spec.get(UC, []):
+            fields = ", ".join(f"{_lit(c)}, {_q(c)}" for c in cols)
+            out.append((UC, ",".join(cols), f"to_json(named_struct({fields}))"))
+    if AV in types:
+        for c, values in spec.get(AV, {}).items():
             lst = ", ".join(_lit(v) for v in values)
-            bad = f"({_q(c)} IS NOT NULL AND {_q(c)} NOT IN ({lst}))"
-            aggs.append(f"count(DISTINCT CASE WHEN {bad} THEN {_q(c)} END)")
-            labels.append((AV, c))
-            bad_any.append(bad)
-        out.append(_stacked_sql(model, f"{view} WHERE {' OR '.join(bad_any)}", aggs, labels))
+            out.append((AV, c, f"CASE WHEN {_q(c)} NOT IN ({lst}) THEN CAST({_q(c)} AS STRING) END"))
     return out
 
 
@@ -411,21 +256,23 @@ def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
 
     The whole report is ONE Spark SQL statement over a temp view per model
     (planned in the JVM, so building it costs a handful of driver calls
-    whatever the number of checks):
+    whatever the number of checks). It scans each model at most twice, plus
+    once per relationship to a large parent:
 
-    * per model, one aggregation pass for not_null / accepted_range, and one
-      for accepted_values over only the rows that break it, unpivoted with
-      ``stack``;
-    * per relationship, a LEFT ANTI join against the parent key, with a
-      BROADCAST hint only when the parent passed the row and byte bound check;
-    * all unique / unique-combination checks in one grouped shuffle over
-      (check id, key text), then a tiny count of duplicated keys per check.
+    * one aggregation pass for not_null, accepted_range and the relationships
+      to small parents, unpivoted with ``stack``;
+    * one pass that hands the keys of the unique, unique-combination and
+      accepted-values checks to a single shuffle by (check id, key text), then
+      a tiny count per check of repeated keys or of values. Partial aggregation
+      collapses a hot key before that shuffle;
+    * per relationship to a large parent, a LEFT ANTI join on its key.
 
     Callers at scale should hand in materialised models (``Warehouse`` with
     ``persist``) so each model is computed once.
     """
     models = models or list(CHECKS)
     views: dict[str, str] = {}
+    sizes: dict[str, bool] = {}
     spark = None
 
     def view(name: str) -> str:
@@ -437,41 +284,40 @@ def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
             df.createOrReplaceTempView(views[name])
         return views[name]
 
+    def small(name: str) -> bool:
+        if name not in sizes:
+            sizes[name] = is_small(resolve(name))
+        return sizes[name]
+
     parts: list[str] = []
-    for model in models:
-        parts.extend(_row_level_sql(model, view(model), CHECKS[model], types))
-    if FK in types:
-        for model in models:
-            for c, (parent, pcol) in CHECKS[model].get(FK, {}).items():
-                hint = "/*+ BROADCAST(p) */ " if is_small(resolve(parent)) else ""
-                parts.append(
-                    f"SELECT {hint}{_lit(model)} AS model, {_lit(FK)} AS check_name, "
-                    f"{_lit(c)} AS column_name, count(*) AS failures "
-                    f"FROM {view(model)} AS ch LEFT ANTI JOIN "
-                    f"(SELECT {_q(pcol)} AS pk FROM {view(parent)}) AS p "
-                    f"ON ch.{_q(c)} = p.pk WHERE ch.{_q(c)} IS NOT NULL")
     keys, listing = [], []
     for model in models:
         spec = CHECKS[model]
-        checks = ([(U, [c]) for c in spec.get(U, [])] if U in types else []) + \
-                 ([(UC, cols) for cols in spec.get(UC, [])] if UC in types else [])
-        for kind, cols in checks:
-            cid = len(listing)
-            listing.append(f"({cid}, {_lit(model)}, {_lit(kind)}, {_lit(','.join(cols))})")
-            if len(cols) == 1:
-                text = f"CAST({_q(cols[0])} AS STRING)"
-            else:   # JSON of the struct: injective, nulls left out
-                text = "to_json(named_struct(" + ", ".join(
-                    f"{_lit(c)}, {_q(c)}" for c in cols) + "))"
-            where = f" WHERE {_q(cols[0])} IS NOT NULL" if kind == U else ""
-            keys.append(f"SELECT {cid} AS cid, {text} AS k FROM {view(model)}{where}")
+        parts += _counting_pass(model, spec, types, view, small)
+        if FK in types:
+            for c, (parent, pcol) in spec.get(FK, {}).items():
+                if not small(parent):
+                    parts.append(
+                        f"SELECT {_lit(model)} AS model, {_lit(FK)} AS check_name, "
+                        f"{_lit(c)} AS column_name, count(*) AS failures "
+                        f"FROM {view(model)} AS ch LEFT ANTI JOIN "
+                        f"(SELECT {_q(pcol)} AS pk FROM {view(parent)}) AS p "
+                        f"ON ch.{_q(c)} = p.pk WHERE ch.{_q(c)} IS NOT NULL")
+        pairs = []
+        for kind, column, key in _grouped_keys(spec, types):
+            pairs.append(f"{len(listing)}, {key}")
+            listing.append(f"({len(listing)}, {_lit(model)}, {_lit(kind)}, {_lit(column)})")
+        if pairs:
+            keys.append(f"SELECT cid, k FROM (SELECT stack({len(pairs)}, {', '.join(pairs)}) AS (cid, k) "
+                        f"FROM {view(model)}) WHERE k IS NOT NULL")
     if keys:
         parts.append(
-            "SELECT l.model, l.check_name, l.column_name, CAST(coalesce(d.n, 0) AS BIGINT) AS failures "
+            "SELECT l.model, l.check_name, l.column_name, CAST(coalesce("
+            f"if(l.check_name = {_lit(AV)}, d.kinds, d.repeated), 0) AS BIGINT) AS failures "
             f"FROM (SELECT * FROM VALUES {', '.join(listing)} AS t(cid, model, check_name, column_name)) AS l "
-            "LEFT JOIN (SELECT cid, count(*) AS n FROM (SELECT cid, k FROM ("
-            + " UNION ALL ".join(keys) +
-            ") GROUP BY cid, k HAVING count(*) > 1) GROUP BY cid) AS d ON l.cid = d.cid")
+            "LEFT JOIN (SELECT cid, count(*) AS kinds, count_if(n > 1) AS repeated FROM "
+            "(SELECT cid, k, count(*) AS n FROM (" + " UNION ALL ".join(keys) +
+            ") GROUP BY cid, k) GROUP BY cid) AS d ON l.cid = d.cid")
     if spark is None:
         raise ValueError("no checks selected")
     return spark.sql("\nUNION ALL\n".join(f"({p})" for p in parts))

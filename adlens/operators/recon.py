@@ -18,10 +18,6 @@ from adlens.functions.metrics import elapsed_days, per_hour
 from adlens.sources.schemas import MONEY_SUM
 
 
-def failing(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col("passed"))
-
-
 def recon_revenue_share(summary: DataFrame) -> DataFrame:
     """Advertiser revenue shares sum to 100 within 1 point."""
     return summary.agg(F.sum("revenue_share_pct").alias("total_pct")).select(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens import constants as C
-from adlens.functions.exprs import band, format_metric, optional_number, round_ratio, verdict_for_status
+from adlens.functions.exprs import band, format_metric, round_ratio, verdict_for_status
 
 # FIXED VALUES: the five named dashboard reads (name -> mart).
 REPORTS = {
@@ -58,7 +58,7 @@ def latest_health(health: DataFrame) -> DataFrame:
 
 def campaign_list(performance: DataFrame) -> DataFrame:
     """Distinct campaigns in the performance mart (K4)."""
-    return performance.select("campaign_key", "campaign_name").distinct()
+    return performance.select("campaign_key", "campaign_name", "company_name").distinct()
 
 
 def latest_campaign_pacing(performance: DataFrame) -> DataFrame:
@@ -80,7 +80,8 @@ def revenue_by_vertical(summary: DataFrame) -> DataFrame:
 
 
 def frequency_summary(freq: DataFrame) -> DataFrame:
-    """Unweighted mean violation rate and frequency (2 dp), summed reach (K8)."""
+    """Unweighted mean violation rate and frequency (2 dp), summed reach (K8),
+    and the verdict of the unrounded mean violation rate."""
     agg = freq.agg(F.sum(F.col("violation_rate_pct") * 10).alias("v"),
                    F.sum(F.col("avg_frequency") * 10).alias("f"),
                    F.count(F.lit(1)).alias("n"),
@@ -88,7 +89,9 @@ def frequency_summary(freq: DataFrame) -> DataFrame:
     return agg.select(
         round_ratio(F.col("v").cast("decimal(38,0)"), F.col("n") * 10, 2).alias("mean_violation_rate_pct"),
         round_ratio(F.col("f").cast("decimal(38,0)"), F.col("n") * 10, 2).alias("mean_frequency"),
-        F.col("total_reach").cast("long").alias("total_reach"))
+        F.col("total_reach").cast("long").alias("total_reach"),
+        band(F.col("v").cast("double") / F.nullif(F.col("n") * 10, F.lit(0)),
+             C.FREQUENCY_VIOLATION_PCT).alias("violation_verdict"))
 
 
 def planned_spend_curve(campaigns: DataFrame) -> DataFrame:
@@ -152,11 +155,9 @@ def metric_labels(health: DataFrame) -> DataFrame:
     """Display text per day; a missing metric reads 'n/a', never 0."""
     return health.select(
         "date_key",
-        format_metric("fill_rate_pct", 1).alias("fill_rate_label"),
-        format_metric("ecpm_usd", 2).alias("ecpm_label"),
-        format_metric("revenue_per_subscriber_hour", 4).alias("rpsh_label"))
-
-
-def normalised_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
-    """optional_number over columns (K13): null, NaN or unparseable -> null."""
-    return df.select(*[optional_number(c).alias(c) for c in columns])
+        format_metric("fill_rate_pct", 1, suffix="%").alias("fill_rate_label"),
+        format_metric("ecpm_usd", 2, prefix="$").alias("ecpm_label"),
+        format_metric("completion_rate_pct", 1, suffix="%").alias("completion_label"),
+        format_metric("viewability_rate_pct", 1, suffix="%").alias("viewability_label"),
+        format_metric("revenue_per_subscriber_hour", 3, prefix="$").alias("rpsh_label"),
+        format_metric("total_revenue_usd", 0, prefix="$", grouped=True).alias("daily_revenue_label"))

@@ -1,9 +1,11 @@
 """Full build: every model materialised, contracts enforced, every check and
 reconciliation run; the build fails on any failing check.
 
-This is the one call that turns raw tables into a verified warehouse. Models
-are written as parquet tables under ``out_dir`` (full overwrite); facts are
-clustered by date_key within files.
+This is the one call that turns raw tables into a verified warehouse. Facts are
+staged in the shared folder and every check reads the staged tables; only then
+are the models published as parquet tables under ``out_dir`` (full overwrite,
+facts clustered by date_key within files), so a failing build leaves the
+published tables as they were.
 """
 
 from __future__ import annotations
@@ -57,11 +59,8 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str | None =
           fail_on_error: bool = True) -> BuildResult:
     w = Warehouse(spark, raw, persist=True)
     for name in Warehouse.MODELS:
-        df = w.model(name)
         if name in CONTRACTS:
-            quality.enforce_contract(name, df, CONTRACTS[name])
-        if out_dir:
-            write_table(df, f"{out_dir}/{name}", cluster_by="date_key" if name in FACTS else None)
+            quality.enforce_contract(name, w.model(name), CONTRACTS[name])
     checks = quality.run_checks(w.model)
     recons = reconciliation_summary(w)
     if fail_on_error:
@@ -70,4 +69,8 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str | None =
         if bad:
             raise AssertionError("reconciliations failed: " +
                                  ", ".join(f"{r.name} ({r.failing_rows})" for r in bad))
+    if out_dir:
+        for name in Warehouse.MODELS:
+            write_table(w.model(name), f"{out_dir}/{name}",
+                        cluster_by="date_key" if name in FACTS else None)
     return BuildResult(w, checks, recons)

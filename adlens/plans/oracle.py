@@ -70,7 +70,7 @@ def _slots_values() -> str:
 def _label(objective: str, k: str, vertical: str, start: str) -> str:
     prefix = "CASE " + " ".join(
         f"WHEN {objective} = '{obj}' THEN {pick(names, f'{k} % 5')}"
-        for obj, names in C.CAMPAIGN_PREFIXES.items()) + " END"
+        for obj, names in C.CAMPAIGN_PREFIXES.items()) + " ELSE 'Campaign' END"
     short = f"coalesce({case_map(C.VERTICAL_SHORT, vertical)}, substr({vertical}, 1, 5))"
     return (f"{prefix} || ' - ' || {short} || ' Q' || CAST(quarter({start}) AS VARCHAR) "
             f"|| ' ' || CAST(year({start}) AS VARCHAR)")
@@ -109,8 +109,9 @@ def _ctes() -> list[tuple[str, str]]:
                strftime(d, '%A') AS day_of_week, isodow(d) >= 6 AS is_weekend,
                CAST(weekofyear(d) AS SMALLINT) AS week_of_year, strftime(d, '%B') AS month_name,
                'Q' || CAST(quarter(d) AS VARCHAR) AS quarter, CAST(year(d) AS SMALLINT) AS year
-        FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '{B.CALENDAR_START}',
-              DATE '{B.CALENDAR_END}' + 1, INTERVAL 1 DAY))""")
+        FROM (SELECT CAST(unnest(range(min(d), max(d) + 1, INTERVAL 1 DAY)) AS DATE) AS d
+              FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders
+                    UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem))""")
     add("advertisers", f"""
         SELECT p_brand AS advertiser_id, p_brand AS company_name,
                {pick(C.VERTICALS, 'n % 10')} AS industry_vertical,
@@ -263,24 +264,33 @@ def _ctes() -> list[tuple[str, str]]:
     add("daily_viewing", """
         SELECT date_key, sum(watch_seconds) AS watch_seconds
         FROM fct_viewing_sessions GROUP BY date_key""")
-    rev = f"coalesce(di.total_revenue_usd, CAST(0 AS {MONEY}))"
+    # one line per day and source, summed by day: no outer join
+    add("day_lines", f"""
+        SELECT {dkey('request_timestamp')} AS day, count(*) AS asked, 0 AS shown, 0 AS finished, 0 AS seen,
+               CAST(0 AS {MONEY}) AS money, 0 AS people, NULL AS secs
+        FROM stg_ad_requests GROUP BY 1
+        UNION ALL
+        SELECT date_key, 0, count(*), sum(completed::INT), sum(is_viewable::INT),
+               CAST(sum(revenue_usd) AS {MONEY}), count(DISTINCT subscriber_key), NULL
+        FROM fct_ad_impressions GROUP BY date_key
+        UNION ALL
+        SELECT date_key, 0, 0, 0, 0, CAST(0 AS {MONEY}), 0, sum(watch_seconds)
+        FROM fct_viewing_sessions GROUP BY date_key""")
     add("mart_platform_health", f"""
-        SELECT coalesce(dr.date_key, di.date_key) AS date_key, dd.full_date,
-               CAST(coalesce(dr.total_requests, 0) AS BIGINT) AS total_requests,
-               CAST(coalesce(di.total_impressions, 0) AS BIGINT) AS total_impressions,
-               {rr('100 * coalesce(di.total_impressions, 0)', 'dr.total_requests', 1)} AS fill_rate_pct,
-               {rr(micros(rev) + ' * 1000', 'di.total_impressions * 1000000', 2)} AS ecpm_usd,
-               {rr('100 * coalesce(di.completed_impressions, 0)', 'di.total_impressions', 1)} AS completion_rate_pct,
-               {rr('100 * coalesce(di.viewable_impressions, 0)', 'di.total_impressions', 1)} AS viewability_rate_pct,
-               {rev} AS total_revenue_usd,
-               CAST(coalesce(di.unique_subscribers, 0) AS BIGINT) AS unique_subscribers,
-               coalesce({rr('dv.watch_seconds', '3600', 1)}, CAST(0 AS DECIMAL(18,1))) AS viewing_hours,
-               {rr(micros(rev) + ' * 3600', 'dv.watch_seconds * 1000000', 4)} AS revenue_per_subscriber_hour
-        FROM (SELECT {dkey('request_timestamp')} AS date_key, count(*) AS total_requests
-              FROM stg_ad_requests GROUP BY 1) AS dr
-        FULL OUTER JOIN daily_impressions AS di ON dr.date_key = di.date_key
-        JOIN dim_date_ads AS dd ON coalesce(dr.date_key, di.date_key) = dd.date_key
-        LEFT JOIN daily_viewing AS dv ON coalesce(dr.date_key, di.date_key) = dv.date_key""")
+        SELECT day AS date_key, CAST(strptime(CAST(day AS VARCHAR), '%Y%m%d') AS DATE) AS full_date,
+               CAST(asked AS BIGINT) AS total_requests, CAST(shown AS BIGINT) AS total_impressions,
+               {rr('100 * shown', 'nullif(asked, 0)', 1)} AS fill_rate_pct,
+               {rr(micros('money') + ' * 1000', 'nullif(shown, 0) * 1000000', 2)} AS ecpm_usd,
+               {rr('100 * finished', 'nullif(shown, 0)', 1)} AS completion_rate_pct,
+               {rr('100 * seen', 'nullif(shown, 0)', 1)} AS viewability_rate_pct,
+               money AS total_revenue_usd, CAST(people AS BIGINT) AS unique_subscribers,
+               coalesce({rr('secs', '3600', 1)}, CAST(0 AS DECIMAL(18,1))) AS viewing_hours,
+               {rr(micros('money') + ' * 3600', 'secs * 1000000', 4)} AS revenue_per_subscriber_hour
+        FROM (SELECT day, sum(asked) AS asked, sum(shown) AS shown, sum(finished) AS finished,
+                     sum(seen) AS seen, CAST(sum(money) AS {MONEY}) AS money, sum(people) AS people,
+                     sum(secs) AS secs
+              FROM day_lines WHERE day IN (SELECT date_key FROM dim_date_ads) GROUP BY day)
+        WHERE asked + shown > 0""")
     add("mart_campaign_performance", """
         SELECT cd.campaign_key, dc.campaign_name, da.company_name, da.industry_vertical, cd.date_key,
                cd.elapsed_days, cd.impressions_served AS impressions, cd.revenue_usd, cd.cumulative_spend,
@@ -289,25 +299,21 @@ def _ctes() -> list[tuple[str, str]]:
         FROM fct_campaign_daily AS cd
         JOIN dim_campaigns AS dc ON cd.campaign_key = dc.campaign_key
         JOIN dim_advertisers AS da ON dc.advertiser_key = da.advertiser_key""")
-    add("platform_total", f"""
-        SELECT CAST(sum(revenue_usd) AS {MONEY}) AS total_platform_spend FROM fct_ad_impressions""")
-    add("advertiser_agg", f"""
-        SELECT da.advertiser_key, da.company_name, da.industry_vertical, da.spend_tier,
-               CAST(sum(i.revenue_usd) AS {MONEY}) AS total_spend, count(*) AS total_impressions,
-               count(*) FILTER (WHERE i.completed) AS n_completed,
-               count(*) FILTER (WHERE i.is_viewable) AS n_viewable,
-               count(DISTINCT i.campaign_key) AS campaign_count
-        FROM fct_ad_impressions AS i JOIN dim_advertisers AS da ON i.advertiser_key = da.advertiser_key
-        GROUP BY da.advertiser_key, da.company_name, da.industry_vertical, da.spend_tier""")
     add("mart_advertiser_summary", f"""
-        SELECT aa.advertiser_key, aa.company_name, aa.industry_vertical, aa.spend_tier, aa.total_spend,
-               aa.total_impressions,
-               {rr(micros('aa.total_spend') + ' * 1000', 'aa.total_impressions * 1000000', 2)} AS ecpm,
-               {rr('100 * aa.n_completed', 'aa.total_impressions', 1)} AS completion_rate_pct,
-               {rr('100 * aa.n_viewable', 'aa.total_impressions', 1)} AS viewability_rate_pct,
-               aa.campaign_count,
-               {rr('100 * ' + micros('aa.total_spend'), micros('(SELECT total_platform_spend FROM platform_total)'), 2)} AS revenue_share_pct
-        FROM advertiser_agg AS aa""")
+        SELECT advertiser_key, company_name, industry_vertical, spend_tier, money AS total_spend,
+               shown AS total_impressions,
+               {rr(micros('money') + ' * 1000', 'shown * 1000000', 2)} AS ecpm,
+               {rr('100 * finished', 'shown', 1)} AS completion_rate_pct,
+               {rr('100 * seen', 'shown', 1)} AS viewability_rate_pct,
+               campaigns AS campaign_count,
+               {rr('100 * ' + micros('money'), micros('everything'), 2)} AS revenue_share_pct
+        FROM (SELECT *, CAST(sum(money) OVER () AS {MONEY}) AS everything
+              FROM (SELECT advertiser_key, CAST(sum(revenue_usd) AS {MONEY}) AS money, count(*) AS shown,
+                           CAST(sum(completed::INT) AS BIGINT) AS finished,
+                           CAST(sum(is_viewable::INT) AS BIGINT) AS seen,
+                           count(DISTINCT campaign_key) AS campaigns
+                    FROM fct_ad_impressions GROUP BY advertiser_key))
+        JOIN dim_advertisers USING (advertiser_key)""")
     add("mart_advertiser_concentration", """
         SELECT CAST(round(hhi, 1) AS DECIMAL(18,1)) AS hhi,
                CASE WHEN hhi < 1500 THEN 'DIVERSIFIED' WHEN hhi < 2500 THEN 'MODERATE'
@@ -316,23 +322,22 @@ def _ctes() -> list[tuple[str, str]]:
                CAST(round(top_share, 2) AS DECIMAL(18,2)) AS top_advertiser_share_pct
         FROM (SELECT sum(revenue_share_pct * revenue_share_pct) AS hhi, count(*) AS advertiser_count,
                      max(revenue_share_pct) AS top_share FROM mart_advertiser_summary)""")
-    add("subscriber_campaign", """
-        SELECT subscriber_key, campaign_key, count(*) AS total_impressions_to_subscriber
-        FROM fct_ad_impressions GROUP BY subscriber_key, campaign_key""")
+    # people by how often they saw a campaign
+    add("frequency_histogram", """
+        SELECT campaign_key, times, count(*) AS people
+        FROM (SELECT campaign_key, count(*) AS times FROM fct_ad_impressions
+              GROUP BY campaign_key, subscriber_key)
+        GROUP BY campaign_key, times""")
     add("mart_frequency_analysis", f"""
-        SELECT campaign_key, campaign_name, frequency_cap, total_subscribers, subscribers_exceeding_cap,
-               total_violations,
-               {rr('100 * subscribers_exceeding_cap', 'total_subscribers', 1)} AS violation_rate_pct,
-               {rr('impressions', 'total_subscribers', 1)} AS avg_frequency
-        FROM (SELECT sc.campaign_key, dc.campaign_name, dc.frequency_cap, count(*) AS total_subscribers,
-                     count(*) FILTER (WHERE sc.total_impressions_to_subscriber > dc.frequency_cap)
+        SELECT *, {rr('100 * subscribers_exceeding_cap', 'total_subscribers', 1)} AS violation_rate_pct,
+               (SELECT {rr('sum(times * people)', 'sum(people)', 1)} FROM frequency_histogram AS h
+                WHERE h.campaign_key = m.campaign_key) AS avg_frequency
+        FROM (SELECT campaign_key, campaign_name, frequency_cap,
+                     CAST(sum(people) AS BIGINT) AS total_subscribers,
+                     CAST(coalesce(sum(people) FILTER (WHERE times > frequency_cap), 0) AS BIGINT)
                          AS subscribers_exceeding_cap,
-                     CAST(sum(CASE WHEN sc.total_impressions_to_subscriber > dc.frequency_cap
-                              THEN sc.total_impressions_to_subscriber - dc.frequency_cap ELSE 0 END)
-                          AS BIGINT) AS total_violations,
-                     sum(sc.total_impressions_to_subscriber) AS impressions
-              FROM subscriber_campaign AS sc JOIN dim_campaigns AS dc ON sc.campaign_key = dc.campaign_key
-              GROUP BY sc.campaign_key, dc.campaign_name, dc.frequency_cap)""")
+                     CAST(sum(people * greatest(times - frequency_cap, 0)) AS BIGINT) AS total_violations
+              FROM frequency_histogram JOIN dim_campaigns USING (campaign_key) GROUP BY ALL) AS m""")
     add("mart_content_monetization", f"""
         SELECT genre, date_key, impressions, revenue_usd,
                {rr('view', 'impressions', 1)} AS avg_view_duration_sec

@@ -7,13 +7,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adlens import constants as C
+from adlens.functions.exprs import optional_number
 from adlens.operators import audit as V
 from adlens.operators import facts, marts, prep, quality, recon, report
 from adlens.plans import oracle as O
 from adlens.plans.catalog import register, wh
 from adlens.sources import raw as S
 from adlens.sources import testdata as B
-from adlens.sources.schemas import CONTRACTS
 
 P = O.with_prelude
 rr, micros = O.rr, O.micros
@@ -36,11 +36,11 @@ EXPANDED = ("expanded_requests", """
 FLIGHT_DAYS = ("in_flight", """
     SELECT d.day, c.campaign_id, c.total_budget_usd
     FROM (SELECT DISTINCT CAST(request_timestamp AS DATE) AS day FROM ad_requests WHERE was_filled) AS d
-    JOIN campaigns AS c ON d.day BETWEEN c.flight_start AND c.flight_end""")
+    LEFT JOIN campaigns AS c ON d.day BETWEEN c.flight_start AND c.flight_end""")
 
 
 def draw_sql(x: str) -> str:
-    return f"CAST(('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 15)) AS BIGINT)"
 
 
 def band_sql(x: str, table) -> str:
@@ -66,7 +66,7 @@ def _scan_typed(spark, sf_dir):
     from adlens.session import scratch_path
     path = scratch_path(spark, "ad_requests_csv")
     S.write_csv(B.TestdataBinding(spark, sf_dir).ad_requests(), path)
-    return S.read_csv_typed(spark, path, "ad_requests")
+    return S.load_table(spark, path, "ad_requests")
 
 
 @register("load_row_counts", P(" UNION ALL ".join(
@@ -141,11 +141,8 @@ def _in_flight(spark, sf_dir):
                        FROM ad_requests WHERE was_filled) AS d
     WHERE NOT EXISTS (SELECT 1 FROM campaigns AS c WHERE d.day BETWEEN c.flight_start AND c.flight_end)"""))
 def _uncovered(spark, sf_dir):
-    """Days with filled requests but no campaign in flight (the strict guard's input)."""
-    w = wh(spark, sf_dir)
-    days = _filled_days(w).distinct()
-    covered = prep.in_flight_candidates(days, w.raw["campaigns"], strict=False).select("day")
-    return days.join(covered.distinct(), "day", "left_anti")
+    """Days with filled requests but no campaign in flight (what the strict guard reports)."""
+    return _in_flight(spark, sf_dir).filter("campaign_id IS NULL").select("day")
 
 
 # --------------------------------------------------------------------------
@@ -235,22 +232,6 @@ for _key, _types in {
     register(_key, _check_sql(_types))(_dq(_types))
 
 
-@register("dq_contract")
-def _dq_contract(spark, sf_dir):
-    """Contract breaks per model (an empty result means every contract holds)."""
-    w = wh(spark, sf_dir)
-    rows = []
-    for model, contract in CONTRACTS.items():
-        rows += quality.contract_diff(model, w.model(model), contract)
-    schema = "model string, column_name string, expected_type string, actual_type string"
-    counted = [(m, len(CONTRACTS[m].fields)) for m in CONTRACTS]
-    checked = spark.createDataFrame(counted, "model string, contract_columns int")
-    diffs = spark.createDataFrame(rows, schema)
-    per_model = diffs.groupBy("model").agg(F.count(F.lit(1)).alias("breaks"))
-    return checked.join(per_model, "model", "left").select(
-        "model", "contract_columns", F.coalesce("breaks", F.lit(0)).alias("breaks"))
-
-
 # --------------------------------------------------------------------------
 # reconciliation
 # --------------------------------------------------------------------------
@@ -374,13 +355,13 @@ register("audit_ad_tier_only", P(f"""
 
 register("audit_session_window", P(f"""
     SELECT min(session_start) AS first_start, max(session_start) AS last_start,
-           count(*) FILTER (WHERE session_start < TIMESTAMP '{B.CALENDAR_START}'
-                            OR session_start >= TIMESTAMP '{B.CALENDAR_END}' + INTERVAL 1 DAY) AS violations,
-           count(*) FILTER (WHERE session_start < TIMESTAMP '{B.CALENDAR_START}'
-                            OR session_start >= TIMESTAMP '{B.CALENDAR_END}' + INTERVAL 1 DAY) = 0 AS passed
+           count(*) FILTER (WHERE session_start < TIMESTAMP '{B.SESSION_WINDOW_START}'
+                            OR session_start >= TIMESTAMP '{B.SESSION_WINDOW_END}' + INTERVAL 1 DAY) AS violations,
+           count(*) FILTER (WHERE session_start < TIMESTAMP '{B.SESSION_WINDOW_START}'
+                            OR session_start >= TIMESTAMP '{B.SESSION_WINDOW_END}' + INTERVAL 1 DAY) = 0 AS passed
     FROM viewing_sessions"""))(
     lambda spark, sf: V.audit_session_window(_raw(spark, sf, "viewing_sessions"),
-                                             B.CALENDAR_START, B.CALENDAR_END))
+                                             B.SESSION_WINDOW_START, B.SESSION_WINDOW_END))
 
 register("audit_orphan_requests", P("""
     SELECT (SELECT count(*) FROM expanded_requests) AS checked,
@@ -471,13 +452,15 @@ register("audit_daily_budget", P(summary_sql(
 
 _ratio = rr(micros("coalesce(d.delivered, 0)"), "CAST(c.total_budget_usd * 100 AS HUGEINT) * 10000", 3)
 register("delivery_ratio_spread", P(f"""
+    SELECT *, coalesce(abs(mean_ratio - 1) <= 0.1 AND under > 0 AND on_pace > 0 AND over > 0, false) AS passed
+    FROM (
     SELECT count(*) AS campaigns, {rr('sum(r * 1000)', 'count(r) * 1000', 3)} AS mean_ratio,
            count(*) FILTER (WHERE r < 0.9) AS under,
            count(*) FILTER (WHERE r >= 0.9 AND r <= 1.1) AS on_pace,
            count(*) FILTER (WHERE r > 1.1) AS over
     FROM (SELECT {_ratio} AS r FROM campaigns AS c LEFT JOIN
           (SELECT campaign_id, sum(revenue_usd) AS delivered FROM ad_impressions GROUP BY campaign_id) AS d
-          ON c.campaign_id = d.campaign_id)"""))(
+          ON c.campaign_id = d.campaign_id))"""))(
     lambda spark, sf: (lambda w: V.delivery_ratio_spread(
         w.raw["campaigns"], w.raw["ad_impressions"]))(wh(spark, sf)))
 
@@ -518,10 +501,18 @@ register("report_catalog", P(" UNION ALL ".join(
     f"SELECT '{n}' AS report_name, count(*) AS row_count FROM {m}"
     for n, m in report.REPORTS.items())))(lambda spark, sf: report.report_catalog(wh(spark, sf)))
 
+_REPORT_ORDER = {"platform_health": " ORDER BY full_date",
+                 "campaign_performance": " ORDER BY campaign_key, date_key",
+                 "advertiser_summary": " ORDER BY total_spend DESC, advertiser_key"}
+for _key, _mart in report.REPORTS.items():
+    register(f"report_{_key}", P(f"SELECT * FROM {_mart}{_REPORT_ORDER.get(_key, '')}"))(
+        (lambda name: lambda spark, sf: report.fetch(wh(spark, sf), name))(_key))
+
 register("latest_health", P("SELECT * FROM mart_platform_health ORDER BY full_date DESC LIMIT 1"))(
     lambda spark, sf: report.latest_health(wh(spark, sf).mart_platform_health))
 
-register("campaign_list", P("SELECT DISTINCT campaign_key, campaign_name FROM mart_campaign_performance"))(
+register("campaign_list", P("SELECT DISTINCT campaign_key, campaign_name, company_name "
+                            "FROM mart_campaign_performance"))(
     lambda spark, sf: report.campaign_list(wh(spark, sf).mart_campaign_performance))
 
 register("latest_campaign_pacing", P("""
@@ -541,7 +532,9 @@ register("revenue_by_vertical", P("""
 register("frequency_summary", P(f"""
     SELECT {rr('sum(violation_rate_pct * 10)', 'count(*) * 10', 2)} AS mean_violation_rate_pct,
            {rr('sum(avg_frequency * 10)', 'count(*) * 10', 2)} AS mean_frequency,
-           CAST(sum(total_subscribers) AS BIGINT) AS total_reach
+           CAST(sum(total_subscribers) AS BIGINT) AS total_reach,
+           {band_sql('CAST(sum(violation_rate_pct * 10) AS DOUBLE) / (count(*) * 10)', C.FREQUENCY_VIOLATION_PCT)}
+               AS violation_verdict
     FROM mart_frequency_analysis"""))(
     lambda spark, sf: report.frequency_summary(wh(spark, sf).mart_frequency_analysis))
 
@@ -592,7 +585,7 @@ def _opt_sql(x: str) -> str:
 def _optional_number(spark, sf):
     h = wh(spark, sf).mart_platform_health
     cols = ["fill_rate_pct", "ecpm_usd", "revenue_per_subscriber_hour"]
-    return h.select("date_key", *[report.optional_number(c).alias(c) for c in cols])
+    return h.select("date_key", *[optional_number(c).alias(c) for c in cols])
 
 
 register("optional_number", P(f"""
@@ -608,14 +601,18 @@ register("campaign_violation_bands", P(f"""
     lambda spark, sf: report.campaign_violation_bands(wh(spark, sf).mart_frequency_analysis))
 
 
-def _label_sql(x: str, n: int) -> str:
-    return f"coalesce(printf('%.{n}f', {_opt_sql(x)}), 'n/a')"
+def _label_sql(x: str, n: int, prefix: str = "", suffix: str = "") -> str:
+    rounded = f"CAST(round(CAST({_opt_sql(x)} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
+    return f"coalesce('{prefix}' || format('{{:,.{n}f}}', {rounded}) || '{suffix}', 'n/a')"
 
 
 register("metric_labels", P(f"""
-    SELECT date_key, {_label_sql('fill_rate_pct', 1)} AS fill_rate_label,
-           {_label_sql('ecpm_usd', 2)} AS ecpm_label,
-           {_label_sql('revenue_per_subscriber_hour', 4)} AS rpsh_label
+    SELECT date_key, {_label_sql('fill_rate_pct', 1, suffix='%')} AS fill_rate_label,
+           {_label_sql('ecpm_usd', 2, '$').replace(':,', ':')} AS ecpm_label,
+           {_label_sql('completion_rate_pct', 1, suffix='%')} AS completion_label,
+           {_label_sql('viewability_rate_pct', 1, suffix='%')} AS viewability_label,
+           {_label_sql('revenue_per_subscriber_hour', 3, '$').replace(':,', ':')} AS rpsh_label,
+           {_label_sql('total_revenue_usd', 0, '$')} AS daily_revenue_label
     FROM mart_platform_health"""))(lambda spark, sf: report.metric_labels(wh(spark, sf).mart_platform_health))
 
 
@@ -645,16 +642,17 @@ _ALLOC = ("allocation", f"""
     WITH iv AS (
         SELECT day, campaign_id,
                (coalesce(sum(cents) OVER (PARTITION BY day ORDER BY campaign_id
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 4294967296)
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 1152921504606846976)
                    // sum(cents) OVER (PARTITION BY day) AS lo,
                ((coalesce(sum(cents) OVER (PARTITION BY day ORDER BY campaign_id
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + cents) * 4294967296)
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + cents) * 1152921504606846976)
                    // sum(cents) OVER (PARTITION BY day) AS hi
-        FROM (SELECT day, campaign_id, CAST(total_budget_usd * 100 AS BIGINT) AS cents FROM in_flight)),
+        FROM (SELECT day, campaign_id, CAST(total_budget_usd * 100 AS BIGINT) AS cents FROM in_flight
+              WHERE campaign_id IS NOT NULL AND total_budget_usd > 0)),
     req AS (SELECT request_id, CAST(request_timestamp AS DATE) AS day, {draw_sql('request_id')} AS u
             FROM ad_requests WHERE was_filled)
     SELECT r.request_id, r.day, iv.campaign_id,
-           CASE WHEN r.day NOT IN (SELECT day FROM in_flight)
+           CASE WHEN r.day IS NULL OR r.day NOT IN (SELECT day FROM in_flight WHERE campaign_id IS NOT NULL)
                 THEN '{C.NO_CAMPAIGN_IN_FLIGHT}' END AS unallocated_reason
     FROM req AS r LEFT JOIN iv ON r.day = iv.day AND r.u >= iv.lo AND r.u < iv.hi""")
 register("weighted_allocation", P("SELECT * FROM allocation", [FLIGHT_DAYS, _ALLOC]))(

@@ -1,8 +1,8 @@
 """The model DAG: raw tables -> staging -> dimensions -> facts -> marts.
 
 ``Warehouse`` composes lazy DataFrames and memoises each model, so a model
-read by several downstream models is one logical plan. ``materialize`` cuts
-the lineage of the facts by writing them to the shared checkpoint folder.
+read by several downstream models is one logical plan. With ``persist`` the
+facts are written once to the shared checkpoint folder, which cuts their lineage.
 """
 
 from __future__ import annotations
@@ -29,32 +29,24 @@ class _Staging(dict):
         return df
 
 
-# Raw tables that grow with the data: loaded (written) once in persist mode.
+# Raw tables that grow with the data: lazy scans, never copied or cached whole.
 ACTIVITY_TABLES = ("ad_requests", "ad_impressions", "viewing_sessions")
 
 
 class LoadedTables(dict):
-    """Raw tables loaded on first use, like a bulk load into warehouse tables.
+    """Raw tables built on first use.
 
-    Activity tables are written once to the shared checkpoint folder and read
-    back; the small catalogs are cached. Each is built only when first read.
+    Activity tables stay lazy, so each query scans only the columns it uses;
+    the small catalogs are cached.
     """
 
-    def __init__(self, spark: SparkSession, builders: dict):
+    def __init__(self, builders: dict):
         super().__init__()
-        self.spark = spark
         self.builders = builders
 
     def __missing__(self, name: str) -> DataFrame:
         df = self.builders[name]()
-        if name in ACTIVITY_TABLES:
-            from adlens.session import scratch_path
-            path = scratch_path(self.spark, f"raw_{name}")
-            df.write.mode("overwrite").parquet(path)
-            df = self.spark.read.parquet(path)
-        else:
-            df = df.cache()
-        self[name] = df
+        self[name] = df = df if name in ACTIVITY_TABLES else df.cache()
         return df
 
     def __iter__(self):
@@ -85,7 +77,6 @@ class Warehouse:
         self.spark = spark
         self.raw = raw
         self.persist = persist
-        self._materialized: dict[str, DataFrame] = {}
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, persist: bool = False) -> "Warehouse":
@@ -95,7 +86,7 @@ class Warehouse:
         binding = TestdataBinding(spark, sf_dir)
         from adlens.sources.schemas import RAW_SCHEMAS
         builders = {name: getattr(binding, name) for name in RAW_SCHEMAS}
-        return cls(spark, LoadedTables(spark, builders), persist=True)
+        return cls(spark, LoadedTables(builders), persist=True)
 
     def _dim(self, df: DataFrame) -> DataFrame:
         return df.cache() if self.persist else df
@@ -145,16 +136,12 @@ class Warehouse:
     # -- facts ---------------------------------------------------------------
     @cached_property
     def fct_ad_impressions(self) -> DataFrame:
-        if "fct_ad_impressions" in self._materialized:
-            return self._materialized["fct_ad_impressions"]
         return self._fact("fct_ad_impressions", facts.fct_ad_impressions(
             self.stg["stg_ad_impressions"], self.dim_campaigns, self.dim_advertisers,
             self.dim_subscribers, self.dim_content, self.dim_ad_slots, self.dim_date_ads))
 
     @cached_property
     def fct_viewing_sessions(self) -> DataFrame:
-        if "fct_viewing_sessions" in self._materialized:
-            return self._materialized["fct_viewing_sessions"]
         return self._fact("fct_viewing_sessions", facts.fct_viewing_sessions(
             self.stg["stg_viewing_sessions"], self.dim_subscribers, self.dim_content,
             self.dim_date_ads))
@@ -206,24 +193,3 @@ class Warehouse:
         if name not in self.MODELS:
             raise KeyError(name)
         return getattr(self, name)
-
-    def materialize(self, names=("fct_ad_impressions", "fct_viewing_sessions")) -> None:
-        """Write facts once to the shared checkpoint folder and read them back.
-
-        Downstream marts then start from the written table instead of
-        re-running the star join; the written copy also survives executor loss.
-        Rows are clustered by date_key within files so day filters prune
-        row groups.
-        """
-        from adlens.session import scratch_path
-        for name in names:
-            df = getattr(self, name)
-            path = scratch_path(self.spark, name)
-            df.sortWithinPartitions("date_key").write.mode("overwrite").parquet(path)
-            self._materialized[name] = self.spark.read.parquet(path)
-            self.__dict__.pop(name, None)
-        for dependent in ("fct_campaign_daily", "mart_platform_health",
-                          "mart_campaign_performance", "mart_advertiser_summary",
-                          "mart_advertiser_concentration", "mart_frequency_analysis",
-                          "mart_content_monetization"):
-            self.__dict__.pop(dependent, None)

@@ -8,12 +8,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.sources.schemas import RAW_SCHEMAS, RAW_TABLES
+from adlens.sources.schemas import PRIMARY_KEYS, RAW_SCHEMAS, RAW_TABLES
 
 
 def read_csv_typed(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Typed CSV load (S1): header skipped, columns bound by POSITION to the
-    declared schema, and any value that does not parse fails the read."""
+    """Lazy typed CSV scan (S1): header skipped, columns bound by POSITION to the
+    declared schema. A value that does not parse fails the reads that use its
+    column; ``load_table`` is the load that holds for every column."""
     return (spark.read.schema(RAW_SCHEMAS[table])
             .option("header", True)
             .option("enforceSchema", True)
@@ -35,8 +36,31 @@ def missing_inputs(paths: dict[str, str]) -> list[str]:
     return [t for t, p in paths.items() if not exists(p)]
 
 
+def load_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Checked load of one raw table.
+
+    Every column of every row is parsed once and written as a typed parquet
+    table in the shared folder. A value that does not parse, a blank value (all
+    raw columns are required) or a repeated primary key fails the load. Only the
+    written table is handed out, so no later projection can skip the checks.
+    """
+    from adlens.session import scratch_path
+    out = scratch_path(spark, f"load_{table}")
+    read_csv_typed(spark, path, table).write.mode("overwrite").parquet(out)
+    loaded = spark.read.parquet(out)
+    blank = loaded.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in loaded.columns]).first()
+    key = PRIMARY_KEYS[table]
+    repeated = loaded.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").count()
+    faults = [f"{c}: {n} blank" for c, n in blank.asDict().items() if n]
+    if repeated:
+        faults.append(f"{key}: {repeated} repeated keys")
+    if faults:
+        raise ValueError(f"load of {table} failed ({'; '.join(faults)})")
+    return loaded
+
+
 def read_raw_csv(spark: SparkSession, directory: str, tables=RAW_TABLES) -> dict[str, DataFrame]:
-    """All raw tables from ``<directory>/<table>.csv``.
+    """All raw tables from ``<directory>/<table>.csv``, each by a checked load.
 
     Every path is checked before anything is read, and a missing one raises
     before any downstream write can happen.
@@ -45,7 +69,7 @@ def read_raw_csv(spark: SparkSession, directory: str, tables=RAW_TABLES) -> dict
     missing = missing_inputs(paths)
     if missing:
         raise FileNotFoundError(f"missing raw inputs: {', '.join(sorted(missing))}")
-    return {t: read_csv_typed(spark, p, t) for t, p in paths.items()}
+    return {t: load_table(spark, p, t) for t, p in paths.items()}
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -18,15 +18,15 @@ from pyspark.sql import functions as F
 
 from adlens import constants as C
 from adlens.functions.exprs import date_key, pick, round_ratio
-from adlens.functions.joins import conform, literal_table, spread
+from adlens.functions.joins import conform, literal_table, spread, with_totals
 from adlens.sources.schemas import RAW_SCHEMAS
 
 # FIXED VALUES of the binding.
 FILL_DISCOUNT = 0.02            # a request is filled when l_discount >= this
 STATUS_AS_OF = date(1998, 6, 30)
 FLIGHT_ORIGIN = date(1995, 1, 2)
-CALENDAR_START = date(1995, 1, 1)
-CALENDAR_END = date(2001, 12, 31)
+SESSION_WINDOW_START = date(1995, 1, 1)      # the window the session audit demands
+SESSION_WINDOW_END = date(2001, 12, 31)
 TIER_BY_SEGMENT = {
     "FURNITURE": "premium_no_ads",
     "BUILDING": "ads_basic",
@@ -83,8 +83,16 @@ class TestdataBinding:
             (f.name, f.dataType.simpleString()) for f in RAW_SCHEMAS["ad_slots"].fields])
 
     def dates_ads(self) -> DataFrame:
-        from adlens.operators.dims import calendar
-        return calendar(self.spark, CALENDAR_START, CALENDAR_END)
+        """Every day from the first to the last activity of the given tables, so
+        no order or request falls outside the calendar."""
+        from adlens.operators.dims import calendar_between
+        orders = self._t("orders").agg(F.to_date(F.min("o_orderdate")).alias("first_order"),
+                                       F.to_date(F.max("o_orderdate")).alias("last_order"))
+        items = self._t("lineitem").agg(F.to_date(F.min("l_shipdate")).alias("first_ship"),
+                                        F.to_date(F.max("l_shipdate")).alias("last_ship"))
+        return calendar_between(with_totals(orders, items).select(
+            F.least("first_order", "first_ship").alias("start_date"),
+            F.greatest("last_order", "last_ship").alias("end_date")))
 
     # -- catalogs derived from part --------------------------------------
     def advertisers(self) -> DataFrame:

@@ -54,15 +54,20 @@ def test_date_key(spark):
     assert df.select(date_key("ts").alias("k")).first().k == 20260301
 
 
-BAND_CASES = [
-    (C.FILL_RATE_PCT, [(0.0, "bad"), (69.9, "bad"), (70.0, "warn"), (79.9, "warn"),
-                       (80.0, "good"), (89.9, "good"), (90.0, "warn"), (100.0, "warn")]),
-    (C.ECPM_USD, [(7.99, "bad"), (8.0, "warn"), (11.99, "warn"), (12.0, "good"), (40.0, "good")]),
-    (C.VIEWABILITY_PCT, [(59.9, "bad"), (60.0, "warn"), (69.9, "warn"), (70.0, "good")]),
-    (C.FREQUENCY_VIOLATION_PCT, [(0.0, "good"), (1.99, "good"), (2.0, "warn"), (4.99, "warn"),
-                                 (5.0, "bad")]),
-    (C.RPSH_USD, [(0.149, "bad"), (0.15, "good"), (0.349, "good"), (0.35, "warn"), (2.0, "warn")]),
-]
+STEP = Decimal("0.0001")
+
+
+def around_each_bound(table):
+    """A step below each bound, the bound itself and a step above it."""
+    cases = []
+    for (upper, below), (_, above) in zip(table, table[1:]):
+        bound = Decimal(str(upper))
+        cases += [(bound - STEP, below), (bound, above), (bound + STEP, above)]
+    return cases
+
+
+BAND_CASES = [(table, around_each_bound(table)) for table in (
+    C.FILL_RATE_PCT, C.ECPM_USD, C.VIEWABILITY_PCT, C.FREQUENCY_VIOLATION_PCT, C.RPSH_USD)]
 
 
 @pytest.mark.parametrize("table,cases", BAND_CASES)
@@ -85,3 +90,9 @@ def test_optional_number_and_labels(spark):
     got = df.select(optional_number("s").alias("n"), format_metric("s", 1).alias("l")).collect()
     assert [r.n for r in got] == [1.5, None, None, None]
     assert [r.l for r in got] == ["1.5", "n/a", "n/a", "n/a"]
+
+
+def test_labels_round_half_away_from_zero(spark):
+    df = spark.createDataFrame([("0.25",), ("0.35",), ("-0.25",), ("1234.5",)], "s string")
+    got = [r.l for r in df.select(format_metric("s", 1, grouped=True).alias("l")).collect()]
+    assert got == ["0.3", "0.4", "-0.3", "1,234.5"]

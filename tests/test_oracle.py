@@ -10,7 +10,8 @@ KEYS = [
     "fct_campaign_daily", "mart_platform_health", "mart_campaign_performance",
     "mart_advertiser_summary", "mart_advertiser_concentration", "mart_frequency_analysis",
     "mart_content_monetization", "dq_report", "recon_pacing_ratio", "recon_rpsh",
-    "weighted_allocation", "expand_sessions", "latest_campaign_pacing", "kpi_bands",
+    "weighted_allocation", "in_flight_candidates", "metric_labels", "optional_number",
+    "report_advertiser_summary", "delivery_ratio_spread", "dim_date_ads", "expand_sessions", "latest_campaign_pacing", "kpi_bands",
 ]
 
 

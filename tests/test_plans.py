@@ -61,17 +61,42 @@ def test_no_cartesian_or_nested_loop_join(spark, sf_small, capsys, key):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-def test_in_flight_candidates_broadcast_days_not_flights(spark, sf_small, capsys):
-    """The exploded flights stream through the join; only the distinct days
-    (bounded by the calendar) are shuffled/broadcast."""
-    capsys.readouterr()
-    entry_mod.queries()["in_flight_candidates"](spark, sf_small).explain()
-    plan = capsys.readouterr().out
-    lines = plan.splitlines()
-    join = next(i for i, ln in enumerate(lines) if "BroadcastHashJoin" in ln and "day" in ln)
-    build = next(i for i, ln in enumerate(lines) if "BroadcastExchange" in ln and i > join)
-    gen = next(i for i, ln in enumerate(lines) if "Generate explode(sequence" in ln)
-    # the explode sits on the streamed side (before the broadcast build side)
-    assert join < gen < build
-    # nothing between the join and the explode repartitions the flights
-    assert not any("Exchange" in ln for ln in lines[join + 1:gen])
+def test_allocation_reuses_the_day_shuffle_of_its_candidates(spark, sf_small, capsys):
+    """Candidates read the requests once, and the budget windows add no shuffle
+    to the join by day."""
+    import re
+    from adlens.operators import prep
+    from adlens.plans.catalog import wh
+    w = wh(spark, sf_small)
+    days = w.raw["ad_requests"].filter("was_filled").select("request_timestamp").selectExpr(
+        "to_date(request_timestamp) AS day")
+    cand = prep.in_flight_candidates(days, w.raw["campaigns"], strict=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = formatted(cand, capsys)
+        sliced = formatted(prep.allocation_slices(cand), capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len([s for s in scans(joined) if "l_orderkey" in s]) == 1
+    exchanges = [len(re.findall(r"\n\(\d+\) Exchange", plan)) for plan in (joined, sliced)]
+    assert exchanges[0] == exchanges[1]
+
+
+def test_report_scans_each_fact_at_most_twice(spark, sf_small, capsys):
+    from adlens.operators import quality
+    from adlens.plans.catalog import wh
+    facts = ["fct_ad_impressions", "fct_viewing_sessions", "fct_campaign_daily"]
+    plan = formatted(quality.run_checks(wh(spark, sf_small).model, models=facts), capsys)
+    for fact in facts:
+        assert 1 <= len([s for s in scans(plan) if fact in s]) <= 2, fact
+
+
+def test_star_join_query_writes_only_its_fact(spark, sf_small):
+    """Activity tables are scanned lazily: no raw table is copied."""
+    import os
+    from adlens.plans.catalog import wh
+    from adlens.session import ensure_checkpoint_dir
+    entry_mod.queries()["mart_platform_health"](spark, sf_small).count()
+    written = os.listdir(os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "adlens-tables"))
+    assert not [name for name in written if name.startswith("raw_")]
+    assert not wh(spark, sf_small).raw["ad_requests"].is_cached

@@ -31,9 +31,28 @@ CAMPAIGNS = ("campaign_id string, total_budget_usd decimal(12,2), flight_start d
 def test_in_flight_strict_fails_on_uncovered_day(spark):
     cmp = spark.createDataFrame([("c1", Decimal("10"), date(2030, 1, 1), date(2030, 1, 7), 7)], CAMPAIGNS)
     days = spark.createDataFrame([(date(2026, 1, 1),)], "day date")
-    with pytest.raises(Exception, match="no campaign in flight"):
-        prep.in_flight_candidates(days, cmp).collect()
-    assert prep.in_flight_candidates(days, cmp, strict=False).count() == 0
+    for read in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select("day").collect()):
+        with pytest.raises(ValueError, match="no campaign in flight on 2026-01-01"):
+            read(prep.in_flight_candidates(days, cmp))
+    rows = prep.in_flight_candidates(days, cmp, strict=False).collect()
+    assert [(r.day, r.campaign_id) for r in rows] == [(date(2026, 1, 1), None)]
+
+
+def test_smallest_budget_keeps_its_slice(spark):
+    """A cent beside ten billion dollars owns a slice of the draw range; a
+    budget of nothing does not."""
+    cmp = spark.createDataFrame([
+        ("a", Decimal("9999999999.99"), date(2026, 1, 1), date(2026, 1, 1), 1),
+        ("b", Decimal("0.01"), date(2026, 1, 1), date(2026, 1, 1), 1),
+        ("c", Decimal("0.00"), date(2026, 1, 1), date(2026, 1, 1), 1)], CAMPAIGNS)
+    req = spark.range(200).select(F.col("id").cast("string").alias("request_id"),
+                                  F.lit(datetime(2026, 1, 1)).cast("timestamp_ntz").alias("request_timestamp"))
+    days = req.select(F.to_date("request_timestamp").alias("day"))
+    slices = prep.allocation_slices(prep.in_flight_candidates(days, cmp)).collect()
+    assert {r.campaign_id for r in slices} == {"a", "b"} and all(r.hi > r.lo for r in slices)
+    assert max(r.hi for r in slices) == 1 << prep.UNIT_BITS
+    out = prep.weighted_allocation(req, prep.in_flight_candidates(days, cmp)).collect()
+    assert len(out) == 200 and all(r.campaign_id for r in out)
 
 
 def test_weighted_allocation_assigns_each_request_once_by_budget(spark):
@@ -122,6 +141,44 @@ def test_typed_csv_load_is_positional_and_failfast(spark):
         S.read_csv_typed(spark, bad, "ad_slots").collect()
 
 
+@pytest.mark.parametrize("lines, fault", [
+    ("pre_roll_1,fifteen,0.92,0.95", None),
+    ("pre_roll_1,,0.92,0.95", "typical_duration_sec: 1 blank"),
+    ("pre_roll_1,15,,0.95", "avg_completion_rate: 1 blank"),
+    (",15,0.92,0.95", "slot_position: 1 blank"),
+    ("pre_roll_1,15,0.92,0.95\npre_roll_1,30,0.92,0.95", "slot_position: 1 repeated keys"),
+])
+def test_checked_load_cannot_be_pruned_around(spark, tmp_path, lines, fault):
+    path = tmp_path / "ad_slots.csv"
+    path.write_text("a,b,c,d\n" + lines + "\n")
+    for read in (lambda df: df.count(), lambda df: df.select("slot_position").collect(),
+                 lambda df: S.row_counts({"ad_slots": df}).collect()):
+        with pytest.raises(Exception, match=fault):
+            read(S.load_table(spark, str(path), "ad_slots"))
+
+
+def test_checked_load_keeps_good_rows(spark, tmp_path):
+    path = tmp_path / "ad_slots.csv"
+    path.write_text("a,b,c,d\npre_roll_1,15,0.92,0.95\npost_roll,30,0.40,0.50\n")
+    assert S.load_table(spark, str(path), "ad_slots").count() == 2
+
+
+def test_report_labels_list_and_summary(spark):
+    health = spark.createDataFrame(
+        [(1, Decimal("81.3"), Decimal("12.50"), Decimal("70.0"), None, Decimal("0.3125"), Decimal("1234567.5"))],
+        "date_key int, fill_rate_pct decimal(18,1), ecpm_usd decimal(18,2), completion_rate_pct decimal(18,1), "
+        "viewability_rate_pct decimal(18,1), revenue_per_subscriber_hour decimal(18,4), "
+        "total_revenue_usd decimal(38,6)")
+    assert list(report.metric_labels(health).first()) == [
+        1, "81.3%", "$12.50", "70.0%", "n/a", "$0.313", "$1,234,568"]
+    freq = spark.createDataFrame([(Decimal("1.9"), Decimal("2.0"), 3), (Decimal("2.0"), Decimal("1.0"), 4)],
+                                 "violation_rate_pct decimal(18,1), avg_frequency decimal(18,1), "
+                                 "total_subscribers long")
+    row = report.frequency_summary(freq).first()
+    assert (row.mean_violation_rate_pct, row.total_reach, row.violation_verdict) == (Decimal("1.95"), 7, "good")
+    assert report.frequency_summary(freq.limit(0)).first().violation_verdict == "unknown"
+
+
 def test_missing_inputs_raise_before_reading(spark):
     d = tempfile.mkdtemp(prefix="adlens-raw-", dir="/tmp")
     with pytest.raises(FileNotFoundError, match="ad_impressions"):

@@ -67,3 +67,13 @@ def test_contract_detects_type_and_shape_changes(spark):
     assert any(d[1] == "extra" for d in diffs)
     with pytest.raises(ValueError):
         Q.enforce_contract("dim_ad_slots", bad, contract)
+
+
+def test_every_model_keeps_its_contract_and_slots_are_the_fixed_six(spark, sf_small):
+    from adlens import constants as C
+    from adlens.plans.warehouse import Warehouse
+    w = Warehouse.from_testdata(spark, sf_small)
+    for model, contract in CONTRACTS.items():
+        assert Q.contract_diff(model, w.model(model), contract) == [], model
+    assert [r.slot_position for r in w.stg["stg_ad_slots"].collect()] == C.SLOT_ORDER
+    assert w.dim_ad_slots.select("slot_key").distinct().count() == len(C.SLOT_ORDER)
