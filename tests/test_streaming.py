@@ -61,3 +61,22 @@ def test_append_stream_emits_each_closed_day_once(spark, sf_small):
         closed.select(cols)).count() == 0
     assert closed.select(cols).exceptAll(
         got.filter(F.col("date_key") < closed_before).select(cols)).count() == 0
+
+
+def test_late_impressions_are_counted(spark, sf_small):
+    """A row of a day that is emitted already adds to no day, but is counted."""
+    from adlens.streaming.delivery import late_rows, start_delivery
+    base = tempfile.mkdtemp(prefix="adlens-stream-late-", dir="/tmp")
+    src, sink = os.path.join(base, "impressions"), os.path.join(base, "out")
+    one = TestdataBinding(spark, sf_small).ad_impressions().limit(1)
+    kept = spark.createDataFrame(one.collect(), one.schema)
+    at = F.col("impression_timestamp")
+    for name, days in (("a", 40), ("b", 0), ("c", 80)):  # b comes 40 days too late
+        kept.withColumn("impression_timestamp", (at + F.expr(f"interval {days} days")).cast(
+            one.schema["impression_timestamp"].dataType)).coalesce(1).write.mode(
+            "append").parquet(src)
+        q = start_delivery(spark, src, sink, os.path.join(base, "ckpt"), once=True)
+        q.awaitTermination(300)
+        assert late_rows(q) == (name == "b")
+    got = spark.read.parquet(sink)
+    assert got.count() == 1 and got.first().impressions_served == 1
