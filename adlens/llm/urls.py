@@ -3,7 +3,7 @@
 Rules are a bounded list (a parameter, a literal in the plan); URLs that a rule
 fits are the labelled ones. Trees are trained on lexical features of a bounded
 sample of them: lengths, depth, digit ratio, entropy, parameter counts, and the
-share of blocked URLs among the labelled ones with the same suffix. All
+share of blocked URLs among all labelled ones with the same suffix. All
 features are SQL expressions, so the pass over the table stays in the JVM.
 """
 
@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlens.functions.joins import broadcast_if_small
 from adlens.llm.common import read, save
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,7 +42,8 @@ RULES = (
     UrlRule("com/fr/", "allow"),
     UrlRule("com/de/", "block"),
 )
-# Bound of the training sample, and the trees grown on it.
+# Bound of the sample that the trees are fitted to, and the trees grown on it.
+# The suffix statistics count every labelled URL.
 TRAIN_URLS = 20_000
 TREES = 20
 DEPTH = 4
@@ -146,24 +148,30 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, url_col: st
     base = base.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
     found = lexical(url, F.col("host"), F.col("path"))
     ends = suffixes(F.col("host"), F.col("path"))
-    # the sample: labelled urls of smallest hash, numbered by nothing but content
-    sample = save(base.where(F.col("fit").isNotNull()).orderBy(
-        F.xxhash64("url"), "url").limit(train_urls).select(
-        (F.col("fit.verdict") == "block").cast("double").alias("label"),
-        *[c.alias(k) for k, c in found.items()], *[c.alias(k) for k, c in ends.items()]),
-        "url_sample")
-    mean, low, high = sample.agg(F.avg("label"), F.min("label"), F.max("label")).first()
+    labelled = base.where(F.col("fit").isNotNull()).withColumn(
+        "label", (F.col("fit.verdict") == "block").cast("double"))
+    counts = save(suffix_counts(labelled.select("label", *[
+        c.alias(k) for k, c in ends.items()])), "url_suffixes")
+    # every labelled row has one suffix of each kind
+    rows, blocked = counts.where(F.col("kind") == SUFFIXES[0]).agg(
+        F.sum("n"), F.sum("blocked")).first()
+    mean = blocked / rows if rows else 0.0
     result = base.select("id", "host", "path", "fit", *[c.alias(k) for k, c in found.items()],
                          *[c.alias(k) for k, c in ends.items()])
-    if low is None or low == high:
-        scored = result.withColumn("score", F.lit(float(mean or 0.0)))
+    if not rows or blocked in (0, rows):
+        scored = result.withColumn("score", F.lit(float(mean)))
     else:
+        # the sample: labelled urls of smallest hash, numbered by nothing but content
+        sample = save(labelled.orderBy(F.xxhash64("url"), "url").limit(train_urls).select(
+            "label", *[c.alias(k) for k, c in found.items()],
+            *[c.alias(k) for k, c in ends.items()]), "url_sample")
         names = list(found)
         for k in SUFFIXES:
-            # at most ``train_urls`` rows, by the sample's bound
-            rates = sample.groupBy(F.col(k).alias(f"{k}_key")).agg(
-                ((F.sum("label") + SUFFIX_PRIOR * mean)
-                 / (F.count(F.lit(1)) + SUFFIX_PRIOR)).alias(f"{k}_rate"))
+            rates = counts.where(F.col("kind") == k).select(
+                F.col("suffix").alias(f"{k}_key"),
+                ((F.col("blocked") + SUFFIX_PRIOR * mean)
+                 / (F.col("n") + SUFFIX_PRIOR)).alias(f"{k}_rate"))
+            rates = broadcast_if_small(rates)
             sample = _with_rate(sample, rates, k, mean)
             result = _with_rate(result, rates, k, mean)
             names.append(f"{k}_rate")
@@ -179,8 +187,17 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, url_col: st
                          F.coalesce(F.col("fit.verdict"), verdict).alias("verdict"), "score")
 
 
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """(kind, suffix, n, blocked): all labelled rows of each suffix, and how many
+    of them are blocked. One shuffle of counts that are combined before it."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("suffix"))
+                               for k in SUFFIXES]))
+    return labelled.select("label", each.alias("s")).groupBy("s.kind", "s.suffix").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("blocked"))
+
+
 def _with_rate(df: DataFrame, rates: DataFrame, key: str, mean: float) -> DataFrame:
-    return df.join(F.broadcast(rates), F.col(key).eqNullSafe(F.col(f"{key}_key")), "left").drop(
+    return df.join(rates, F.col(key) == F.col(f"{key}_key"), "left").drop(
         f"{key}_key").withColumn(f"{key}_rate", F.coalesce(f"{key}_rate", F.lit(mean)))
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from adlens.llm import decontamination, jaccard, quality, secret_scan, urls
@@ -68,6 +69,19 @@ def test_urls_on_held_out(spark):
             r.rule if isinstance(r.rule, str) else None)
 
 
+def test_url_suffixes_outside_the_sample(spark):
+    # the verdict follows the first part of the path, and names tell nothing else
+    rng = np.random.default_rng(5)
+    parts = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(80)]
+    verdict = {p: ("block", "allow")[n % 2] for n, p in enumerate(parts)}
+    rules = tuple(urls.UrlRule(f"a.com/{p}/", v) for p, v in verdict.items())
+    data = [(f"http://a.com/{p}/{n:03}",) for p in parts for n in range(50)]
+    data += [(f"http://b.com/{p}/777",) for p in parts]
+    pages = spark.createDataFrame(data, "url string").withColumn("page_id", F.col("url"))
+    got = urls.judge_urls(pages, rules, train_urls=120).where("rule is null").collect()
+    assert {r.page_id.split("/")[3]: r.verdict for r in got} == verdict
+
+
 @pytest.fixture(scope="module")
 def stages(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
