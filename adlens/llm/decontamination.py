@@ -5,7 +5,8 @@ m + 1 - q (e + 1) of its q-grams with the text, on diagonals (text position
 minus item position) that differ by at most e. Shared q-grams are counted in
 diagonal bands that overlap by e, so one band holds all of a match's; bands that
 reach the bound are regions, and a region is verified by an alignment banded to
-its diagonals. The filter loses no match within the budget.
+its diagonals. An item's commonest q-grams are not looked up, and its bound is
+less by their number. The filter loses no match within the budget.
 
 The benchmark is the stated query set: it is cut into blocks of bounded size,
 and each block is one map over whole texts, without a shuffle.
@@ -22,9 +23,11 @@ from pyspark.sql import functions as F
 
 from adlens.llm.common import map_texts, packed, read
 
-Q = 12
-EDIT_RATE = 0.06         # edits allowed, as a share of the item's characters
+Q = 5
+EDIT_RATE = 0.15         # edits allowed, as a share of the item's characters
 LEAST_SHARED = 4         # q-grams: a short item's budget shrinks until it needs these
+LOOKED_UP = 3            # a part of the q-grams needed, one in so many, must be rare ones
+HITS_AT_ONCE = 1 << 18   # shared q-grams counted at once
 BLOCK_CHARS = 2_000_000  # characters of one block of items
 FILTER_BITS = 22
 CANDIDATES_AT_ONCE = 256
@@ -84,8 +87,8 @@ def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
 
 
 def budget(m: int, q: int = Q, rate: float = EDIT_RATE) -> int:
-    """Edits allowed for an item of m characters; -1: too short to be looked for."""
-    return min(int(rate * m), (m + 1 - LEAST_SHARED) // q - 1)
+    """Edits allowed for an item of m characters; 0 if it is too short for the bound."""
+    return max(0, min(int(rate * m), (m + 1 - LEAST_SHARED) // q - 1))
 
 
 @dataclass
@@ -95,10 +98,14 @@ class Items:
     codes: list[np.ndarray]
     edits: np.ndarray
     needed: np.ndarray
+    least: np.ndarray
+    own: list[tuple[np.ndarray, np.ndarray]]
     hashes: np.ndarray
+    starts: np.ndarray
     item: np.ndarray
     offset: np.ndarray
     present: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
     q: int
 
     @classmethod
@@ -107,49 +114,109 @@ class Items:
         low, _, offsets = normalise([t.strip() for t in texts], table)
         codes = [low[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
         edits = np.array([budget(len(c), q, rate) for c in codes], np.int64)
-        use = np.flatnonzero(edits >= 0)
-        codes, edits = [codes[i] for i in use], edits[use]
+        use = np.flatnonzero([len(c) > 0 for c in codes])
+        ids, codes, edits = [ids[i] for i in use], [codes[i] for i in use], edits[use]
         parts = [gram_hashes(c, q) for c in codes]
         hashes = np.concatenate([*parts, np.zeros(0, np.uint32)])
         item = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         offset = np.concatenate([*map(np.arange, map(len, parts)), np.zeros(0, np.int64)])
-        order = np.argsort(hashes, kind="stable")
-        present = np.zeros(1 << FILTER_BITS, bool)
-        present[hashes >> np.uint32(32 - FILTER_BITS)] = True
         needed = np.array([len(c) + 1 for c in codes], np.int64) - q * (edits + 1)
-        return cls([ids[i] for i in use], codes, edits, needed, hashes[order], item[order],
-                   offset[order].astype(np.int64), present, q)
+        # of each item, leave out the commonest q-grams of the block, and need fewer
+        least = np.minimum(needed, np.maximum(LEAST_SHARED, needed // LOOKED_UP))
+        _, kind, times = np.unique(hashes, return_inverse=True, return_counts=True)
+        order = np.lexsort((offset, -times[kind], item))
+        sizes = np.array([len(p) for p in parts], np.int64)
+        nth = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        looked_up = order[nth >= np.maximum(needed - least, 0)[item[order]]]
+        order = looked_up[np.argsort(hashes[looked_up], kind="stable")]
+        present = np.zeros(1 << FILTER_BITS, bool)
+        present[hashes[order] >> np.uint32(32 - FILTER_BITS)] = True
+        # items of fewer than q characters: their hashes by length, sorted
+        short = {}
+        for m in range(1, q):
+            rows = np.array([i for i, c in enumerate(codes) if len(c) == m], np.int64)
+            if len(rows):
+                own = np.concatenate([gram_hashes(codes[i], m) for i in rows])
+                by = np.argsort(own, kind="stable")
+                short[m] = own[by], rows[by]
+        own = []
+        for part in parts:
+            by = np.argsort(part, kind="stable")
+            own.append((part[by], by))
+        distinct, starts = np.unique(hashes[order], return_index=True)
+        return cls(ids, codes, edits, needed, least, own, distinct,
+                   np.append(starts, len(order)), item[order].astype(np.int32),
+                   offset[order].astype(np.int32), present, short, q)
 
     def regions(self, low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """(doc, item, first diagonal, last diagonal) of the runs of bands that
         share enough q-grams; diagonals relative to the document."""
-        none = (np.zeros(0, np.int64),) * 4
         grams = gram_hashes(low, self.q)
         at = np.flatnonzero(self.present[grams >> np.uint32(32 - FILTER_BITS)])
-        first = np.searchsorted(self.hashes, grams[at], "left")
-        count = np.searchsorted(self.hashes, grams[at], "right") - first
-        at, first, count = at[count > 0], first[count > 0], count[count > 0]
+        kind = np.searchsorted(self.hashes, grams[at])
+        known = kind < len(self.hashes)
+        known[known] = self.hashes[kind[known]] == grams[at[known]]
+        at, first = at[known], self.starts[kind[known]]
+        count = self.starts[kind[known] + 1] - first
         doc = np.searchsorted(offsets, at, "right") - 1
         whole = at + self.q <= offsets[doc + 1]  # not across two documents
         at, first, count, doc = at[whole], first[whole], count[whole], doc[whole]
         if not len(at):
-            return none
-        hit = np.repeat(np.arange(len(at)), count)
-        post = first[hit] + np.arange(len(hit)) - np.repeat(np.cumsum(count) - count, count)
-        item = self.item[post]
+            return (np.zeros(0, np.int64),) * 4
         lengths = np.array([len(c) for c in self.codes], np.int64)
-        diagonal = at[hit] - offsets[doc[hit]] - self.offset[post] + lengths[item]
-        width = self.edits[item] + 1
-        band = diagonal // width + 1
-        overlap = diagonal % width < self.edits[item]
-        bands = int(band.max()) + 2
-        key = (doc[hit] * len(self.codes) + item) * bands + band
-        key, shared = np.unique(np.concatenate([key, key[overlap] - 1]), return_counts=True)
+        # whole documents, or stretches of a long one that overlap by the longest match
+        span = int((lengths + self.edits).max())
+        ends = np.cumsum(count)
+        found, a = [], 0
+        while a < len(at):
+            b = int(np.searchsorted(ends, ends[a] - count[a] + HITS_AT_ONCE, "right"))
+            b = max(b, a + 1)
+            if b < len(at):
+                cut = int(np.searchsorted(doc, doc[b], "left"))  # where that document begins
+                b = cut if cut > a else max(b, int(np.searchsorted(at, at[a] + 2 * span)))
+            found.append(self._bands(at[a:b] - offsets[doc[a:b]], first[a:b], count[a:b],
+                                     doc[a:b], lengths))
+            if b < len(at) and doc[b] == doc[b - 1]:
+                b = max(a + 1, int(np.searchsorted(at, at[b] - span)))
+            a = b
+        doc, item, low_d, high_d = map(np.concatenate, zip(*found))
+        # one region of those that overlap or meet
+        order = np.lexsort((low_d, item, doc))
+        doc, item, low_d, high_d = doc[order], item[order], low_d[order], high_d[order]
+        if len(found) == 1 or not len(doc):
+            return doc, item, low_d, high_d
+        pair = doc * len(self.codes) + item
+        group = np.cumsum(np.append(0, pair[1:] != pair[:-1]))
+        unit = int(high_d.max() - low_d.min()) + 2
+        reach = np.maximum.accumulate(high_d - low_d.min() + group * unit)
+        new = np.append(True, low_d[1:] - low_d.min() + group[1:] * unit > reach[:-1] + 1)
+        begin = np.flatnonzero(new)
+        return doc[begin], item[begin], low_d[begin], np.maximum.reduceat(high_d, begin)
+
+    def _bands(self, place: np.ndarray, first: np.ndarray, count: np.ndarray,
+               doc: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The regions of some q-grams: their places in the document, their first
+        postings and how many of these there are."""
+        hit = np.repeat(np.arange(len(place)), count)
+        post = np.arange(len(hit)) + np.repeat(first - np.cumsum(count) + count, count)
+        item = self.item[post]
+        bands = int((place.max() + lengths.max()) // (self.edits.min() + 1)) + 3
+        # narrow numbers where they do, for speed
+        narrow = (int(doc[-1] - doc[0]) + 1) * len(self.codes) * bands < 1 << 31
+        kind = np.int32 if narrow else np.int64
+        width = (self.edits + 1).astype(kind)[item]
+        band = (place.astype(kind)[hit] - self.offset[post] + lengths.astype(kind)[item])
+        band, rest = band // width, band % width
+        base = ((doc - doc[0]) * (len(self.codes) * bands) + 1).astype(kind)
+        key = base[hit] + (np.arange(len(self.codes)) * bands).astype(kind)[item] + band
+        key, shared = np.unique(np.concatenate([key, key[rest < width - 1] - 1]),
+                                return_counts=True)
+        key = key.astype(np.int64) + int(doc[0]) * len(self.codes) * bands
         pair, band = key // bands, key % bands
-        good = shared >= self.needed[pair % len(self.codes)]
+        good = shared >= self.least[pair % len(self.codes)]
         pair, band = pair[good], band[good]
         if not len(pair):
-            return none
+            return (np.zeros(0, np.int64),) * 4
         new = np.ones(len(pair), bool)
         new[1:] = (pair[1:] != pair[:-1]) | (band[1:] != band[:-1] + 1)
         begin = np.flatnonzero(new)
@@ -160,6 +227,40 @@ class Items:
         high_d = band[end] * width + self.edits[item] - lengths[item]
         return doc, item, low_d, high_d
 
+    def enough(self, i: int, grams: np.ndarray, low_d: int, high_d: int) -> bool:
+        """Whether all q-grams of item i, the commonest too, reach its bound in a
+        band of the region; ``grams``: those of the document."""
+        hashes, offset = self.own[i]
+        start = max(0, low_d)
+        grams = grams[start:max(start, high_d + len(self.codes[i]))]
+        first = np.searchsorted(hashes, grams, "left")
+        count = np.searchsorted(hashes, grams, "right") - first
+        hit = np.repeat(np.arange(len(grams)), count)
+        post = np.arange(len(hit)) + np.repeat(first - np.cumsum(count) + count, count)
+        diagonal = hit + start - offset[post]
+        diagonal = np.sort(diagonal[(diagonal >= low_d) & (diagonal <= high_d)])
+        n = int(self.needed[i])
+        return len(diagonal) >= n and bool(
+            (diagonal[n - 1:] - diagonal[:len(diagonal) - n + 1] <= self.edits[i]).any())
+
+    def exact(self, low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, position) of the items that are shorter than a q-gram."""
+        items, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for m, (hashes, rows) in self.short.items():
+            grams = gram_hashes(low, m)
+            first = np.searchsorted(hashes, grams, "left")
+            count = np.searchsorted(hashes, grams, "right") - first
+            doc = np.searchsorted(offsets, np.arange(len(grams)), "right") - 1
+            count[np.arange(len(grams)) + m > offsets[doc + 1]] = 0
+            at = np.repeat(np.arange(len(grams)), count)
+            nth = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+            item = rows[first[at] + nth]
+            own = np.array([self.codes[i] for i in item], np.uint32).reshape(-1, m)
+            same = (low[at[:, None] + np.arange(m)] == own).all(axis=1)
+            items.append(item[same])
+            places.append(at[same])
+        return np.concatenate(items), np.concatenate(places)
+
     def align(self, i: int, low: np.ndarray, begin: np.ndarray, end: np.ndarray,
               low_d: np.ndarray, high_d: np.ndarray) -> tuple[np.ndarray, ...]:
         """Least edits between item i and any stretch of each document that
@@ -199,8 +300,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     One row per input row, repeated rows included; null and empty texts have no
     matches and null ids stay null. Case and runs of blanks do not count.
-    Items with a null text, or too short for the bound, match nothing; items
-    repeated with id and text count once. Of overlapping regions of one item
+    Items with a null or blank text match nothing; those too short for the
+    bound match exactly; items repeated with id and text count once. An item
+    clipped at an end matches while the part left out is within its budget.
+    Of overlapping regions of one item
     the best match is given (ties: the leftmost); matches come by item order,
     then start. An empty benchmark gives empty lists.
     """
@@ -248,6 +351,10 @@ def matches_in(texts: list[str], index: Items, table: np.ndarray) -> list[list[d
     out: list[list[dict]] = [[] for _ in texts]
     low, place, offsets = normalise(texts, table)
     doc, item, low_d, high_d = index.regions(low, offsets)
+    grams = gram_hashes(low, index.q)
+    keep = np.array([index.enough(i, grams[offsets[d]:max(offsets[d], offsets[d + 1] - index.q + 1)],
+                                  x, y) for d, i, x, y in zip(doc, item, low_d, high_d)], bool)
+    doc, item, low_d, high_d = doc[keep], item[keep], low_d[keep], high_d[keep]
     for i in np.unique(item):
         rows = np.flatnonzero(item == i)
         for at in range(0, len(rows), CANDIDATES_AT_ONCE):
@@ -259,6 +366,11 @@ def matches_in(texts: list[str], index: Items, table: np.ndarray) -> list[list[d
                 out[doc[r[k]]].append({
                     "item_id": index.ids[i], "start": int(place[a]),
                     "end": int(place[b]) + 1, "edits": int(edits[k])})
+    item, at = index.exact(low, offsets)
+    for i, a in zip(item, at):
+        out[np.searchsorted(offsets, a, "right") - 1].append({
+            "item_id": index.ids[i], "start": int(place[a]),
+            "end": int(place[a + len(index.codes[i]) - 1]) + 1, "edits": 0})
     return out
 
 

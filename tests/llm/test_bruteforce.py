@@ -196,6 +196,59 @@ def test_leaks(spark, seed):
     assert 20 < found < 80
 
 
+def leaks_in(texts, items):
+    table = decontamination.lower_table()
+    index = decontamination.Items.build(list(range(len(items))), items, table)
+    return [{m["item_id"] for m in found}
+            for found in decontamination.matches_in(texts, index, table)]
+
+
+def test_lightly_edited_leaks():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(40)]
+    short, long = " ".join(words[:11]) + " end.", " ".join(words[11:])
+    assert len(short) == 81
+    around = ["nopq rstu " * 30, " vwxy zzzz" * 30]
+    hidden = [short.replace(words[4], "zyxwvu"), long.replace(words[20], "zyxwvu").replace(
+        words[30], "qrstuv").replace(words[35], "nopqrs"), long[:-len(long) // 10],
+        long[len(long) // 10:]]
+    got = leaks_in([around[0] + h + around[1] for h in hidden], [short, long])
+    assert got == [{0}, {1}, {1}, {1}]
+    assert leaks_in([short[:50], long[:100]], [short, long]) == [set(), set()]
+
+
+def test_short_items_match_exactly():
+    items = ["Paris, France", "x = 42", "né", "abcde", " ", "q"]
+    texts = ["in paris,  france.", "so X = 42!", "je suis né ici", "abcd abce", "in paris, fra",
+             "x = 4", "xabcdex", "", "n", "Q"]
+    assert leaks_in(texts, items) == [{0}, {1}, {2}, set(), set(), set(), {3}, set(), set(), {5}]
+    table = decontamination.lower_table()
+    index = decontamination.Items.build([1], ["né"], table)
+    assert decontamination.matches_in(["", "a  né né"], index, table)[1] == [
+        {"item_id": 1, "start": 3, "end": 5, "edits": 0},
+        {"item_id": 1, "start": 6, "end": 8, "edits": 0}]
+
+
+@pytest.mark.parametrize("hits", [1, 60, 1 << 18])
+def test_leaks_of_long_texts_in_stretches(monkeypatch, hits):
+    monkeypatch.setattr(decontamination, "HITS_AT_ONCE", hits)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(2, 6)))
+    items = [" ".join(word() for _ in range(rng.randint(1, 30))) for _ in range(8)]
+    texts = ["", word()]
+    for _ in range(12):
+        parts = [word() for _ in range(rng.randint(0, 150))]
+        for _ in range(rng.randint(0, 3)):
+            item = list(rng.choice(items))
+            for _ in range(rng.randint(0, len(item) // 6)):
+                item[rng.randrange(len(item))] = rng.choice("xyz")
+            parts.insert(rng.randint(0, len(parts)), "".join(item))
+        texts.append(" ".join(parts))
+    want = [{i for i, item in enumerate(items)
+             if least_edits(item, text) <= decontamination.budget(len(item))} for text in texts]
+    assert leaks_in(texts, items) == want and any(want)
+
+
 # -- packing -------------------------------------------------------------------
 
 @settings(max_examples=100, deadline=None)
