@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlens.llm.common import (SLICE_BYTES, drop, map_texts, read, save, slices,
+from adlens.llm.common import (SLICE_BYTES, drop, map_texts, packed, read, save, slices,
                                text_buffer)
 from adlens.llm.components import components
 
@@ -507,6 +507,16 @@ def link_documents(docs: DataFrame, percent: int = SIMILARITY, words: int = WORD
     Repeated rows link with each other. Sets are told apart by 64-bit keys of
     their shingles' 64-bit hashes.
     """
+    return _linked_rows(docs, percent, words, text_col, id_col, block).select(
+        F.col("doc_id").alias(id_col), "n_shingles",
+        F.coalesce("name", "doc_id").alias("component_id"))
+
+
+def _linked_rows(docs: DataFrame, percent: int, words: int, text_col: str, id_col: str,
+                 block: int = GROUP_BLOCK) -> DataFrame:
+    """(doc_id, n_shingles, node, root, name) for every row: the set's key, its
+    component and the smallest id in that; null for a row without words. Where
+    ids repeat, several components may have one name."""
     rows = save(_sized(docs.select(F.col(id_col).alias("doc_id"),
                                    F.col(text_col).alias("text")),
                        ["doc_id"], "text", words), "shingle_rows")
@@ -554,12 +564,10 @@ def link_documents(docs: DataFrame, percent: int = SIMILARITY, words: int = WORD
         classes.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted_nodes.groupBy("root").agg(F.min("doc_id").alias("name"))
     named = save(rooted_nodes.select("node", "root").join(names, "root").select(
-        "node", "name"), "component_of")
+        "node", "root", "name"), "component_of")
     for t in (stars, nodes, found, classes.sets, classes.tried):
         drop(t)
-    return rows.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
-        F.col("doc_id").alias(id_col), "n_shingles",
-        F.coalesce("name", "doc_id").alias("component_id"))
+    return rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -570,14 +578,25 @@ def one_of_each(docs: DataFrame, percent: int = SIMILARITY, words: int = WORDS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, without those linked to one of smaller id.
 
-    Of rows repeated with one id in one group, one stays. Documents without
-    words stay; so do rows without an id, which no group can name.
+    Of rows repeated with one id in one group, one stays: the one of least set
+    key, then of least text; an id repeated in several groups has one in each.
+    Documents without words stay, whatever else has their id; so do rows without
+    an id, which no group can name.
     """
-    linked = link_documents(docs, percent, words, text_col, id_col)
-    first = linked.where(F.col(id_col) == F.col("component_id")).groupBy(
-        F.col(id_col).alias("id")).agg(F.max("n_shingles").alias("shingles"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.col(id_col).alias("id"))
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("id"))
-    kept = rows.join(first, "id").withColumn("nth", nth).where("nth = 1 or shingles = 0")
-    return kept.select("row.*").unionAll(docs.where(F.col(id_col).isNull()))
+    linked = _linked_rows(docs, percent, words, text_col, id_col)
+    kept = linked.where(F.col("doc_id") == F.col("name")).groupBy("root").agg(
+        F.min("doc_id").alias("id"), F.min("node").alias("node")).select("id", "node")
+
+    def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        sets, offsets = shingle_sets(*text_buffer(batch.column(batch.num_columns - 1)), words)
+        return {"node": pa.array(set_keys(sets, offsets), pa.int64(),
+                                 mask=np.diff(offsets) == 0)}
+
+    named = packed(docs.where(F.col(id_col).isNotNull()), text_col)
+    rows = map_texts(named.select("row", F.col("row")[id_col].alias("id"), "body"), "body",
+                     ["row", "id", "body"], "node long", run)
+    # combined before the shuffle, so an id of many rows does not meet in one task
+    one = rows.join(kept, ["id", "node"]).groupBy("id", "node").agg(
+        F.min_by("row", F.struct("body", F.xxhash64("row"))).alias("row"))
+    return one.select("row.*").unionAll(rows.where("node is null").select("row.*")).unionAll(
+        docs.where(F.col(id_col).isNull()))

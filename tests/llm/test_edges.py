@@ -118,6 +118,19 @@ def test_jaccard(docs, empty):
         ["1", "2", "3", "4", "5", "6", "8", "10", "None", "None"])
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    words = lambda n: " ".join(f"{n}w{i}" for i in range(40))
+    data = [(1, words("a")), (2, words("a")), (2, words("b")), (2, words("b")), (2, None),
+            (2, ""), (2, words("b") + " more"), (3, words("b")), (3, words("c")),
+            (None, words("a"))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(docs).collect()), key=str)
+    b = [(i, t) for i, t in got if t in (words("b"), words("b") + " more")]
+    assert len(b) == 1 and b[0][0] == 2
+    assert sorted((x for x in got if x not in b), key=str) == sorted(
+        [(1, words("a")), (2, None), (2, ""), (3, words("c")), (None, words("a"))], key=str)
+
+
 def test_quality(spark, docs, empty):
     labels = spark.createDataFrame(
         [(1, 1, 0), (5, 0, 0), (5, 0, 1), (6, 1, None), (7, None, 1), (None, 1, 1), (99, 0, 0)],
