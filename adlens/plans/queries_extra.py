@@ -394,6 +394,14 @@ register("audit_request_in_session", P(summary_sql(
                                                  _raw(spark, sf, "viewing_sessions")))
 
 # the same audits over the given requests, which do not follow the sessions
+register("audit_orphan_requests_given", P("""
+    SELECT (SELECT count(*) FROM ad_requests) AS checked,
+           (SELECT count(*) FROM ad_requests AS r WHERE NOT EXISTS
+               (SELECT 1 FROM viewing_sessions AS v WHERE v.session_id = r.session_id)) AS violations,
+           (SELECT count(*) FROM ad_requests AS r WHERE NOT EXISTS
+               (SELECT 1 FROM viewing_sessions AS v WHERE v.session_id = r.session_id)) = 0 AS passed"""))(
+    lambda spark, sf: V.audit_orphan_requests(_raw(spark, sf, "ad_requests"), _raw(spark, sf, "viewing_sessions")))
+
 register("audit_request_counts_given", P(summary_sql(
     "(SELECT v.ad_requests, coalesce(r.n, 0) AS n FROM viewing_sessions AS v LEFT JOIN "
     "(SELECT session_id, count(*) AS n FROM ad_requests GROUP BY session_id) AS r "

@@ -98,3 +98,14 @@ def test_unknown_slots_and_objectives_are_violations(spark):
     camps = spark.createDataFrame([("charity",)], "objective string")
     rows = {r.objective: r for r in V.audit_objectives(camps, spark).collect()}
     assert rows["charity"].campaigns == 1 and not any(r.passed for r in rows.values())
+
+
+def test_orphan_requests_of_the_given_table(spark, sf_small):
+    from adlens.plans import catalog
+    from tests.oracle_compare import compare
+    key = "audit_orphan_requests_given"
+    got = catalog.queries()[key](spark, sf_small)
+    ran = compare(spark, sf_small, got, catalog.oracle_sql()[key])
+    assert ran["schema_match"] and ran["rows_match"], ran
+    given = catalog.queries()["audit_orphan_requests"](spark, sf_small).first()
+    assert got.first()["checked"] != given["checked"] > 0
