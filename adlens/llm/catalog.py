@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from adlens.llm import (decontamination, jaccard, packing, pii, quality, repeats, secret_scan,
-                        sharding, topk, urls)
+from adlens.llm import (decontamination, jaccard, manifest, packing, pii, quality, repeats,
+                        resampling, secret_scan, sharding, simhash, topk, urls)
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -16,6 +16,10 @@ QUERIES = {
     "op8_top_k": topk.op8_top_k,
     "op9_pii": pii.op9_pii,
     "op10_sharding": sharding.op10_sharding,
+    "op11_simhash": simhash.op11_simhash,
+    "op12_resampling": resampling.op12_resampling,
+    "op13_manifest": manifest.op13_manifest,
 }
 
-ORACLE_SQL = {"op8_top_k": topk.OP8_SQL}
+ORACLE_SQL = {"op8_top_k": topk.OP8_SQL, "op12_resampling": resampling.OP12_SQL,
+              "op13_manifest": manifest.OP13_SQL}
