@@ -150,12 +150,15 @@ def test_top_k(spark):
             (50, [0.0, -1.0]), (8, [-1.0])]
     df = spark.createDataFrame([(i, v, 1) for i, v in data], "vec_id long, v array<double>, id int")
     rows = topk.quantised(df, "vec_id", "v")
-    got = topk.top_k(rows, rows.where("id % 50 = 0")).orderBy("query_id", "rank").collect()
+    asked = F.col("id") % 50 == 0
+    got = topk.top_k(rows, asked).orderBy("query_id", "rank").collect()
+    # each of the two rows of id 0 asks, and finds the other; a null id comes last
     first = [(r.vec_id, r.score) for r in got if r.query_id == 0]
-    assert first == [(1, 65536), (2, 65536), (7, 0), (50, 0), (8, -65536)]
-    assert topk.top_k(rows.limit(0), rows.limit(0)).count() == 0
-    two = rows.where("id in (0, 1)")
-    assert topk.top_k(two, two.where("id = 0")).count() == 1
+    ranked = [(0, 65536), (1, 65536), (2, 65536), (None, 65536), (7, 0)]
+    assert first == [x for x in ranked for _ in (0, 1)]
+    assert topk.top_k(rows.limit(0), asked).count() == 0
+    assert topk.top_k(rows, F.lit(False)).count() == 0
+    assert topk.top_k(rows.where("id in (1, 50)"), asked).count() == 1
 
 
 def test_sharding(docs, empty):
