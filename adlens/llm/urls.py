@@ -2,7 +2,7 @@
 
 Rules are a bounded list (a parameter, a literal in the plan); URLs that a rule
 fits are the labelled ones. Trees are trained on lexical features of a bounded
-sample of them: lengths, depth, digit ratio, entropy, parameter counts, and the
+sample of distinct ones: lengths, depth, digit ratio, entropy, parameter counts, and the
 share of blocked URLs among all labelled ones with the same suffix. All
 features are SQL expressions, so the pass over the table stays in the JVM.
 """
@@ -128,7 +128,8 @@ def suffixes(host: Column, path: Column) -> dict[str, Column]:
 
 
 def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, url_col: str = "url",
-               id_col: str = "page_id", train_urls: int = TRAIN_URLS) -> DataFrame:
+               id_col: str = "page_id", train_urls: int = TRAIN_URLS,
+               learn_from: Column | None = None) -> DataFrame:
     """(id, host, path, rule, verdict, score) for every row.
 
     ``score``: the trees' probability of block, for every row; the verdict is
@@ -136,7 +137,12 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, url_col: st
     urls without ``://`` have empty host and path and are judged by the trees;
     repeated rows are judged alike; null ids keep their rows; long urls count
     whole. If the labelled URLs do not hold both verdicts, the score is the
-    only verdict's, or 0 without any (allow).
+    only verdict's, or 0 without any (allow). An empty table gives no rows.
+
+    The trees are fitted to at most ``train_urls`` distinct URLs, half of them of
+    each verdict as far as there are any; a URL weighs as often as it occurs, and
+    each verdict as often as it does among all labelled rows. ``learn_from``: a
+    condition on ``url``; others are judged but not learnt from.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
@@ -148,7 +154,8 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, url_col: st
     base = base.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
     found = lexical(url, F.col("host"), F.col("path"))
     ends = suffixes(F.col("host"), F.col("path"))
-    labelled = base.where(F.col("fit").isNotNull()).withColumn(
+    taught = base if learn_from is None else base.where(learn_from)
+    labelled = taught.where(F.col("fit").isNotNull()).withColumn(
         "label", (F.col("fit.verdict") == "block").cast("double"))
     counts = save(suffix_counts(labelled.select("label", *[
         c.alias(k) for k, c in ends.items()])), "url_suffixes")
@@ -161,10 +168,19 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, url_col: st
     if not rows or blocked in (0, rows):
         scored = result.withColumn("score", F.lit(float(mean)))
     else:
-        # the sample: labelled urls of smallest hash, numbered by nothing but content
-        sample = save(labelled.orderBy(F.xxhash64("url"), "url").limit(train_urls).select(
-            "label", *[c.alias(k) for k, c in found.items()],
-            *[c.alias(k) for k, c in ends.items()]), "url_sample")
+        # the sample: distinct labelled urls of smallest hash, of either verdict
+        distinct = labelled.groupBy("url").agg(F.first("label").alias("label"),
+                                               F.count(F.lit(1)).alias("times"))
+        halves = [distinct.where(F.col("label") == v).orderBy(F.xxhash64("url"), "url").limit(
+            max(1, train_urls // 2)) for v in (0, 1)]
+        names = [F.col("label"), F.col("times"), *[c.alias(k) for k, c in found.items()],
+                 *[c.alias(k) for k, c in ends.items()]]
+        sample = save(halves[0].unionAll(halves[1]).withColumn(
+            "host", host_of(url)).withColumn("path", path_of(url)).select(*names), "url_sample")
+        have = {r["label"]: r["n"] for r in sample.groupBy("label").agg(
+            F.sum("times").alias("n")).collect()}
+        sample = sample.withColumn("weight", F.col("times") * F.when(
+            F.col("label") == 1, blocked / have[1.0]).otherwise((rows - blocked) / have[0.0]))
         names = list(found)
         for k in SUFFIXES:
             rates = counts.where(F.col("kind") == k).select(
@@ -177,8 +193,8 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, url_col: st
             names.append(f"{k}_rate")
         assembler = VectorAssembler(inputCols=names, outputCol="features")
         trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=11, labelCol="label",
-                              featuresCol="features", cacheNodeIds=False)
-        model = trees.fit(assembler.transform(sample).select("label", "features"))
+                              featuresCol="features", weightCol="weight", cacheNodeIds=False)
+        model = trees.fit(assembler.transform(sample).select("label", "weight", "features"))
         scored = model.transform(assembler.transform(result)).withColumn(
             "score", vector_to_array("probability")[1])
     verdict = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
@@ -202,4 +218,5 @@ def _with_rate(df: DataFrame, rates: DataFrame, key: str, mean: float) -> DataFr
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdicts on all ``pages``, by ``judge_urls``."""
     return judge_urls(read(spark, sf_dir, "pages"))
