@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,29 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A value of bounded size for all tasks, sent once to each executor.
+
+    Travels as bytes that hold its class by value too, so an executor needs no
+    copy of this package; unpacked once a task.
+    """
+
+    def __init__(self, spark: SparkSession, value):
+        self.box = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self.value = None
+
+    def __getstate__(self):
+        return {"box": self.box, "value": None}
+
+    def get(self):
+        if self.value is None:
+            self.value = pickle.loads(self.box.value)
+        return self.value
+
+    def destroy(self) -> None:
+        self.box.destroy()
+
+
 @contextmanager
 def settings(spark: SparkSession, conf: dict[str, str]):
     """Session settings that hold within the block only."""

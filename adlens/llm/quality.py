@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import map_texts, read, text_buffer
+from adlens.llm.common import Shared, map_texts, read, text_buffer
 
 PASSAGE_BYTES = 600
 BYTE_BINS = 128          # ASCII bytes; all others share the last
@@ -25,9 +25,10 @@ STATS = 8
 WIDTH = BYTE_BINS + PAIR_BINS + STATS
 HIDDEN = 24
 GATE = 16
-# Bounds of the training sample: documents, and passages of one document.
+# Bounds of the training sample: documents, and passages of all of them together
+# (784 bytes each). A document is learnt from whole or not at all.
 TRAIN_DOCS = 4_000
-TRAIN_PASSAGES = 32
+TRAIN_PASSAGES = 64_000
 EPOCHS = 12
 BATCH = 64
 HELD_OUT = 1             # remainder of crc32(id as text) mod 3 never trained on
@@ -162,21 +163,31 @@ def held_out(id_col: str):
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         label_col: str = "quality", train_docs: int = TRAIN_DOCS,
         train_passages: int = TRAIN_PASSAGES) -> Model:
-    """Train on at most ``train_docs`` labelled documents that are not held out.
-
-    The sample is the labelled ids of smallest hash, half of them of each label
-    as far as there are any; of a long document ``train_passages`` passages
-    spread over its whole length. Null labels do not count; an id labelled more
-    than once has its mean label, rounded up. Without both labels the model
-    gives every document the same score.
+    """Train on at most ``train_docs`` labelled documents that are not held out,
+    of at most ``train_passages`` passages together.
+
+    The sample is the labelled ids of smallest hash, half of them (and of the
+    passages) of each label as far as there are any; whole texts, so that a
+    document that would overrun the passages is passed over, and one of more than
+    half of them is never learnt from. Null labels do not count; an id labelled
+    more than once has its mean label, rounded up; of an id with several texts one
+    is taken. Without both labels the model gives every document the same score.
     """
     by_id = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
                          & ~held_out(id_col)).groupBy(F.col(id_col).alias("id")).agg(
         F.when(F.avg(label_col) >= 0.5, 1).otherwise(0).alias("label"))
-    known = by_id.join(docs.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
-    picked = [known.where(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(
-        train_docs // 2) for v in (0, 1)]
-    sample = [(r["id"], r["label"]) for part in picked for r in part.collect()]
+    size = F.greatest(F.lit(1), F.ceil(F.coalesce(F.octet_length(
+        F.col(text_col).cast("string")), F.lit(0)) / PASSAGE_BYTES)).cast("long")
+    sizes = docs.groupBy(F.col(id_col).alias("id")).agg(F.max(size).alias("passages"))
+    known = by_id.join(sizes, "id").where(F.col("passages") <= train_passages // 2)
+    sample = []
+    for v in (0, 1):
+        left = train_passages // 2
+        for r in known.where(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(
+                train_docs // 2).collect():
+            if r["passages"] <= left:
+                left -= r["passages"]
+                sample.append((r["id"], r["label"]))
     spark = docs.sparkSession
     chosen = F.broadcast(spark.createDataFrame(sample, by_id.schema))
     bags = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
@@ -184,12 +195,9 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
 
     def encode(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         x, doc = features(*text_buffer(batch.column(batch.num_columns - 1)))
-        rows = []
-        for d in range(batch.num_rows):
-            a, b = np.searchsorted(doc, [d, d + 1])
-            at = np.unique(np.linspace(a, b - 1, min(b - a, train_passages)).astype(int))
-            rows.append(x[at].astype(np.float16).tobytes())
-        return {"x": pa.array(rows, pa.binary())}
+        cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+        return {"x": pa.array([x[a:b].astype(np.float16).tobytes()
+                               for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())}
 
     coded = map_texts(bags, "text", ["id", "label"], "x binary", encode)
     # repeated ids: one of their texts, the same each time
@@ -214,16 +222,17 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text",
     """``keep`` plus ``score`` (0 to 1, higher: label 1 likelier), one row per
     input row. Only the text is read; null and empty texts are one empty
     passage; long texts count with every passage; repeated rows score alike."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # about 100 kB
+    shared = Shared(docs.sparkSession, model)  # about 100 kB
 
     def run(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         x, doc = features(*text_buffer(batch.column(batch.num_columns - 1)))
-        return {"score": pa.array(shared.value.score(x, doc, batch.num_rows), pa.float64())}
+        return {"score": pa.array(shared.get().score(x, doc, batch.num_rows), pa.float64())}
 
     return map_texts(docs, text_col, list(keep), "score double", run)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of all ``documents``, by ``fit`` and ``score_documents``."""
     docs = read(spark, sf_dir, "documents")
     model = fit(docs, read(spark, sf_dir, "labels"))
     return score_documents(docs, model).select(
