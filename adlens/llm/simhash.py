@@ -171,11 +171,14 @@ def neighbours(prints: DataFrame, distance: int) -> DataFrame:
 def fingerprint_classes(prints: DataFrame, distance: int = DISTANCE,
                         group: int = GROUP) -> DataFrame:
     """(fingerprint, root) for distinct fingerprints: the least one reachable."""
-    members_of = variants(prints, distance)
+    # by fingerprint, in as many parts as there are tasks: each row becomes ``BITS``
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members_of = variants(prints.repartition(parts, "fingerprint"), distance)
     several = save(members_of.groupBy("sig").agg(
         F.min("fingerprint").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "variants")
-    members = save(members_of.join(several, "sig"), "members")
+    # the same join at every size; its small side's keys are distinct and well spread
+    members = save(members_of.join(several.hint("shuffle_hash"), "sig"), "members")
     first = components(members.where(
         (F.col("fingerprint") != F.col("least")) & near("fingerprint", "least", distance)).select(
         "fingerprint", "least").distinct(), "fingerprint", "least")
