@@ -13,6 +13,7 @@ from adlens.operators import facts, marts, prep, quality, recon, report
 from adlens.plans import oracle as O
 from adlens.plans.catalog import register, wh
 from adlens.sources import raw as S
+from adlens.sources.csv_records import read_csv_records
 from adlens.sources import testdata as B
 
 P = O.with_prelude
@@ -69,6 +70,18 @@ def _scan_typed(spark, sf_dir):
     return S.load_table(spark, path, "ad_requests")
 
 
+@register("csv_round_trip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def _csv_round_trip(spark, sf_dir):
+    """All documents written as CSV (S8), whose texts hold quotes, commas and line
+    breaks, and read back in splits (S1)."""
+    from adlens.session import scratch_path
+    path = scratch_path(spark, "documents_csv")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id", "text", "lang", "source", "n_chars")
+    S.write_csv(docs, path)
+    return read_csv_records(spark, path, docs.schema)
+
+
 @register("load_row_counts", P(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
     for t in ["ad_slots", "advertisers", "content_catalog", "subscribers", "campaigns",

@@ -1,5 +1,9 @@
 """Raw-table ingest and sinks: typed CSV load, missing-input guard, row
-counts, and table/CSV writes with full overwrite."""
+counts, and table/CSV writes with full overwrite.
+
+CSV follows one dialect both ways: values are quoted where they hold commas,
+quotes or line breaks, quotes are doubled, and null is an unquoted empty value.
+"""
 
 from __future__ import annotations
 
@@ -8,18 +12,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.sources.schemas import PRIMARY_KEYS, RAW_SCHEMAS, RAW_TABLES
+from adlens.sources.csv_records import DIALECT, read_csv_records
+from adlens.sources.schemas import PRIMARY_KEYS, RAW_LENGTHS, RAW_SCHEMAS, RAW_TABLES
 
 
 def read_csv_typed(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Lazy typed CSV scan (S1): header skipped, columns bound by POSITION to the
     declared schema. A value that does not parse fails the reads that use its
     column; ``load_table`` is the load that holds for every column."""
-    return (spark.read.schema(RAW_SCHEMAS[table])
-            .option("header", True)
-            .option("enforceSchema", True)
-            .option("mode", "FAILFAST")
-            .csv(path))
+    return read_csv_records(spark, path, RAW_SCHEMAS[table])
 
 
 def missing_inputs(paths: dict[str, str]) -> list[str]:
@@ -36,22 +37,37 @@ def missing_inputs(paths: dict[str, str]) -> list[str]:
     return [t for t, p in paths.items() if not exists(p)]
 
 
+def within_length(column: str, length: int) -> F.Column:
+    """The value, without the blanks that go past its declared length."""
+    c = F.col(column)
+    return F.when((F.length(c) > length) & (F.length(F.rtrim(c)) <= length),
+                  F.left(c, F.lit(length))).otherwise(c)
+
+
 def load_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Checked load of one raw table.
 
     Every column of every row is parsed once and written as a typed parquet
-    table in the shared folder. A value that does not parse, a blank value (all
-    raw columns are required) or a repeated primary key fails the load. Only the
-    written table is handed out, so no later projection can skip the checks.
+    table in the shared folder. A value that does not parse, a number beyond its
+    declared precision, a text longer than its column (blanks past the end are cut
+    off), a blank value (all raw columns are required) or a repeated primary key
+    fails the load. Only the written table is handed out, so no later projection
+    can skip the checks.
     """
     from adlens.session import scratch_path
     out = scratch_path(spark, f"load_{table}")
-    read_csv_typed(spark, path, table).write.mode("overwrite").parquet(out)
+    limits = RAW_LENGTHS[table]
+    df = read_csv_typed(spark, path, table)
+    df.select(*[within_length(c, limits[c]).alias(c) if c in limits else F.col(c)
+                for c in df.columns]).write.mode("overwrite").parquet(out)
     loaded = spark.read.parquet(out)
-    blank = loaded.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in loaded.columns]).first()
+    found = loaded.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}: # blank") for c in loaded.columns],
+        *[F.count_if(F.length(c) > n).alias(f"{c}: # longer than {n}")
+          for c, n in limits.items()]).first()
     key = PRIMARY_KEYS[table]
     repeated = loaded.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").count()
-    faults = [f"{c}: {n} blank" for c, n in blank.asDict().items() if n]
+    faults = [fault.replace("#", str(n)) for fault, n in found.asDict().items() if n]
     if repeated:
         faults.append(f"{key}: {repeated} repeated keys")
     if faults:
@@ -73,8 +89,9 @@ def read_raw_csv(spark: SparkSession, directory: str, tables=RAW_TABLES) -> dict
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV sink with a header row, full overwrite."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV sink with a header row, full overwrite (S8); null is an unquoted empty
+    value, so any text comes back as it was."""
+    df.write.mode("overwrite").options(**DIALECT).option("header", True).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,

@@ -57,6 +57,27 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
         ("view_duration_sec", SH), ("impression_timestamp", TS)),
 }
 
+# FIXED VALUES: the longest text that each raw column holds, in characters.
+RAW_LENGTHS: dict[str, dict[str, int]] = {
+    "ad_slots": {"slot_position": 20},
+    "advertisers": {"advertiser_id": 20, "company_name": 200, "industry_vertical": 50,
+                    "spend_tier": 20, "country": 10},
+    "content_catalog": {"content_id": 20, "title": 500, "content_type": 20, "genre": 50,
+                        "maturity_rating": 10},
+    "subscribers": {"subscriber_id": 20, "subscription_tier": 20, "region": 20,
+                    "device_primary": 20, "age_band": 10},
+    "campaigns": {"campaign_id": 20, "advertiser_id": 20, "campaign_name": 500,
+                  "objective": 20, "pacing_goal": 20, "status": 20},
+    "dates_ads": {"day_of_week": 10, "month_name": 10, "quarter": 5},
+    "viewing_sessions": {"session_id": 20, "subscriber_id": 20, "content_id": 20,
+                         "device": 20, "deepest_slot": 20},
+    "ad_requests": {"request_id": 20, "session_id": 20, "subscriber_id": 20,
+                    "content_id": 20, "slot_position": 20, "device": 20},
+    "ad_impressions": {"impression_id": 20, "request_id": 20, "campaign_id": 20,
+                       "advertiser_id": 20, "subscriber_id": 20, "content_id": 20,
+                       "slot_position": 20, "device": 20},
+}
+
 # Load order: dimensions before the tables that reference them.
 RAW_TABLES = list(RAW_SCHEMAS)
 
