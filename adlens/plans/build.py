@@ -3,9 +3,9 @@ reconciliation run; the build fails on any failing check.
 
 This is the one call that turns raw tables into a verified warehouse. Facts are
 staged in the shared folder and every check reads the staged tables; only then
-are the models published as parquet tables under ``out_dir`` (full overwrite,
-facts clustered by date_key within files), so a failing build leaves the
-published tables as they were.
+are the models published under ``out_dir``, all together (``plans/publish``), so a
+failing or killed build leaves the published tables as they were. The rows behind
+failing checks are published beside the models.
 """
 
 from __future__ import annotations
@@ -15,12 +15,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.operators import quality, recon
+from adlens.operators import failures, quality, recon
+from adlens.plans.publish import publish
 from adlens.plans.warehouse import Warehouse
-from adlens.sources.raw import write_table
 from adlens.sources.schemas import CONTRACTS
 
-FACTS = {"fct_ad_impressions", "fct_viewing_sessions", "fct_campaign_daily"}
+# The facts, laid out by day, each with the column that spreads a busy day.
+FACTS = {"fct_ad_impressions": "impression_id", "fct_viewing_sessions": "session_id",
+         "fct_campaign_daily": "campaign_key"}
 
 RECONCILIATIONS = {
     "recon_revenue_share": lambda w: recon.recon_revenue_share(w.mart_advertiser_summary),
@@ -70,7 +72,9 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str | None =
             raise AssertionError("reconciliations failed: " +
                                  ", ".join(f"{r.name} ({r.failing_rows})" for r in bad))
     if out_dir:
-        for name in Warehouse.MODELS:
-            write_table(w.model(name), f"{out_dir}/{name}",
-                        cluster_by="date_key" if name in FACTS else None)
+        tables = {name: w.model(name) for name in Warehouse.MODELS}
+        tables["dq_failing_rows"] = failures.failing_rows(w.model)
+        tables["recon_failing_rows"] = failures.failing_reconciliations(
+            {name: fn(w) for name, fn in RECONCILIATIONS.items()})
+        publish(spark, tables, out_dir, FACTS)
     return BuildResult(w, checks, recons)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from adlens import constants as C
 from adlens.functions.exprs import optional_number
 from adlens.operators import audit as V
-from adlens.operators import facts, marts, prep, quality, recon, report
+from adlens.operators import facts, failures, marts, prep, quality, recon, report
 from adlens.plans import oracle as O
 from adlens.plans.catalog import register, wh
 from adlens.sources import raw as S
@@ -63,11 +63,12 @@ def summary_sql(table: str, violation: str) -> str:
 # --------------------------------------------------------------------------
 @register("scan_typed", P("SELECT * FROM ad_requests"))
 def _scan_typed(spark, sf_dir):
-    """Bound ad_requests written as CSV (S8) and read back typed."""
+    """Bound ad_requests written as CSV (S8) and read back typed (S1). The test
+    tables' ids are longer than the raw columns, so no lengths are checked."""
     from adlens.session import scratch_path
     path = scratch_path(spark, "ad_requests_csv")
     S.write_csv(B.TestdataBinding(spark, sf_dir).ad_requests(), path)
-    return S.load_table(spark, path, "ad_requests")
+    return S.load_table(spark, path, "ad_requests", lengths={})
 
 
 @register("csv_round_trip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -245,6 +246,46 @@ for _key, _types in {
     register(_key, _check_sql(_types))(_dq(_types))
 
 
+def _failing_sql() -> str:
+    """The failing rows of every check, one SELECT each."""
+    def joined(cols):
+        return ("concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+                + ")") if cols else "''"
+
+    sels = []
+    for model, spec in quality.CHECKS.items():
+        key = joined(failures.key_columns(model, spec))
+        one = (f"SELECT '{model}' AS model, '{{t}}' AS check_name, '{{c}}' AS column_name, {key} AS "
+               f"row_key, {{v}} AS value, CAST(1 AS BIGINT) AS n_rows FROM {model} WHERE {{w}}")
+        many = (f"SELECT '{model}', '{{t}}', '{{c}}', CAST(NULL AS VARCHAR), {{v}}, count(*) "
+                f"FROM {model} WHERE {{w}} GROUP BY {{g}} HAVING {{h}}")
+        text = "CAST({} AS VARCHAR)".format
+        sels += [one.format(t=quality.NN, c=c, v="CAST(NULL AS VARCHAR)", w=f"{c} IS NULL")
+                 for c in spec.get(quality.NN, [])]
+        for c, (lo, hi) in spec.get(quality.AR, {}).items():
+            conds = ([f"{c} < {lo}"] if lo is not None else []) + \
+                    ([f"{c} > {hi}"] if hi is not None else [])
+            sels.append(one.format(t=quality.AR, c=c, v=text(f"CAST({c} AS DECIMAL(38,6))"),
+                                   w=" OR ".join(conds)))
+        for c, (parent, pcol) in spec.get(quality.FK, {}).items():
+            sels.append(one.format(t=quality.FK, c=c, v=text(c), w=f"{c} NOT IN (SELECT {pcol} "
+                                   f"FROM {parent} WHERE {pcol} IS NOT NULL)"))
+        sels += [many.format(t=quality.U, c=c, v=text(c), w=f"{c} IS NOT NULL", g=c, h="count(*) > 1")
+                 for c in spec.get(quality.U, [])]
+        sels += [many.format(t=quality.UC, c=",".join(cols), v=joined(cols), w="true",
+                             g=", ".join(cols), h="count(*) > 1") for cols in spec.get(quality.UC, [])]
+        for c, values in spec.get(quality.AV, {}).items():
+            lst = ", ".join(f"'{v}'" for v in values)
+            sels.append(many.format(t=quality.AV, c=c, v=text(c), w=f"{c} NOT IN ({lst})", g=c,
+                                    h="true"))
+    return P("\nUNION ALL\n".join(sels))
+
+
+@register("dq_failing_rows", _failing_sql())
+def _dq_failing_rows(spark, sf_dir):
+    return failures.failing_rows(wh(spark, sf_dir).model)
+
+
 # --------------------------------------------------------------------------
 # reconciliation
 # --------------------------------------------------------------------------

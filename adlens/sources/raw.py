@@ -44,7 +44,8 @@ def within_length(column: str, length: int) -> F.Column:
                   F.left(c, F.lit(length))).otherwise(c)
 
 
-def load_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+def load_table(spark: SparkSession, path: str, table: str,
+               lengths: dict[str, int] | None = None) -> DataFrame:
     """Checked load of one raw table.
 
     Every column of every row is parsed once and written as a typed parquet
@@ -52,11 +53,11 @@ def load_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     declared precision, a text longer than its column (blanks past the end are cut
     off), a blank value (all raw columns are required) or a repeated primary key
     fails the load. Only the written table is handed out, so no later projection
-    can skip the checks.
+    can skip the checks. ``lengths``: of the columns, in place of the declared ones.
     """
     from adlens.session import scratch_path
     out = scratch_path(spark, f"load_{table}")
-    limits = RAW_LENGTHS[table]
+    limits = RAW_LENGTHS[table] if lengths is None else lengths
     df = read_csv_typed(spark, path, table)
     df.select(*[within_length(c, limits[c]).alias(c) if c in limits else F.col(c)
                 for c in df.columns]).write.mode("overwrite").parquet(out)

@@ -66,7 +66,14 @@ def test_full_build_reports_the_known_data_breaches(spark, sf_small):
         ("mart_campaign_performance", "accepted_range", "budget_pacing_ratio"),
     }
     assert result.reconciliations.filter("failing_rows > 0").count() == 0
-    assert spark.read.parquet(f"{out}/fct_campaign_daily").count() > 0
+    from adlens.plans.publish import published
+    tables = published(spark, out)
+    assert tables["fct_campaign_daily"].count() > 0
+    listed = {(r.model, r.check_name, r.column_name): r["count"] for r in tables[
+        "dq_failing_rows"].groupBy("model", "check_name", "column_name").count().collect()}
+    assert listed == {(r.model, r.check_name, r.column_name): r.failures
+                      for r in result.checks.filter("failures > 0").collect()}
+    assert tables["recon_failing_rows"].count() == 0
     from adlens.operators.quality import assert_clean
     with pytest.raises(AssertionError, match="elapsed_days"):
         assert_clean(result.checks)
