@@ -9,7 +9,8 @@ its diagonals. An item's commonest q-grams are not looked up, and its bound is
 less by their number. The filter loses no match within the budget.
 
 The benchmark is the stated query set: it is cut into blocks of bounded size,
-and each block is one map over whole texts, without a shuffle.
+and each block is one map over whole texts, without a shuffle. Of several blocks
+one at a time is sent out; its matches are written before the next.
 """
 
 from __future__ import annotations
@@ -21,15 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import map_texts, packed, read
+from adlens.llm.common import Shared, map_texts, packed, read, save
 
 Q = 5
 EDIT_RATE = 0.15         # edits allowed, as a share of the item's characters
 LEAST_SHARED = 4         # q-grams: a short item's budget shrinks until it needs these
 LOOKED_UP = 3            # a part of the q-grams needed, one in so many, must be rare ones
-HITS_AT_ONCE = 1 << 18   # shared q-grams counted at once
+HITS_AT_ONCE = 1 << 16   # shared q-grams counted at once
 BLOCK_CHARS = 2_000_000  # characters of one block of items
-FILTER_BITS = 22
+CELLS_A_HIT = 16         # bands are counted in a dense table of at most so many cells
+INDEX_BITS = 20          # leading bits of a hash that find its postings
 CANDIDATES_AT_ONCE = 256
 
 # lower case for the code points below; beyond them only equal characters match
@@ -99,12 +101,14 @@ class Items:
     edits: np.ndarray
     needed: np.ndarray
     least: np.ndarray
-    own: list[tuple[np.ndarray, np.ndarray]]
+    own: tuple[np.ndarray, np.ndarray]
     hashes: np.ndarray
     starts: np.ndarray
     item: np.ndarray
-    offset: np.ndarray
-    present: np.ndarray
+    shift: np.ndarray        # of a posting: length less offset, and a half
+    per_band: np.ndarray     # of an item: bands a diagonal
+    slot: np.ndarray         # of leading bits: the first hash that has them, or -1
+    deepest: int             # most hashes of one slot
     short: dict[int, tuple[np.ndarray, np.ndarray]]
     q: int
 
@@ -129,8 +133,6 @@ class Items:
         nth = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         looked_up = order[nth >= np.maximum(needed - least, 0)[item[order]]]
         order = looked_up[np.argsort(hashes[looked_up], kind="stable")]
-        present = np.zeros(1 << FILTER_BITS, bool)
-        present[hashes[order] >> np.uint32(32 - FILTER_BITS)] = True
         # items of fewer than q characters: their hashes by length, sorted
         short = {}
         for m in range(1, q):
@@ -139,31 +141,42 @@ class Items:
                 own = np.concatenate([gram_hashes(codes[i], m) for i in rows])
                 by = np.argsort(own, kind="stable")
                 short[m] = own[by], rows[by]
-        own = []
-        for part in parts:
-            by = np.argsort(part, kind="stable")
-            own.append((part[by], by))
+        # all q-grams of all items, sorted by item and hash
+        keys = (item.astype(np.uint64) << np.uint64(32)) | hashes
+        by = np.argsort(keys, kind="stable")
+        own = keys[by], offset[by]
         distinct, starts = np.unique(hashes[order], return_index=True)
+        lengths = np.array([len(c) for c in codes], np.int64)
+        slot = np.full(1 << INDEX_BITS, -1, np.int32)
+        lead = (distinct >> np.uint32(32 - INDEX_BITS)).astype(np.int64)
+        slot[lead[::-1]] = np.arange(len(distinct), dtype=np.int32)[::-1]
+        deepest = int(np.bincount(lead).max(initial=1)) if len(lead) else 1
         return cls(ids, codes, edits, needed, least, own, distinct,
                    np.append(starts, len(order)), item[order].astype(np.int32),
-                   offset[order].astype(np.int32), present, short, q)
+                   (lengths[item[order]] - offset[order] + 0.5).astype(np.float32),
+                   1.0 / (edits + 1),
+                   slot, deepest, short, q)
 
     def regions(self, low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """(doc, item, first diagonal, last diagonal) of the runs of bands that
         share enough q-grams; diagonals relative to the document."""
         grams = gram_hashes(low, self.q)
-        at = np.flatnonzero(self.present[grams >> np.uint32(32 - FILTER_BITS)])
-        kind = np.searchsorted(self.hashes, grams[at])
-        known = kind < len(self.hashes)
-        known[known] = self.hashes[kind[known]] == grams[at[known]]
+        kind = self.slot[grams >> np.uint32(32 - INDEX_BITS)]
+        at = np.flatnonzero(kind >= 0)
+        kind, wanted = kind[at], grams[at]
+        known = self.hashes[kind] == wanted if len(at) else np.zeros(0, bool)
+        for _ in range(self.deepest - 1):
+            other = np.flatnonzero(~known)
+            kind[other] = np.minimum(kind[other] + 1, len(self.hashes) - 1)
+            known[other] = self.hashes[kind[other]] == wanted[other]
         at, first = at[known], self.starts[kind[known]]
         count = self.starts[kind[known] + 1] - first
-        doc = np.searchsorted(offsets, at, "right") - 1
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[at]
         whole = at + self.q <= offsets[doc + 1]  # not across two documents
         at, first, count, doc = at[whole], first[whole], count[whole], doc[whole]
         if not len(at):
             return (np.zeros(0, np.int64),) * 4
-        lengths = np.array([len(c) for c in self.codes], np.int64)
+        lengths = self.lengths()
         # whole documents, or stretches of a long one that overlap by the longest match
         span = int((lengths + self.edits).max())
         ends = np.cumsum(count)
@@ -197,51 +210,91 @@ class Items:
                doc: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         """The regions of some q-grams: their places in the document, their first
         postings and how many of these there are."""
-        hit = np.repeat(np.arange(len(place)), count)
-        post = np.arange(len(hit)) + np.repeat(first - np.cumsum(count) + count, count)
-        item = self.item[post]
-        bands = int((place.max() + lengths.max()) // (self.edits.min() + 1)) + 3
+        items = len(self.codes)
+        own = doc - doc[0]
+        # each document has as many bands of an item as its last place needs
+        top = np.zeros(int(own[-1]) + 1, np.int64)
+        np.maximum.at(top, own, place)
+        bands = ((top[:, None] + lengths) // (self.edits + 1) + 3).ravel()
+        base = np.cumsum(bands) - bands + 1
+        cells = int(base[-1] + bands[-1])
         # narrow numbers where they do, for speed
-        narrow = (int(doc[-1] - doc[0]) + 1) * len(self.codes) * bands < 1 << 31
-        kind = np.int32 if narrow else np.int64
-        width = (self.edits + 1).astype(kind)[item]
-        band = (place.astype(kind)[hit] - self.offset[post] + lengths.astype(kind)[item])
-        band, rest = band // width, band % width
-        base = ((doc - doc[0]) * (len(self.codes) * bands) + 1).astype(kind)
-        key = base[hit] + (np.arange(len(self.codes)) * bands).astype(kind)[item] + band
-        key, shared = np.unique(np.concatenate([key, key[rest < width - 1] - 1]),
-                                return_counts=True)
-        key = key.astype(np.int64) + int(doc[0]) * len(self.codes) * bands
-        pair, band = key // bands, key % bands
-        good = shared >= self.least[pair % len(self.codes)]
-        pair, band = pair[good], band[good]
-        if not len(pair):
+        kind = np.int32 if cells < 1 << 31 else np.int64
+        post = np.arange(int(count.sum()), dtype=np.int32)
+        post += np.repeat((first - np.cumsum(count) + count).astype(np.int32), count)
+        band = np.repeat(place.astype(np.float64), count)
+        band += self.shift[post]
+        pair = self.item[post]
+        band *= self.per_band[pair]
+        if len(top) > 1:
+            pair += np.repeat((own * items).astype(np.int32), count)
+        key = base.astype(kind)[pair]
+        key += band.astype(kind)
+        # a band takes the cells of two, so that one of them holds all of a match
+        if cells <= CELLS_A_HIT * HITS_AT_ONCE:
+            shared = np.bincount(key, minlength=cells + 1)
+            shared[:-1] += shared[1:]
+            key = np.flatnonzero(shared >= max(1, int(self.least.min())))
+            shared = shared[key]
+        else:
+            key, shared = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        pair = np.searchsorted(base, key + 1, "right") - 1  # the first key of a pair is base - 1
+        own, item = np.divmod(pair, items)
+        band = key - base[pair] + 1
+        good = shared >= self.least[item]
+        own, item, band, pair, key = own[good], item[good], band[good], pair[good], key[good]
+        if not len(key):
             return (np.zeros(0, np.int64),) * 4
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (band[1:] != band[:-1] + 1)
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1] + 1) | (pair[1:] != pair[:-1])
         begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(pair)) - 1
-        doc, item = pair[begin] // len(self.codes), pair[begin] % len(self.codes)
+        end = np.append(begin[1:], len(key)) - 1
+        item = item[begin]
         width = self.edits[item] + 1
         low_d = (band[begin] - 1) * width - lengths[item]
         high_d = band[end] * width + self.edits[item] - lengths[item]
-        return doc, item, low_d, high_d
-
-    def enough(self, i: int, grams: np.ndarray, low_d: int, high_d: int) -> bool:
-        """Whether all q-grams of item i, the commonest too, reach its bound in a
-        band of the region; ``grams``: those of the document."""
-        hashes, offset = self.own[i]
-        start = max(0, low_d)
-        grams = grams[start:max(start, high_d + len(self.codes[i]))]
-        first = np.searchsorted(hashes, grams, "left")
-        count = np.searchsorted(hashes, grams, "right") - first
-        hit = np.repeat(np.arange(len(grams)), count)
-        post = np.arange(len(hit)) + np.repeat(first - np.cumsum(count) + count, count)
-        diagonal = hit + start - offset[post]
-        diagonal = np.sort(diagonal[(diagonal >= low_d) & (diagonal <= high_d)])
-        n = int(self.needed[i])
-        return len(diagonal) >= n and bool(
-            (diagonal[n - 1:] - diagonal[:len(diagonal) - n + 1] <= self.edits[i]).any())
+        return own[begin] + doc[0], item, low_d, high_d
+
+    def enough(self, grams: np.ndarray, begin: np.ndarray, end: np.ndarray, item: np.ndarray,
+               low_d: np.ndarray, high_d: np.ndarray) -> np.ndarray:
+        """Whether all q-grams of each region's item, the commonest too, reach its
+        bound in a band of the region; the document's own q-grams are those of
+        ``grams`` from begin to end."""
+        keys, offset = self.own
+        lengths = self.lengths()
+        start = begin + np.maximum(0, low_d)
+        size = np.maximum(0, np.minimum(end, begin + high_d + lengths[item]) - start)
+        out = np.zeros(len(item), bool)
+        ends = np.cumsum(size)
+        a = 0
+        while a < len(item):  # some regions at a time
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] - size[a] + HITS_AT_ONCE, "right")))
+            of = np.repeat(np.arange(a, b), size[a:b])
+            at = np.arange(len(of)) + np.repeat(
+                start[a:b] - np.cumsum(size[a:b]) + size[a:b], size[a:b])
+            key = (item[of].astype(np.uint64) << np.uint64(32)) | grams[at]
+            first = np.searchsorted(keys, key, "left")
+            known = np.flatnonzero(first < len(keys))
+            known = known[keys[first[known]] == key[known]]
+            of, at, first = of[known], at[known], first[known]
+            count = np.searchsorted(keys, key[known], "right") - first
+            hit = np.repeat(np.arange(len(of)), count)
+            post = np.arange(len(hit)) + np.repeat(first - np.cumsum(count) + count, count)
+            of = of[hit]
+            diagonal = at[hit] - begin[of] - offset[post]
+            inside = (diagonal >= low_d[of]) & (diagonal <= high_d[of])
+            of, diagonal = of[inside], diagonal[inside]
+            order = np.lexsort((diagonal, of))
+            of, diagonal = of[order], diagonal[order]
+            # as many as needed, the last within the budget of the first
+            last = np.arange(len(of)) + self.needed[item[of]] - 1
+            good = np.flatnonzero(last < len(of))
+            last = last[good]
+            good = good[(of[last] == of[good])
+                        & (diagonal[last] - diagonal[good] <= self.edits[item[of[good]]])]
+            out[of[good]] = True
+            a = b
+        return out
 
     def exact(self, low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item, position) of the items that are shorter than a q-gram."""
@@ -261,32 +314,63 @@ class Items:
             places.append(at[same])
         return np.concatenate(items), np.concatenate(places)
 
-    def align(self, i: int, low: np.ndarray, begin: np.ndarray, end: np.ndarray,
+    def verbatim(self, item: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray,
+                 low_d: np.ndarray, high_d: np.ndarray) -> np.ndarray:
+        """The first diagonal on which each row's document holds its item without
+        an edit; the document's length where there is none."""
+        out = end - begin
+        for n, i in enumerate(item):
+            pattern = self.codes[i]
+            a = begin[n] + max(0, low_d[n])
+            text = low[a:min(end[n], begin[n] + high_d[n] + len(pattern))]
+            if len(text) >= len(pattern):
+                at = np.flatnonzero(text[:len(text) - len(pattern) + 1] == pattern[0])
+                for p in at.tolist():
+                    if np.array_equal(text[p:p + len(pattern)], pattern):
+                        out[n] = a + p - begin[n]
+                        break
+        return out
+
+    def lengths(self) -> np.ndarray:
+        return np.array([len(c) for c in self.codes], np.int64)
+
+    def align(self, item: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray,
               low_d: np.ndarray, high_d: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Least edits between item i and any stretch of each document that
+        """Least edits between each row's item and any stretch of its document that
         stays within its diagonals, and the stretch (start and end)."""
-        pattern = self.codes[i]
+        sizes = np.array([len(self.codes[i]) for i in item], np.int64)
+        order = np.argsort(-sizes, kind="stable")  # rows drop out at the end
+        sizes, begin, end = sizes[order], begin[order], end[order]
+        low_d, high_d = low_d[order], high_d[order]
+        pattern = np.zeros((len(item), int(sizes[0])), np.uint32)
+        for n, i in enumerate(item[order]):
+            pattern[n, :sizes[n]] = self.codes[i]
         width = int((high_d - low_d).max()) + 1
         unit = np.int64(1 << 32)
         step = np.arange(width, dtype=np.int64) * unit
         # a cell is edits * unit + the diagonal it began on
-        cells = np.tile(np.arange(width, dtype=np.int64), (len(begin), 1))
+        cells = np.tile(np.arange(width, dtype=np.int64), (len(item), 1))
         barred = low_d[:, None] + np.arange(width) > high_d[:, None]
         cells[barred] = unit * (1 << 20)
         pad = np.append(low, np.uint32(0xFFFFFFFF))
-        for n, c in enumerate(pattern):
-            at = begin[:, None] + low_d[:, None] + np.arange(width) + n
-            outside = (at < begin[:, None]) | (at >= end[:, None])
-            same = pad[np.where(outside, len(low), at)] == c
-            new = cells + np.where(same, 0, unit)
-            new[:, :-1] = np.minimum(new[:, :-1], cells[:, 1:] + unit)
-            new[barred] = unit * (1 << 20)
-            cells = np.minimum.accumulate(new - step, axis=1) + step
+        place = begin[:, None] + low_d[:, None] + np.arange(width)
+        for n in range(int(sizes[0])):
+            live = int(np.searchsorted(-sizes, -n, "left"))  # rows of more than n characters
+            at = place[:live] + n
+            outside = (at < begin[:live, None]) | (at >= end[:live, None])
+            same = pad[np.where(outside, len(low), at)] == pattern[:live, n:n + 1]
+            old = cells[:live]
+            new = old + np.where(same, 0, unit)
+            new[:, :-1] = np.minimum(new[:, :-1], old[:, 1:] + unit)
+            new[barred[:live]] = unit * (1 << 20)
+            cells[:live] = np.minimum.accumulate(new - step, axis=1) + step
         best = cells.argmin(axis=1)
-        value = cells[np.arange(len(begin)), best]
+        value = cells[np.arange(len(item)), best]
         start = np.maximum(low_d + value % unit, 0)
-        stop = np.minimum(low_d + best + len(pattern), end - begin)
-        return value // unit, start, stop
+        stop = np.minimum(low_d + best + sizes, end - begin)
+        out = np.empty((3, len(item)), np.int64)
+        out[:, order] = value // unit, start, stop
+        return tuple(out)
 
 
 MATCH = "matches array<struct<item_id:{0},start:int,end:int,edits:int>>"
@@ -319,27 +403,42 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     names = [f"own_{n}" for n in range(len(keep))]
     found = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)],
                         F.col(text_col).cast("string").alias("own_text"))
+    kind = MATCH.format(id_type.simpleString())
     table = lower_table()
-    for b in range(blocks):
-        # one bounded block at a time
+    spark = docs.sparkSession
+
+    def matches_of(df: DataFrame, carried: list[str], b: int) -> tuple[DataFrame, Shared]:
         rows = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == b).orderBy(
             "item", "body").collect()
-        shared = docs.sparkSession.sparkContext.broadcast(
-            (Items.build([r["item"] for r in rows], [r["body"] for r in rows], table, q, rate),
-             table))
+        shared = Shared(spark, (Items.build([r["item"] for r in rows], [r["body"] for r in rows],
+                                            table, q, rate), table))
 
-        def scan(batch: pa.RecordBatch, shared=shared) -> dict[str, pa.Array]:
-            index, table = shared.value
+        def scan(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+            index, lower = shared.get()
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            return {"matches": pa.array(matches_in(texts, index, table), arrow_type)}
-
-        carried = [*names, "own_text"] + (["before"] if b else [])
-        found = map_texts(found, "own_text", carried,
-                          MATCH.format(id_type.simpleString()), scan)
-        joined = F.concat("before", "matches") if b else F.col("matches")
-        found = found.select(*names, "own_text", joined.alias("before"))
-    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names)],
-                        F.col("before").alias("matches"))
+            return {"matches": pa.array(matches_in(texts, index, lower), arrow_type)}
+
+        return map_texts(df, "own_text", carried, kind, scan), shared
+
+    if blocks == 1:
+        found = matches_of(found, names, 0)[0]
+    else:
+        base = save(found.withColumn("nth", F.monotonically_increasing_id()), "leak_texts")
+        parts = []
+        for b in range(blocks):  # one bounded block at a time
+            got, shared = matches_of(base, ["nth"], b)
+            parts.append(save(got.where(F.size("matches") > 0).withColumn("b", F.lit(b)),
+                              "leak_matches"))
+            shared.destroy()
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionAll(part)
+        by_row = rows.groupBy("nth").agg(F.flatten(F.transform(F.sort_array(F.collect_list(
+            F.struct("b", "matches"))), lambda x: x["matches"])).alias("matches"))
+        none = F.array().cast(by_row.schema["matches"].dataType)
+        found = base.join(by_row, "nth", "left").withColumn(
+            "matches", F.coalesce("matches", none))
+    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "matches")
 
 
 def arrow_type_of(kind):
@@ -352,20 +451,22 @@ def matches_in(texts: list[str], index: Items, table: np.ndarray) -> list[list[d
     low, place, offsets = normalise(texts, table)
     doc, item, low_d, high_d = index.regions(low, offsets)
     grams = gram_hashes(low, index.q)
-    keep = np.array([index.enough(i, grams[offsets[d]:max(offsets[d], offsets[d + 1] - index.q + 1)],
-                                  x, y) for d, i, x, y in zip(doc, item, low_d, high_d)], bool)
+    last = np.maximum(offsets[doc], offsets[doc + 1] - index.q + 1)
+    keep = index.enough(grams, offsets[doc], last, item, low_d, high_d)
     doc, item, low_d, high_d = doc[keep], item[keep], low_d[keep], high_d[keep]
-    for i in np.unique(item):
-        rows = np.flatnonzero(item == i)
-        for at in range(0, len(rows), CANDIDATES_AT_ONCE):
-            r = rows[at:at + CANDIDATES_AT_ONCE]
-            begin, end = offsets[doc[r]], offsets[doc[r] + 1]
-            edits, start, stop = index.align(i, low, begin, end, low_d[r], high_d[r])
-            for k in np.flatnonzero((edits <= index.edits[i]) & (stop > start)):
-                a, b = begin[k] + start[k], begin[k] + stop[k] - 1
-                out[doc[r[k]]].append({
-                    "item_id": index.ids[i], "start": int(place[a]),
-                    "end": int(place[b]) + 1, "edits": int(edits[k])})
+    begin, end = offsets[doc], offsets[doc + 1]
+    start = index.verbatim(item, low, begin, end, low_d, high_d)
+    edits, stop = np.zeros(len(item), np.int64), start + index.lengths()[item]
+    rest = np.flatnonzero(start >= end - begin)
+    for a in range(0, len(rest), CANDIDATES_AT_ONCE):
+        k = rest[a:a + CANDIDATES_AT_ONCE]
+        edits[k], start[k], stop[k] = index.align(item[k], low, begin[k], end[k], low_d[k],
+                                                  high_d[k])
+    good = np.flatnonzero((edits <= index.edits[item]) & (stop > start))
+    for k in good[np.argsort(item[good], kind="stable")]:
+        a, b = begin[k] + start[k], begin[k] + stop[k] - 1
+        out[doc[k]].append({"item_id": index.ids[item[k]], "start": int(place[a]),
+                            "end": int(place[b]) + 1, "edits": int(edits[k])})
     item, at = index.exact(low, offsets)
     for i, a in zip(item, at):
         out[np.searchsorted(offsets, a, "right") - 1].append({

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from adlens.llm import (components, decontamination, jaccard, packing, repeats, sharding, topk)
 from adlens.llm.catalog import ORACLE_SQL, QUERIES
@@ -229,6 +230,22 @@ def test_short_items_match_exactly():
         {"item_id": 1, "start": 6, "end": 8, "edits": 0}]
 
 
+def test_blocks_of_a_benchmark_give_the_same(spark):
+    rng = random.Random(11)
+    words = [f"{w}{n}" for n in range(60) for w in ("alpha", "beta")]
+    items = [(n, " ".join(rng.choice(words) for _ in range(25))) for n in range(12)]
+    texts = ["no item here at all", None, ""]
+    for n in range(40):
+        texts.append(" ".join(["before", *(items[rng.randrange(12)][1] for _ in range(n % 3)), "after"]))
+    docs = frame(spark, texts)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = {r.doc_id: r.matches for r in decontamination.find_leaks(docs, bench).collect()}
+    cut = decontamination.find_leaks(docs, bench, block_chars=500).collect()
+    assert len(cut) == len(texts) and sum(map(len, whole.values())) > 20
+    for r in cut:
+        assert sorted(r.matches) == sorted(whole[r.doc_id])
+
+
 @pytest.mark.parametrize("hits", [1, 60, 1 << 18])
 def test_leaks_of_long_texts_in_stretches(monkeypatch, hits):
     monkeypatch.setattr(decontamination, "HITS_AT_ONCE", hits)
@@ -320,7 +337,7 @@ def test_top_k(spark):
     vectors[100:200] = vectors[7]  # a third are one vector: ties by id
     rows = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)],
                                  "id long, v array<long>")
-    got = topk.top_k(rows, rows.where("id % 50 = 0"), 5, shard_vectors=40, query_block=3).collect()
+    got = topk.top_k(rows, F.col("id") % 50 == 0, 5, shard_vectors=40, query_block=3).collect()
     scores = vectors @ vectors.T
     for q in range(0, 300, 50):
         want = sorted(((-scores[q, j], j) for j in range(300) if j != q))[:5]
@@ -328,6 +345,14 @@ def test_top_k(spark):
         assert mine == [(n + 1, j, -s) for n, (s, j) in enumerate(want)]
 
 
+def test_top_k_keeps_repeated_rows(spark):
+    data = [(0, [1.0]), (1, [1.0]), (1, [1.001]), (2, [0.5])]
+    rows = topk.quantised(spark.createDataFrame(data, "vec_id long, v array<double>"),
+                          "vec_id", "v")
+    got = topk.top_k(rows, F.col("id") % 50 == 0).orderBy("rank").collect()
+    assert [tuple(r) for r in got] == [(0, 1, 1, 65536), (0, 2, 1, 65536), (0, 3, 2, 32768)]
+
+
 def test_sql(spark):
     from tests.oracle_compare import compare
     sf = "/root/testdata/sf0.01"
