@@ -571,6 +571,7 @@ def _linked_rows(docs: DataFrame, percent: int, words: int, text_col: str, id_co
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classes of all ``documents``, by ``link_documents``."""
     return link_documents(read(spark, sf_dir, "documents"))
 
 

@@ -143,6 +143,7 @@ def pack_documents(counts: DataFrame, capacities: tuple[int, ...] = CAPACITIES,
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequences that hold all ``documents``, by ``packed_sequences``."""
     return pack_documents(token_counts(read(spark, sf_dir, "documents")))
 
 

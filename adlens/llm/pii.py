@@ -152,6 +152,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data in all ``documents``, by ``find_pii``; one row a document."""
     found = find_pii(read(spark, sf_dir, "documents"))
     base = list(BASE_KINDS)
     return found.select(

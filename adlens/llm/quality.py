@@ -116,7 +116,10 @@ def train(x: np.ndarray, doc: np.ndarray, labels: np.ndarray, epochs: int = EPOC
     s = {k: np.zeros_like(v) for k, v in p.items()}
     cuts = np.searchsorted(doc, np.arange(len(labels) + 1))
     step = 0
-    for _ in range(epochs if len(labels) and 0 < rate_of_one < 1 else 0):
+    if not 0 < rate_of_one < 1 or not len(labels):
+        p["c"][:] = 0  # nothing to tell documents apart
+        epochs = 0
+    for _ in range(epochs):
         order = rng.permutation(len(labels))
         for at in range(0, len(order), BATCH):
             bags = order[at:at + BATCH]

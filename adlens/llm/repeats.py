@@ -464,6 +464,7 @@ def _runs(size: int, copied: bool | None, found: list | None, length: int, gram:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` without repeated passages, by ``remove_repeats``."""
     got = remove_repeats(read(spark, sf_dir, "documents"))
     gone = F.aggregate("removed", F.lit(0).cast("long"),
                        lambda s, r: s + (r["end"] - r["start"]))

@@ -262,6 +262,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of all ``documents``, by ``find_secrets``; one row a document."""
     found = find_secrets(read(spark, sf_dir, "documents"))
     base = [r.kind for r in BASE_RULES]
     return found.select(

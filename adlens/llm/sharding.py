@@ -173,6 +173,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, text_col: str = "text",
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in 24 shards of near equal bytes, by ``shard_documents``."""
     got = shard_documents(read(spark, sf_dir, "documents"))
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                       "slot", F.lit(None).cast("int").alias("grown_shard"))

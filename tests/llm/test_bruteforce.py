@@ -280,6 +280,27 @@ def test_pack(lengths):
         assert sizes[b] == min(c for c in caps if c >= used[b])
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60))
+def test_pack_takes_the_tightest_bin(lengths):
+    caps = (16, 32, 64)
+    bins, offsets, sizes, used = packing.pack(np.array(lengths, int), caps)
+    room, left = {}, sum(lengths)
+    # replay the placements: longest first, equal ones in the order given
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        n = lengths[i]
+        fitting = [r for r in room.values() if r >= n]
+        if fitting:
+            assert room[bins[i]] == min(fitting)
+        else:
+            assert bins[i] == len(room)
+            room[bins[i]] = min((c for c in caps if c >= n), key=lambda c: (
+                packing.cost(c) / min(c, left), c))
+        room[bins[i]] -= n
+        left -= n
+    assert len(sizes) == len(used) == len(room)
+
+
 def test_packing_of_the_table(spark, sf_small):
     got = QUERIES["op2_best_fit_packing"](spark, sf_small).toPandas()
     whole = got.groupby("doc_id")["n_tokens"].sum()
@@ -329,6 +350,21 @@ def test_sharding_of_the_table(spark, sf_small):
         assert sorted(slots) == list(range(len(slots)))
 
 
+def test_sharding_is_as_even_as_differencing_the_whole(spark):
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op10_sharding"](spark, sf).toPandas()
+    sums = got.groupby("shard")["size"].sum()
+    groups = got.groupby("text_crc32")["size"].sum().tolist()
+    # the plain method, all groups at once, on plain lists
+    parts = [[s] + [0] * 23 for s in groups]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: max(p) - min(p))
+        a, b = sorted(parts.pop(), reverse=True), sorted(parts.pop())
+        parts.append([x + y for x, y in zip(a, b)])
+    assert len(sums) == 24 and sums.sum() == sum(groups)
+    assert sums.max() - sums.min() <= max(parts[0]) - min(parts[0]) + 1
+
+
 # -- top k ---------------------------------------------------------------------
 
 def test_top_k(spark):
