@@ -73,11 +73,17 @@ def audit_session_window(sessions: DataFrame, start, end) -> DataFrame:
 
 
 def audit_orphan_requests(requests: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Every request belongs to a known session (V7), by left-anti join."""
-    orphans = requests.select("session_id").join(
-        broadcast_if_small(sessions).select("session_id"), "session_id", "left_anti")
+    """Every request belongs to a known session (V7), by left-anti join.
+
+    Requests are counted by session before the join, each task its own first, so
+    a session of very many requests is one row of it. A request without a
+    session is an orphan.
+    """
+    per = requests.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    orphans = per.join(broadcast_if_small(sessions).select("session_id"),
+                       "session_id", "left_anti")
     total = requests.agg(F.count(F.lit(1)).alias("checked"))
-    n = orphans.agg(F.count(F.lit(1)).alias("violations"))
+    n = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
     return with_totals(total, n).withColumn("passed", F.col("violations") == 0)
 
 

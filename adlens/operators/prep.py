@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from adlens import constants as C
 from adlens.functions.exprs import col, date_key, lookup, micros, pick, round_ratio
 from adlens.functions.joins import literal_table, with_totals
+from adlens.functions.running import running_total
 from adlens.sources.schemas import MONEY_SUM
 
 UNIT_BITS = 60          # allocation draws are 60-bit integers in [0, 2^60)
 BUCKET_BITS = 10        # 1024 equi-join buckets per day for interval lookup
+NO_DAY = -(1 << 31)     # stands for a null day, long before any date
+SLICE_BLOCKS = 64       # blocks of campaigns in which a day's budgets are added up
 
 
 def campaign_status(flight_start: str | Column, flight_end: str | Column,
@@ -86,24 +89,63 @@ def expand_sessions(sessions: DataFrame, spark: SparkSession | None = None) -> D
 
 
 def flight_days_exploded(campaigns: DataFrame) -> DataFrame:
-    """One row per campaign per day of its flight (inclusive both ends)."""
-    return campaigns.select(
+    """One row per campaign per day of its flight (inclusive both ends). A flight
+    without a start or an end, or that ends before it starts, has no days."""
+    return campaigns.filter("flight_start <= flight_end").select(
         "campaign_id", "total_budget_usd",
         F.explode(F.sequence("flight_start", "flight_end")).alias("day"))
 
 
+def _asked_days(days: DataFrame) -> DataFrame:
+    """(asked): the distinct given days as numbers, a null day as ``NO_DAY``. At
+    most one row a calendar date; never null, so that no reader adds a filter
+    and all of them share one scan of ``days``."""
+    return days.select(F.coalesce(F.unix_date(F.col("day").cast("date")),
+                                  F.lit(NO_DAY)).alias("asked")).distinct()
+
+
+def uncovered_days(days: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """The given days on which no campaign is in flight, once each.
+
+    A sweep over the flights' ends: each flight opens on its first day and
+    closes after its last, so the openings less the closings up to a day are
+    the flights open on it. They are summed by date before the sweep, which
+    therefore sees at most two rows a calendar date, however many campaigns
+    there are. A null day is never covered.
+    """
+    return _uncovered(_asked_days(days), campaigns)
+
+
+def _uncovered(asked: DataFrame, campaigns: DataFrame) -> DataFrame:
+    first, after = F.unix_date("flight_start"), F.unix_date(F.date_add("flight_end", 1))
+    ends = F.array(F.struct(first.alias("at"), F.lit(1).alias("opened")),
+                   F.struct(after.alias("at"), F.lit(-1).alias("opened")))
+    steps = (campaigns.filter("flight_start <= flight_end").select(F.inline(ends))
+             .groupBy("at").agg(F.sum("opened").alias("opened")).withColumn("question", F.lit(False)))
+    questions = asked.select(F.col("asked").alias("at"), F.lit(0).cast("long").alias("opened"),
+                             F.lit(True).alias("question"))
+    sweep = Window.orderBy("at", "question").rowsBetween(Window.unboundedPreceding,
+                                                         Window.currentRow)
+    swept = steps.unionAll(questions).withColumn("open", F.sum("opened").over(sweep))
+    return swept.filter("question AND open = 0").select(
+        F.when(F.col("at") != NO_DAY, F.date_from_unix_date("at")).alias("day"))
+
+
 def in_flight_candidates(days: DataFrame, campaigns: DataFrame, strict: bool = True) -> DataFrame:
     """Campaigns in flight on each given day.
 
-    Range containment flight_start <= day <= flight_end is turned into an
-    equi-join by exploding each flight into its days. The join is keyed by the
-    day, as the budget windows of ``weighted_allocation`` are, so they reuse
-    its shuffle. A day without any campaign in flight keeps one row with a null
-    campaign; with ``strict`` it fails the call (``require_covered``).
+    Range containment flight_start <= day <= flight_end without a range join
+    and without a shuffle of the result: the given days, at most one row a
+    calendar date, are broadcast to the campaigns, each exploded into the days
+    of its flight where it lies. A day without any campaign in flight
+    (``uncovered_days``) keeps one row with a null campaign; with ``strict`` it
+    fails the call (``require_covered``).
     """
-    d = days.select(F.col("day").cast("date").alias("day")).distinct()
-    out = d.join(flight_days_exploded(campaigns), "day", "left").select(
+    asked = _asked_days(days)
+    inside = flight_days_exploded(campaigns).join(
+        F.broadcast(asked), F.unix_date("day") == F.col("asked")).select(
         "day", "campaign_id", "total_budget_usd")
+    out = inside.unionByName(_uncovered(asked, campaigns), allowMissingColumns=True)
     if strict:
         require_covered(out)
     return out
@@ -131,17 +173,16 @@ def allocation_slices(candidates: DataFrame) -> DataFrame:
     [lo, hi) of [0, 2^60) proportional to their budgets.
 
     No positive budget gets an empty slice while a day's budgets sum to at most
-    2^60 cents; a budget of nothing gets none.
+    2^60 cents; a budget of nothing gets none. Campaigns are once a day. The
+    budgets before each one are a running total over blocks of campaigns, so a
+    day of very many campaigns is not one task's.
     """
     unit = 1 << UNIT_BITS
     cents = (F.col("total_budget_usd") * 100).cast("long")
-    w = Window.partitionBy("day").orderBy("campaign_id")
     c = candidates.filter("campaign_id IS NOT NULL").select(
         "day", "campaign_id", cents.alias("cents")).filter("cents > 0")
-    c = c.select("*",
-                 F.sum("cents").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("lo_c"),
-                 F.sum("cents").over(Window.partitionBy("day")).alias("day_total"))
-    lo_c = F.coalesce("lo_c", F.lit(0)).cast("decimal(38,0)")
+    c = running_total(c, ["day"], "campaign_id", "cents", "lo_c", "day_total", SLICE_BLOCKS)
+    lo_c = F.col("lo_c").cast("decimal(38,0)")
     total = F.col("day_total").cast("decimal(38,0)")
     return c.select("day", "campaign_id",
                     F.call_function("div", lo_c * F.lit(unit), total).alias("lo"),

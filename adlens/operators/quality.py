@@ -265,7 +265,8 @@ def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
       accepted-values checks to a single shuffle by (check id, key text), then
       a tiny count per check of repeated keys or of values. Partial aggregation
       collapses a hot key before that shuffle;
-    * per relationship to a large parent, a LEFT ANTI join on its key.
+    * per relationship to a large parent, a LEFT ANTI join of the key's counts
+      (a key that many rows share is one row of it).
 
     Callers at scale should hand in materialised models (``Warehouse`` with
     ``persist``) so each model is computed once.
@@ -299,10 +300,11 @@ def run_checks(resolve, models=None, types=tuple(CHECK_TYPES)) -> DataFrame:
                 if not small(parent):
                     parts.append(
                         f"SELECT {_lit(model)} AS model, {_lit(FK)} AS check_name, "
-                        f"{_lit(c)} AS column_name, count(*) AS failures "
-                        f"FROM {view(model)} AS ch LEFT ANTI JOIN "
-                        f"(SELECT {_q(pcol)} AS pk FROM {view(parent)}) AS p "
-                        f"ON ch.{_q(c)} = p.pk WHERE ch.{_q(c)} IS NOT NULL")
+                        f"{_lit(c)} AS column_name, "
+                        "CAST(coalesce(sum(ch.n), 0) AS BIGINT) AS failures "
+                        f"FROM (SELECT {_q(c)} AS fk, count(*) AS n FROM {view(model)} "
+                        f"WHERE {_q(c)} IS NOT NULL GROUP BY {_q(c)}) AS ch LEFT ANTI JOIN "
+                        f"(SELECT {_q(pcol)} AS pk FROM {view(parent)}) AS p ON ch.fk = p.pk")
         pairs = []
         for kind, column, key in _grouped_keys(spec, types):
             pairs.append(f"{len(listing)}, {key}")

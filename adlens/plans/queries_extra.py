@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from adlens import constants as C
 from adlens.functions.exprs import optional_number
 from adlens.operators import audit as V
-from adlens.operators import facts, failures, marts, prep, quality, recon, report
+from adlens.operators import facts, failures, marts, prep, quality, reach, recon, report
 from adlens.plans import oracle as O
 from adlens.plans.catalog import register, wh
 from adlens.sources import raw as S
@@ -782,3 +782,37 @@ register("viewing_summary", P(f"""
            {rr('sum(watch_seconds)', 'count(*) * 60', 2)} AS mean_session_minutes,
            count(*) AS sessions FROM viewing_sessions"""))(
     lambda spark, sf: prep.viewing_summary(_raw(spark, sf, "viewing_sessions")))
+
+
+# --------------------------------------------------------------------------
+# reach over any span, from bitmaps that merge
+# --------------------------------------------------------------------------
+
+register("reach_by_day", P("""
+    SELECT date_key, count(DISTINCT subscriber_key) AS reach
+    FROM fct_ad_impressions GROUP BY date_key"""))(
+    lambda spark, sf: (lambda w: reach.reach(reach.reach_bitmaps(
+        w.fct_ad_impressions, w.dim_subscribers, ["date_key"]), ["date_key"]))(wh(spark, sf)))
+
+register("reach_by_week", P("""
+    SELECT CAST(date_trunc('week', full_date) AS DATE) AS week_start,
+           count(DISTINCT subscriber_key) AS reach
+    FROM fct_ad_impressions JOIN dim_date_ads USING (date_key) GROUP BY 1"""))(
+    lambda spark, sf: (lambda w: reach.weekly_reach(reach.reach_bitmaps(
+        w.fct_ad_impressions, w.dim_subscribers, ["date_key"]), w.dim_date_ads))(wh(spark, sf)))
+
+register("reach_by_campaign", P("""
+    SELECT campaign_key, count(DISTINCT subscriber_key) AS reach
+    FROM fct_ad_impressions GROUP BY campaign_key"""))(
+    lambda spark, sf: (lambda w: reach.reach(reach.reach_bitmaps(
+        w.fct_ad_impressions, w.dim_subscribers, ["campaign_key", "date_key"]),
+        ["campaign_key"]))(wh(spark, sf)))
+
+register("reach_by_advertiser_week", P("""
+    SELECT c.advertiser_key, CAST(date_trunc('week', d.full_date) AS DATE) AS week_start,
+           count(DISTINCT f.subscriber_key) AS reach
+    FROM fct_ad_impressions AS f JOIN dim_campaigns AS c ON f.campaign_key = c.campaign_key
+    JOIN dim_date_ads AS d ON f.date_key = d.date_key GROUP BY 1, 2"""))(
+    lambda spark, sf: (lambda w: reach.advertiser_weekly_reach(reach.reach_bitmaps(
+        w.fct_ad_impressions, w.dim_subscribers, ["campaign_key", "date_key"]),
+        w.dim_campaigns, w.dim_date_ads))(wh(spark, sf)))

@@ -38,6 +38,41 @@ def test_in_flight_strict_fails_on_uncovered_day(spark):
     assert [(r.day, r.campaign_id) for r in rows] == [(date(2026, 1, 1), None)]
 
 
+def test_in_flight_days_against_plain_containment(spark):
+    """Gaps, one-day, overlapping, repeated, reversed and open-ended flights; asked
+    days before, between and after them, repeated and null."""
+    d = lambda n: date(2026, 1, n)
+    flights = [("a", d(3), d(5)), ("b", d(5), d(5)), ("c", d(9), d(12)), ("c2", d(9), d(12)),
+               ("rev", d(20), d(18)), ("null", None, d(25)), ("open", d(25), None)]
+    cmp = spark.createDataFrame([(c, Decimal("1"), s, e, 1) for c, s, e in flights], CAMPAIGNS)
+    asked = [None, None, *[d(n) for n in (1, 3, 5, 5, 6, 8, 9, 12, 13, 18, 19, 20, 25, 28)]]
+    days = spark.createDataFrame([(x,) for x in asked], "day date")
+    got = sorted(((r.day, r.campaign_id) for r in prep.in_flight_candidates(
+        days, cmp, strict=False).collect()), key=str)
+    want = []
+    for day in set(asked):
+        on = [c for c, s, e in flights if day and s and e and s <= day <= e]
+        want += [(day, c) for c in on or [None]]
+    assert got == sorted(want, key=str)
+    assert sorted((r.day for r in prep.uncovered_days(days, cmp).collect()), key=str) == sorted(
+        (day for day, c in want if c is None), key=str)
+    assert prep.in_flight_candidates(days.limit(0), cmp, strict=False).count() == 0
+    none = prep.in_flight_candidates(days, cmp.limit(0), strict=False).collect()
+    assert len(none) == len(set(asked)) and not any(r.campaign_id for r in none)
+
+
+def test_slices_of_a_day_of_many_campaigns_lie_end_to_end(spark):
+    n = 5000
+    cand = spark.range(n).select(
+        F.lit(date(2026, 1, 1)).alias("day"), F.concat(F.lit("c"), F.lpad("id", 6, "0")).alias("campaign_id"),
+        (F.col("id") % 97 + 1).cast("decimal(12,2)").alias("total_budget_usd")).repartition(7)
+    rows = sorted(prep.allocation_slices(cand).collect(), key=lambda r: r.campaign_id)
+    assert len(rows) == n and rows[0].lo == 0 and rows[-1].hi == 1 << prep.UNIT_BITS
+    assert all(p.hi == q.lo for p, q in zip(rows, rows[1:]))
+    total = sum(i % 97 + 1 for i in range(n))
+    assert rows[96].hi - rows[96].lo in {97 * (1 << prep.UNIT_BITS) // total + k for k in (0, 1)}
+
+
 def test_smallest_budget_keeps_its_slice(spark):
     """A cent beside ten billion dollars owns a slice of the draw range; a
     budget of nothing does not."""

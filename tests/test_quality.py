@@ -49,6 +49,22 @@ def test_planted_defects_are_counted(spark):
     assert got[("parent_t", Q.U, "pid")] == 0
 
 
+def test_orphans_of_a_large_parent_are_counted_by_row(spark, monkeypatch):
+    """A third of the rows have one lost parent; null keys pass."""
+    child = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'lost' WHEN id % 3 = 1 THEN concat('p', id % 50) END AS parent")
+    parent = spark.range(49).selectExpr("concat('p', id) AS pid")     # p49 is missing
+    spec = {"child": {Q.FK: {"parent": ("parent_t", "pid")}}, "parent_t": {Q.U: ["pid"]}}
+    frames = {"child": child, "parent_t": parent}
+    small = _report(spark, frames, spec)
+    monkeypatch.setattr(Q, "is_small", lambda df: False)
+    assert _report(spark, frames, spec) == small
+    assert small[("child", Q.FK, "parent")] == 1000 + sum(
+        i % 3 == 1 and i % 50 == 49 for i in range(3000))
+    clean = {**frames, "child": child.filter("parent = 'p1'")}
+    assert _report(spark, clean, spec)[("child", Q.FK, "parent")] == 0
+
+
 def test_assert_clean_raises_on_failure(spark):
     report = spark.createDataFrame([("m", "unique", "c", 2)],
                                    "model string, check_name string, column_name string, failures long")
