@@ -411,7 +411,7 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
     signature, that have different roots and may link; all, or a spanning forest of each signature.
 
     Large signatures are cut into blocks, and each pair of blocks is compared
-    on its own. A task gives a pair once, however many signatures it shares.
+    on its own. A pair found in several signatures is combined before the shuffle.
     """
     cut = members.withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
@@ -421,7 +421,7 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
                        "node", "root", "n", "buckets")
     sorted_rows = keyed.repartition("key").sortWithinPartitions("key", "node")
 
-    def compare(batch: pa.Table, given: set) -> pa.RecordBatch:
+    def compare(batch: pa.Table) -> pa.RecordBatch:
         key, node, root, n = (batch[c].to_numpy() for c in ("key", "node", "root", "n"))
         counts = _count_rows(batch["buckets"].combine_chunks())
         left, right, apart = near_pairs(key, root, n, counts, percent)
@@ -430,14 +430,10 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
             left, right = left[use], right[use]
         a, b = node[left], node[right]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        fresh = [p not in given for p in zip(*pairs.tolist())]
-        pairs = pairs[:, np.array(fresh, bool)]
-        given.update(zip(*pairs.tolist()))
         return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()),
                                            pa.array(pairs[1], pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given: set[tuple[int, int]] = set()
         held: list[pa.RecordBatch] = []  # the last, unfinished key
         for batch in batches:
             if not batch.num_rows:
@@ -446,10 +442,10 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
             key = table["key"].to_numpy()
             cut = int(np.searchsorted(key, key[-1]))
             if cut:
-                yield compare(table.slice(0, cut), given)
+                yield compare(table.slice(0, cut))
             held = table.slice(cut).combine_chunks().to_batches()
         if held:
-            yield compare(pa.Table.from_batches(held), given)
+            yield compare(pa.Table.from_batches(held))
 
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
