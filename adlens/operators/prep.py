@@ -20,7 +20,7 @@ from adlens.sources.schemas import MONEY_SUM
 UNIT_BITS = 60          # allocation draws are 60-bit integers in [0, 2^60)
 BUCKET_BITS = 10        # 1024 equi-join buckets per day for interval lookup
 NO_DAY = -(1 << 31)     # stands for a null day, long before any date
-SLICE_BLOCKS = 64       # blocks of campaigns in which a day's budgets are added up
+SLICE_BLOCKS = 16       # blocks of campaigns in which a day's budgets are added up
 
 
 def campaign_status(flight_start: str | Column, flight_end: str | Column,
