@@ -41,6 +41,7 @@ SECOND_LEVEL = 2
 BUCKETS = 512            # of the counts that bound a pair's difference
 COUNT_MAX = 255          # counts are cut off here, which keeps the bound valid
 GROUP_BLOCK = 4_096      # members of one signature compared in one task
+PAIRS_HELD = 1 << 18     # pairs that a comparison holds at once
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -358,24 +359,30 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * union).select("a", "b")
 
 
-def near_pairs(key, root, n, counts, percent: int) -> tuple[np.ndarray, ...]:
+def near_pairs(key, root, n, side, counts, percent: int,
+               held: int = PAIRS_HELD) -> Iterator[tuple[np.ndarray, ...]]:
     """Rows (left, right) of one key, next to one another, with different roots
-    that may link, and the lower bound of their difference."""
-    left, right, apart = [], [], []
+    that may link, and the lower bound of their difference. Rows of one ``side``
+    are not paired unless it is 0. Given in parts of about ``held`` pairs."""
+    found: list[tuple[np.ndarray, ...]] = []
+    size = 0
     live = np.arange(len(key))
     step = 1
     while len(live):
         live = live[live + step < len(key)]
         live = live[key[live] == key[live + step]]
-        a = live[root[live] != root[live + step]]
+        b = live + step
+        a = live[(root[live] != root[b]) & ((side[live] == 0) | (side[live] != side[b]))]
         least = differences(counts, a, a + step)
         good = least <= most_differences(n[a] + n[a + step], percent)
-        left.append(a[good])
-        right.append(a[good] + step)
-        apart.append(least[good])
+        found.append((a[good], a[good] + step, least[good]))
+        size += int(good.sum())
         step += 1
-    none = np.zeros(0, np.int64)
-    return tuple(np.concatenate([*x, none]) for x in (left, right, apart))
+        if size >= held:
+            yield tuple(map(np.concatenate, zip(*found)))
+            found, size = [], 0
+    if size:
+        yield tuple(map(np.concatenate, zip(*found)))
 
 
 def spanning_pairs(key, root, left, right, apart) -> np.ndarray:
@@ -411,23 +418,36 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
     signature, that have different roots and may link; all, or a spanning forest of each signature.
 
     Large signatures are cut into blocks, and each pair of blocks is compared
-    on its own. A pair found in several signatures is combined before the shuffle.
+    on its own: members of different blocks, or those within one. Pairs leave a
+    task in bounded parts; a forest takes in such a part at a time, which gives the
+    forest of all of them. A pair found in several signatures is combined before
+    the shuffle.
     """
     cut = members.withColumn("blocks", F.ceil(F.col("g") / block)).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     keyed = cut.select(F.xxhash64("sig", F.least("own", "other"),
                                   F.greatest("own", "other")).alias("key"),
-                       "node", "root", "n", "buckets")
+                       "node", "root", "n", "buckets",
+                       F.signum(F.col("own") - F.col("other")).cast("long").alias("side"))
     sorted_rows = keyed.repartition("key").sortWithinPartitions("key", "node")
 
-    def compare(batch: pa.Table) -> pa.RecordBatch:
-        key, node, root, n = (batch[c].to_numpy() for c in ("key", "node", "root", "n"))
+    def compare(batch: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, node, root, n, side = (batch[c].to_numpy()
+                                    for c in ("key", "node", "root", "n", "side"))
         counts = _count_rows(batch["buckets"].combine_chunks())
-        left, right, apart = near_pairs(key, root, n, counts, percent)
-        if spanning:
-            use = spanning_pairs(key, root, left, right, apart)
-            left, right = left[use], right[use]
+        forest: tuple[np.ndarray, ...] = ()
+        for part in near_pairs(key, root, n, side, counts, percent):
+            if not spanning:
+                yield named(node, *part[:2])
+                continue
+            pairs = tuple(map(np.concatenate, zip(forest, part))) if forest else part
+            use = spanning_pairs(key, root, *pairs)
+            forest = tuple(x[use] for x in pairs)
+        if forest:
+            yield named(node, *forest[:2])
+
+    def named(node, left, right) -> pa.RecordBatch:
         a, b = node[left], node[right]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()),
@@ -442,10 +462,10 @@ def _open_pairs(members: DataFrame, percent: int, block: int, spanning: bool) ->
             key = table["key"].to_numpy()
             cut = int(np.searchsorted(key, key[-1]))
             if cut:
-                yield compare(table.slice(0, cut))
+                yield from compare(table.slice(0, cut))
             held = table.slice(cut).combine_chunks().to_batches()
         if held:
-            yield compare(pa.Table.from_batches(held))
+            yield from compare(pa.Table.from_batches(held))
 
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 

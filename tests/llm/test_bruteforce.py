@@ -132,6 +132,37 @@ def test_linked_sets_share_a_signature(common, only_a, only_b, seed):
         assert set(sigs[owner == 0].tolist()) & set(sigs[owner == 1].tolist())
 
 
+@pytest.mark.parametrize("mixed", [False, True])
+def test_pairs_in_parts(mixed):
+    """Parts hold all pairs, and a forest that takes them in is the forest of all."""
+    rng = np.random.default_rng(11)
+    rows = 90
+    key = np.repeat([5, 9], [60, 30])
+    root = rng.integers(0, 25, rows)
+    n = np.full(rows, 200)
+    side = np.where(rng.random(rows) < 0.5, 1, -1) if mixed else np.zeros(rows, np.int64)
+    counts = np.tile(rng.integers(0, 3, jaccard.BUCKETS), (rows, 1)).astype(np.uint8)
+    for row in counts:
+        row[rng.integers(0, jaccard.BUCKETS, rng.integers(0, 60))] += 1
+    whole, = jaccard.near_pairs(key, root, n, side, counts, 85, 1 << 30)
+    parts = list(jaccard.near_pairs(key, root, n, side, counts, 85, 40))
+    assert len(parts) > 5 and max(len(p[0]) for p in parts) < 40 + rows
+    pairs = lambda p: list(zip(*(x.tolist() for x in p)))
+    assert [x for p in parts for x in pairs(p)] == pairs(whole)
+    plain = [(a, b) for a in range(rows) for b in range(a + 1, rows)
+             if key[a] == key[b] and root[a] != root[b] and (not mixed or side[a] != side[b])
+             and np.abs(counts[a].astype(int) - counts[b]).sum() <= 15 * 400 // 185]
+    assert sorted(p[:2] for p in pairs(whole)) == plain
+    forest = parts[0]
+    for part in [*parts[1:], None]:
+        use = jaccard.spanning_pairs(key, root, *forest)
+        forest = tuple(x[use] for x in forest)
+        if part:
+            forest = tuple(map(np.concatenate, zip(forest, part)))
+    use = jaccard.spanning_pairs(key, root, *whole)
+    assert sorted(pairs(forest)) == sorted(pairs(tuple(x[use] for x in whole)))
+
+
 def test_bands_cover_all_pairs_that_may_link():
     bands = jaccard.Bands(85, 3000)
     for a in range(1, 2500):
