@@ -66,6 +66,7 @@ FILL_RATE_PCT = [(70.0, BAD), (80.0, WARN), (90.0, GOOD), (95.0, WARN), (None, W
 ECPM_USD = [(8.0, BAD), (12.0, WARN), (25.0, GOOD), (None, GOOD)]
 VIEWABILITY_PCT = [(60.0, BAD), (70.0, WARN), (None, GOOD)]
 FREQUENCY_VIOLATION_PCT = [(2.0, GOOD), (5.0, WARN), (None, BAD)]
+ADS_PER_HOUR = (6, 25)
 RPSH_USD = [(0.15, BAD), (0.35, GOOD), (None, WARN)]
 PACING_STATUS_VERDICT = {
     "ON_PACE": GOOD, "OVER_PACING": WARN, "UNDER_PACING": BAD, "UNKNOWN": UNKNOWN,

@@ -119,7 +119,7 @@ def audit_request_in_session(requests: DataFrame, sessions: DataFrame) -> DataFr
 
 
 def ad_load_per_hour(requests: DataFrame, sessions: DataFrame,
-                     lo: int = 6, hi: int = 25) -> DataFrame:
+                     lo: int = C.ADS_PER_HOUR[0], hi: int = C.ADS_PER_HOUR[1]) -> DataFrame:
     """Ad requests per viewing hour, and whether it lies in [lo, hi]."""
     n = requests.agg(F.count(F.lit(1)).alias("requests"))
     secs = sessions.agg(F.sum("watch_seconds").alias("watch_seconds"))

@@ -2,7 +2,8 @@
 
 Each function returns both sides and a ``passed`` flag. Whole-table checks
 return one row (both sides are one-row aggregates); row-level checks return
-one row per checked key. ``failing(df)`` keeps the rows that did not pass.
+one row per checked key. ``failures.failing_reconciliations``
+keeps the rows that did not pass.
 """
 
 from __future__ import annotations
