@@ -137,3 +137,29 @@ def test_checkpoint_folder_when_the_session_names_none():
     assert S.ensure_checkpoint_dir(local) == first + "/ctx"     # stable afterwards
     with pytest.raises(RuntimeError):
         S.ensure_checkpoint_dir(Session("yarn"))
+
+
+@pytest.mark.parametrize("id_rows", [5, 4])
+def test_large_plain_dimension_only_filters(spark, capsys, monkeypatch, id_rows):
+    """Over the bound of a dimension its ids alone are sent; over theirs the join shuffles."""
+    small = J.is_small
+    monkeypatch.setattr(J, "ID_SET_ROWS", id_rows)
+    monkeypatch.setattr(J, "is_small", lambda df, rows=2, size=1000: small(df, rows, size))
+    fact = spark.range(50).selectExpr("id", "CAST(nullif(id % 7, 0) AS STRING) AS cid")
+    dim = spark.range(5).selectExpr("md5(CAST(id AS STRING)) AS ckey", "CAST(id AS STRING) AS cid")
+    out = J.attach_key(fact, dim, "ckey", "cid")
+    want = fact.join(dim, "cid").select(*out.columns)
+    assert sorted(out.collect()) == sorted(want.collect()) and out.count() > 0
+    plan = plan_text(out, capsys, "extended")
+    assert "LeftSemi" in plan
+    assert ("strategy=broadcast" in plan) == (id_rows == 5)
+
+
+def test_repeated_or_foreign_keys_of_a_large_dimension_still_join(spark, monkeypatch):
+    monkeypatch.setattr(J, "is_small", lambda df: False)
+    fact = spark.createDataFrame([("1", 10), ("2", 20), (None, 30), ("9", 40)], "cid string, x int")
+    for rows in ([("a", "1"), ("b", "1"), ("c", None)], [("k1", "1"), ("k2", "2")]):
+        dim = spark.createDataFrame(rows, "ckey string, cid string")
+        out = J.attach_key(fact, dim, "ckey", "cid")
+        assert sorted(out.collect()) == sorted(fact.join(dim, "cid").select(*out.columns).collect())
+        assert out.count() == 2
