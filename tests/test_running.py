@@ -100,3 +100,16 @@ def test_large_subscriber_tables_give_the_same_reach(spark, shown, monkeypatch):
     monkeypatch.setattr(reach, "is_small", lambda df: False)
     large = reach.reach(reach.reach_bitmaps(facts, subs, ["date_key"]), ["date_key"]).collect()
     assert sorted(small) == sorted(large)
+
+
+def test_sets_of_sparse_groups_are_words_aggregated_by_hash(spark, capsys):
+    """Ten groups of one subscriber each hold ten words; no sort of bitmaps."""
+    subs = spark.range(1000).selectExpr("md5(CAST(id AS STRING)) AS subscriber_key")
+    facts = spark.range(10).selectExpr("id AS date_key", "md5(CAST(id * 97 AS STRING)) AS subscriber_key")
+    words = reach.reach_bitmaps(facts, subs, ["date_key"])
+    assert dict(words.dtypes)["people"] == "bigint" and words.count() == 10
+    out = reach.reach(words, [])
+    assert out.first().reach == 10
+    capsys.readouterr()
+    out.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
