@@ -42,6 +42,21 @@ def as_number(column: str) -> Column:
     return F.col(column).cast("decimal(38,6)").cast("string")
 
 
+def _orphan_rows(model: str, spec: dict, column: str, df: DataFrame, parent: DataFrame) -> DataFrame:
+    """The rows whose key is not in a large parent. Distinct keys alone meet the
+    parent; the orphans among them, kept since they are read twice, find
+    their rows, without a shuffle of the rows while they are few."""
+    orphans = df.select(F.col(column).alias("orphan")).where("orphan IS NOT NULL").distinct().join(
+        parent, F.col("orphan") == F.col("parent"), "left_anti").cache()
+    if is_small(orphans):
+        orphans = F.broadcast(orphans)
+    return df.withColumn("row_key", joined(key_columns(model, spec))).join(
+        orphans, F.col(column) == F.col("orphan"), "left_semi").select(
+        F.lit(model).alias("model"), F.lit(FK).alias("check_name"),
+        F.lit(column).alias("column_name"), "row_key", F.col(column).cast("string").alias("value"),
+        F.lit(1).cast("long").alias("n_rows"))
+
+
 def _row_level(model: str, spec: dict, types, resolve, small) -> list[DataFrame]:
     df = resolve(model).withColumn("row_key", joined(key_columns(model, spec)))
     found, out = [], []
@@ -60,18 +75,14 @@ def _row_level(model: str, spec: dict, types, resolve, small) -> list[DataFrame]
             found.append(violation(AR, c, low | high, as_number(c)))
     if FK in types:
         for n, (c, (parent, parent_key)) in enumerate(spec.get(FK, {}).items()):
-            keys = resolve(parent).select(F.col(parent_key).alias(f"parent_{n}")).distinct()
             if small(parent):
+                keys = resolve(parent).select(F.col(parent_key).alias(f"parent_{n}")).distinct()
                 df = df.join(F.broadcast(keys), F.col(c) == F.col(f"parent_{n}"), "left")
                 found.append(violation(FK, c, F.col(c).isNotNull() & F.col(
                     f"parent_{n}").isNull(), F.col(c).cast("string")))
             else:
-                out.append(resolve(model).where(F.col(c).isNotNull()).withColumn(
-                    "row_key", joined(key_columns(model, spec))).join(
-                    keys, F.col(c) == F.col(f"parent_{n}"), "left_anti").select(
-                    F.lit(model).alias("model"), F.lit(FK).alias("check_name"),
-                    F.lit(c).alias("column_name"), "row_key", F.col(c).cast("string").alias("value"),
-                    F.lit(1).cast("long").alias("n_rows")))
+                out.append(_orphan_rows(model, spec, c, resolve(model), resolve(parent).select(
+                    F.col(parent_key).alias("parent"))))
     if found:
         out.append(df.select("row_key", F.explode(F.array_compact(F.array(*found))).alias("x"))
                    .select(F.lit(model).alias("model"), "x.check_name", "x.column_name", "row_key",
@@ -80,23 +91,24 @@ def _row_level(model: str, spec: dict, types, resolve, small) -> list[DataFrame]
 
 
 def _grouped(model: str, spec: dict, types, resolve) -> DataFrame | None:
-    """(model, check_name, column_name, k, value): what each row holds."""
+    """(model, check_name, column_name, k, value): what each row holds; a null value
+    is the key's own text."""
     held = []
 
     def key(kind: str, column: str, k: Column, value: Column) -> Column:
         return F.struct(F.lit(kind).alias("check_name"), F.lit(column).alias("column_name"),
                         k.alias("k"), value.alias("value"))
 
+    same = F.lit(None).cast("string")
     if U in types:
-        held += [key(U, c, F.col(c).cast("string"), F.col(c).cast("string"))
-                 for c in spec.get(U, [])]
+        held += [key(U, c, F.col(c).cast("string"), same) for c in spec.get(U, [])]
     if UC in types:  # the JSON is injective, the text is for reading
         held += [key(UC, ",".join(cols), F.to_json(F.struct(*cols)), joined(cols))
                  for cols in spec.get(UC, [])]
     if AV in types:
         for c, values in spec.get(AV, {}).items():
             other = F.when(~F.col(c).isin(values), F.col(c).cast("string"))
-            held.append(key(AV, c, other, other))
+            held.append(key(AV, c, other, same))
     if not held:
         return None
     return resolve(model).select(F.explode(F.array(*held)).alias("x")).where(
@@ -126,8 +138,10 @@ def failing_rows(resolve, models=None, types=tuple(CHECK_TYPES), checks=None) ->
         every = groups[0]
         for g in groups[1:]:
             every = every.unionByName(g)
-        counted = every.groupBy("model", "check_name", "column_name", "k").agg(
-            F.count(F.lit(1)).alias("n_rows"), F.min("value").alias("value"))
+        # the key decides the value: as a grouping key it leaves an aggregate by hash,
+        # where the least of texts would sort every row
+        counted = every.groupBy("model", "check_name", "column_name", "k", "value").agg(
+            F.count(F.lit(1)).alias("n_rows")).withColumn("value", F.coalesce("value", "k"))
         parts.append(counted.where((F.col("check_name") == AV) | (F.col("n_rows") > 1)).select(
             "model", "check_name", "column_name", F.lit(None).cast("string").alias("row_key"),
             "value", "n_rows"))
