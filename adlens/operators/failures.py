@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.joins import is_small
+from adlens.functions.joins import is_small_id_set as is_small
 from adlens.operators.quality import AR, AV, CHECK_TYPES, CHECKS, FK, NN, UC, U
 
 COLUMNS = ["model", "check_name", "column_name", "row_key", "value", "n_rows"]
@@ -75,7 +75,7 @@ def _row_level(model: str, spec: dict, types, resolve, small) -> list[DataFrame]
             found.append(violation(AR, c, low | high, as_number(c)))
     if FK in types:
         for n, (c, (parent, parent_key)) in enumerate(spec.get(FK, {}).items()):
-            if small(parent):
+            if small(parent, parent_key):
                 keys = resolve(parent).select(F.col(parent_key).alias(f"parent_{n}")).distinct()
                 df = df.join(F.broadcast(keys), F.col(c) == F.col(f"parent_{n}"), "left")
                 found.append(violation(FK, c, F.col(c).isNotNull() & F.col(
@@ -122,12 +122,12 @@ def failing_rows(resolve, models=None, types=tuple(CHECK_TYPES), checks=None) ->
     rows are listed as often as they occur. No failure gives no rows.
     """
     checks = CHECKS if checks is None else checks
-    sizes: dict[str, bool] = {}
+    sizes: dict[tuple[str, str], bool] = {}
 
-    def small(name: str) -> bool:
-        if name not in sizes:
-            sizes[name] = is_small(resolve(name))
-        return sizes[name]
+    def small(name: str, key: str) -> bool:
+        if (name, key) not in sizes:
+            sizes[name, key] = is_small(resolve(name).select(key))
+        return sizes[name, key]
 
     parts, groups = [], []
     for model in models or list(checks):

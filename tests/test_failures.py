@@ -71,3 +71,9 @@ def test_reconciliations_list_what_did_not_pass(spark):
         ("other", '{"x":2,"passed":false}'), ("other", '{"x":3,"passed":null}'),
         ("share", '{"total_pct":90,"passed":false}')]
     assert failures.failing_reconciliations({"other": good.where(F.lit(False))}).count() == 0
+
+
+def test_grouped_checks_aggregate_by_hash(spark, capsys):
+    capsys.readouterr()
+    failures.failing_rows(models(spark).__getitem__, types=[Q.U, Q.UC, Q.AV], checks=SPEC).explain()
+    assert "SortAggregate" not in capsys.readouterr().out

@@ -93,3 +93,16 @@ def test_every_model_keeps_its_contract_and_slots_are_the_fixed_six(spark, sf_sm
         assert Q.contract_diff(model, w.model(model), contract) == [], model
     assert [r.slot_position for r in w.stg["stg_ad_slots"].collect()] == C.SLOT_ORDER
     assert w.dim_ad_slots.select("slot_key").distinct().count() == len(C.SLOT_ORDER)
+
+
+def test_a_parent_over_the_row_bound_with_a_small_key_set_is_looked_up(spark, capsys, monkeypatch):
+    """More rows than a broadcast dimension may have, but a small set of keys: checked
+    in the counting pass, the children are not shuffled by the key."""
+    parent = spark.range(200_001).selectExpr("id AS pk")
+    child = spark.range(20).selectExpr("id + 199990 AS fk")
+    monkeypatch.setattr(Q, "CHECKS", {"child": {Q.FK: {"fk": ("parent", "pk")}}})
+    out = Q.run_checks({"parent": parent, "child": child}.__getitem__, types=[Q.FK])
+    assert out.first().failures == 9
+    capsys.readouterr()
+    out.explain()
+    assert "LeftAnti" not in capsys.readouterr().out
